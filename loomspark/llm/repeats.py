@@ -107,6 +107,23 @@ def minimisers(unit, parts) -> np.ndarray:
     return sliding(gram_hashes(unit.symbols(parts), unit.gram), unit.window - unit.gram + 1, np.minimum)
 
 
+def named_grams(unit, parts, inside: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The document's distinct minimisers and their places.
+
+    With ``inside``, places count every piece that is the least of some window, so that
+    windows that repeat inside one document are met too; else each counts once.
+    """
+    if len(parts) < unit.window:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    grams, width = gram_hashes(unit.symbols(parts), unit.gram), unit.window - unit.gram + 1
+    least = sliding(grams, width, np.minimum)
+    if not inside:
+        own = np.unique(least[runs(least)[0]])
+        return own, np.ones(len(own), np.int64)
+    pad = np.zeros(width - 1, np.uint64)
+    return np.unique(grams[sliding(np.concatenate([pad, least, pad]), width, np.maximum) == grams], return_counts=True)
+
+
 @dataclass
 class Segment:
     """A distinct segment of a group and where it stands."""
@@ -133,13 +150,8 @@ def flagged_windows(docs: DataFrame, unit, resolve: Callable, smaller_only: bool
         """Rows (h, docs, marks): one for each minimiser of the batch."""
         hs, ids, marks = [], [], []
         for d, k, t in zip(cols["doc_id"].to_pylist(), cols["mark"].to_pylist(), cols["text"].cast(pa.binary()).to_pylist(), strict=True):
-            m = minimisers(unit, unit.split(t or b""))
-            start, _ = runs(m)
-            own, times = np.unique(m[start], return_counts=True)
-            if smaller_only:
-                times = np.ones_like(times)
+            own, times = named_grams(unit, unit.split(t or b""), inside=not smaller_only)
             hs.append(own)
-            # a second place inside one document is as good as a second document
             ids.append(np.full(len(own), d, np.int64))
             marks.append((np.full(len(own), k, np.int64), times))
         if not hs or not sum(map(len, hs)):
