@@ -1,0 +1 @@
+"""Wiki-dump analytics on Spark: sources, transforms, checks and queries."""
