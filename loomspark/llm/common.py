@@ -13,6 +13,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomspark.session import ensure_importable
+
 #: Entries that a per-worker memo may hold before it starts afresh.
 MEMO_LIMIT = 300_000
 
@@ -48,6 +50,7 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` over ``fn(batch_as_dict_of_columns) -> dict of columns or None``."""
+    ensure_importable(df.sparkSession)
     names = list(df.columns)
     fields = schema_names(schema)
     arrow = arrow_schema(df.sparkSession, schema)

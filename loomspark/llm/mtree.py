@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loomspark.session import ensure_importable
+
 from .common import arrow_schema, read_table
 
 SCALE, QUERY_DIVISOR, TOP = 256, 50, 5
@@ -144,6 +146,7 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = TOP, shard_vec
     that products are exact.  Fewer than ``k`` candidates give fewer rows; empty tables none.
     """
     spark = vectors.sparkSession
+    ensure_importable(spark)
     n_rows, n_queries = vectors.count(), queries.count()
     shards, blocks = max(1, -(-n_rows // shard_vectors)), max(1, -(-n_queries // block))
     place = F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(shards)).alias("shard")

@@ -159,6 +159,33 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, **limits) -> Da
     return map_arrow(with_spans(_marked(docs), flags), run, "doc_id bigint, mark bigint, text string, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
 
 
+def cut_repeats(docs: DataFrame, window: int = WINDOW_WORDS, **limits) -> DataFrame:
+    """All rows and columns, repeated words cut out of ``text`` and ``n_chars`` counted anew.
+
+    A text that keeps all its words stays as it is, to the byte.
+    """
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    packed = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text", F.struct(*rest, F.lit(0).alias("_none")).alias("rest"))
+    kind = packed.schema["rest"].dataType.simpleString()
+
+    def run(cols):
+        out = []
+        for text, spans in zip(cols["text"].to_pylist(), cols["spans"].to_pylist(), strict=True):
+            if not spans:
+                out.append(text)
+                continue
+            data = (text or "").encode()
+            out.append(_cut(data, covered(spans, window, len(data.split()))).decode())
+        return {"doc_id": cols["doc_id"], "text": out, "rest": cols["rest"]}
+
+    flags = word_flags(docs, window, **limits)
+    cut = map_arrow(with_spans(packed, flags), run, f"doc_id bigint, text string, rest {kind}")
+    named = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if "n_chars" in rest:
+        named["n_chars"] = F.length("text").cast("bigint")
+    return cut.select(*(named.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns))
+
+
 def _cut(data: bytes, gone: np.ndarray) -> bytes:
     out, last = [], 0
     matches = list(_WORD.finditer(data))
