@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loomspark.session import written
+
 KEYS = ("actor_user", "actor_name")
 
 
@@ -31,7 +33,7 @@ def assign_ids(keys: DataFrame, known: DataFrame) -> DataFrame:
     order = [F.col("actor_user").asc_nulls_first(), F.col("actor_name")]
     parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the partition number depends on range sampling, so both uses must see one result
-    ranged = new.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()).persist()
+    ranged = written(new.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "actors")
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))

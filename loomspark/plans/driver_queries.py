@@ -406,11 +406,10 @@ def q_watermark(spark, d):
     return table(spark, d, "events").where("event_type = 'none such'").agg(F.coalesce(F.max("event_id"), F.lit(0).cast("bigint")).alias("watermark"))
 
 
-@query("natural_part_order", "SELECT 'stub' || CAST(o_orderkey % 12 AS VARCHAR) || '.xml.gz' AS file, o_orderkey % 12 AS part FROM orders WHERE o_orderkey < 12")
+@query("natural_part_order", "SELECT DISTINCT 'stub' || CAST(o_orderkey % 12 AS VARCHAR) || '.xml.gz' AS file, o_orderkey % 12 AS part FROM orders")
 def q_natural_part_order(spark, d):
-    orders = table(spark, d, "orders").where("o_orderkey < 12")
     file = F.concat(F.lit("stub"), (F.col("o_orderkey") % 12).cast("string"), F.lit(".xml.gz"))
-    return orders.select(file.alias("file")).withColumn("part", C.part_number("file")).orderBy("part", "file")
+    return table(spark, d, "orders").select(file.alias("file")).distinct().withColumn("part", C.part_number("file")).orderBy("part", "file")
 
 
 @query("content_fidelity", "SELECT count(*) AS compared, count(*) FILTER (WHERE sha1(a.text) = sha1(b.text)) AS equal FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1")
@@ -454,14 +453,13 @@ def _timed(spark, d) -> DataFrame:
 
 @query(
     "x_subset_repetition",
-    """WITH h AS (SELECT o.o_orderkey AS id, min(o_orderdate) AS t, list_sort(list_distinct(list(l_suppkey % 5))) AS s FROM orders o JOIN lineitem ON o.o_orderkey = l_orderkey
-       WHERE o.o_orderkey % 40 = 0 GROUP BY 1)
+    """WITH h AS (SELECT event_type || strftime(ts, '%Y%m%d%H') AS id, date_trunc('hour', min(ts)) AS t, list_sort(list_distinct(list(user_id % 10))) AS s FROM events GROUP BY 1)
        SELECT a.id, (SELECT count(*) FROM h b WHERE b.t < a.t AND list_has_all(b.s, a.s)) AS prior FROM h a""",
 )
 def q_x_subset_repetition(spark, d):
-    orders = table(spark, d, "orders").where("o_orderkey % 40 = 0")
-    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), (F.col("l_suppkey") % 5).alias("member"))
-    events = orders.join(lines, "o_orderkey").groupBy(F.col("o_orderkey").alias("id")).agg(F.min("o_orderdate").alias("t"), F.collect_set("member").alias("members"))
+    # an hour of one event type is a hyperevent over user classes
+    hour = F.concat("event_type", F.date_format("ts", "yyyyMMddHH")).alias("id")
+    events = table(spark, d, "events").groupBy(hour).agg(F.date_trunc("hour", F.min("ts")).alias("t"), F.collect_set(F.col("user_id") % 10).alias("members"))
     return research.subset_repetition(events, "id", "t", "members").withColumnRenamed("repetition", "prior")
 
 
@@ -531,11 +529,11 @@ def q_x_return_share(spark, d):
 
 @query(
     "x_coeditor_clustering",
-    """WITH p AS (SELECT DISTINCT l_orderkey AS page, l_suppkey % 50 AS editor FROM lineitem WHERE l_orderkey % 10 = 0)
+    """WITH p AS (SELECT DISTINCT l_orderkey AS page, l_suppkey AS editor FROM lineitem)
        SELECT a.editor AS editor_a, b.editor AS editor_b, count(*) AS shared FROM p a JOIN p b ON a.page = b.page AND a.editor < b.editor GROUP BY 1, 2 HAVING count(*) >= 2""",
 )
 def q_x_coeditor_clustering(spark, d):
-    rows = table(spark, d, "lineitem").where("l_orderkey % 10 = 0").select(F.col("l_orderkey").alias("page"), (F.col("l_suppkey") % 50).alias("editor"))
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_suppkey").alias("editor"))
     return research.shared_pages(rows, "page", "editor", least=2)
 
 

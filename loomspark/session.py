@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,3 +52,28 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
     run.__name__ = query.__name__
     return run
+
+
+def workspace(spark: SparkSession) -> str:
+    """Folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
+
+    Only where the cluster names none (tests on local[*]) is a temporary folder set.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = "file://" + tempfile.mkdtemp(prefix="loom-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back.
+
+    A lost executor then costs no recomputation of what came before, and every
+    consumer reads the same rows.
+    """
+    spark = df.sparkSession
+    path = f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
+    schema = df.schema
+    df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
