@@ -343,10 +343,10 @@ def byte_dedup(docs: DataFrame, window: int = WINDOW_BYTES, **limits) -> DataFra
 
     def run(cols):
         out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
-        for text, spans in zip(cols["text"].to_pylist(), cols["spans"].to_pylist(), strict=True):
+        for d, mark, text, groups, spans in zip(*(cols[c].to_pylist() for c in ("doc_id", "mark", "text", "groups", "spans")), strict=True):
             data = (text or "").encode()
-            gone = covered(spans, window, len(data)) if spans else np.zeros(len(data), bool)
-            kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if spans else data
+            gone = covered(spans, groups, mark, d, window, len(data), smaller_only=False)
+            kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if spans or groups else data
             start, _ = runs(gone)
             out["n_bytes"].append(len(data))
             out["n_removed"].append(int(gone.sum()))
@@ -356,10 +356,10 @@ def byte_dedup(docs: DataFrame, window: int = WINDOW_BYTES, **limits) -> DataFra
         return out | {k: cols[k] for k in ("doc_id", "mark")}
 
     null_id = F.lit(-(2**63)).cast("bigint")
-    marked = docs.select(F.coalesce("doc_id", null_id).alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    marked = docs.select(F.coalesce("doc_id", null_id).alias("doc_id"), F.hash("text").alias("mark"), "text")
     flags = flagged_windows(marked, Octets(window), resolve_bytes, smaller_only=False, **limits)
-    schema = "doc_id bigint, mark bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
-    return map_arrow(with_spans(marked, flags), run, schema).withColumn("doc_id", F.nullif("doc_id", null_id))
+    schema = "doc_id bigint, mark int, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
+    return map_arrow(with_spans(marked, marked, flags), run, schema).withColumn("doc_id", F.nullif("doc_id", null_id))
 
 
 def op5_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,8 @@ minimiser names the group in which a window can meet its equals.  The work runs
 four steps, each over one exchange:
 
 1. per Arrow batch, one row for each minimiser with the ids of the documents that
-   hold it (copies inside a batch collapse before the shuffle);
-2. minimisers that more than one row or document shares go back to their documents;
+   hold it (a frequent one collapses before the shuffle);
+2. minimisers with more than one place go back to their documents;
 3. documents emit, for each such minimiser, the run of windows that it names as one
    segment; equal segments of a batch collapse again.  A minimiser in more than
    ``hot`` documents is prefix-extended: its rows are dealt by (minimiser, segment);
@@ -36,7 +36,7 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 #: Documents above which a minimiser's windows take the longest prefix.
 HOT_DOCUMENTS = 400
-#: Symbols that a resolver gets at once.
+#: Bytes of segments that a resolver gets at once.
 CHUNK_SYMBOLS = 3_000_000
 
 
@@ -136,78 +136,95 @@ class Segment:
     doc: list  # rows (doc, mark, start) that its own flags concern
 
 
+def dealt_texts(docs: DataFrame) -> DataFrame:
+    """The texts by document id; every use below is the same exchange, done once."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.repartition(n, "doc_id")
+
+
+def copies(docs: DataFrame) -> DataFrame:
+    """``(doc_id, groups array<struct<mark,least,rows>>)`` of the texts that more than one row has."""
+    digests = docs.select("doc_id", "mark", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
+    several = digests.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    return digests.join(several, "digest").groupBy("doc_id").agg(F.collect_set(F.struct("mark", "least", "rows")).alias("groups"))
+
+
 def flagged_windows(docs: DataFrame, unit, resolve: Callable, smaller_only: bool, hot: int = HOT_DOCUMENTS, chunk: int = CHUNK_SYMBOLS) -> DataFrame:
-    """``(doc_id, mark, spans array<struct<start,n>>)`` of window starts whose content repeats.
+    """``(doc_id, groups, spans array<struct<mark,start,n>>)`` of window starts whose content repeats.
 
     ``docs`` has doc_id (not null), mark (a hash of the text that tells rows of one id
     apart) and text.  With ``smaller_only`` a window counts only when it also starts in a
     document of smaller id; else when it starts anywhere else.  ``resolve(segments,
     window, smaller_only)`` yields (segment index, boolean array) over distinct segments.
+
+    Whole copies are settled by their digests before any window is looked at: of equal
+    texts only the smallest id's goes on and stands for all; ``groups`` tells the rest.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    standing = dealt_texts(docs).join(copies(docs), "doc_id", "left")
+
+    def texts(cols):
+        """(id, mark, rows it stands for, text) of the rows that go on."""
+        for d, k, t, groups in zip(cols["doc_id"].to_pylist(), cols["mark"].to_pylist(), cols["text"].cast(pa.binary()).to_pylist(), cols["groups"].to_pylist(), strict=True):
+            own = copy_of(groups, k)
+            if own is None or own["least"] == d:
+                yield d, k, own["rows"] if own else 1, t or b""
 
     def grams(cols):
-        """Rows (h, docs, marks): one for each minimiser of the batch."""
-        hs, ids, marks = [], [], []
-        for d, k, t in zip(cols["doc_id"].to_pylist(), cols["mark"].to_pylist(), cols["text"].cast(pa.binary()).to_pylist(), strict=True):
-            own, times = named_grams(unit, unit.split(t or b""), inside=not smaller_only)
-            hs.append(own)
-            ids.append(np.full(len(own), d, np.int64))
-            marks.append((np.full(len(own), k, np.int64), times))
-        if not hs or not sum(map(len, hs)):
+        """Rows (h, at): each minimiser of the batch with the packed ids of its places (two for a text that repeats in itself or in a copy)."""
+        hs, ids = [], []
+        for d, _, rows, t in texts(cols):
+            own, times = named_grams(unit, unit.split(t), inside=not smaller_only)
+            times = np.ones(len(own), np.int64) if smaller_only else np.minimum(np.maximum(times, rows), 2)
+            hs.append(np.repeat(own, times))
+            ids.append(np.full(len(hs[-1]), d, np.int64))
+        if not sum(map(len, hs)):
             return None
         h, d = np.concatenate(hs), np.concatenate(ids)
-        k, c = np.concatenate([m[0] for m in marks]), np.concatenate([m[1] for m in marks])
         order = np.argsort(h, kind="stable")
-        h, d, k, c = h[order], d[order], k[order], c[order]
-        start, end = runs(h)
-        offsets = pa.array(np.append(start, len(h)).astype(np.int32))
-        return {
-            "h": pa.array(signed(h[start])),
-            "places": pa.array(np.add.reduceat(c, start)),
-            "docs": pa.ListArray.from_arrays(offsets, pa.array(d)),
-            "marks": pa.ListArray.from_arrays(offsets, pa.array(k)),
-        }
+        h, d = h[order], d[order]
+        start, _ = runs(h)
+        offsets = pa.array(np.append(start, len(h)).astype(np.int32) * 8)
+        return {"h": pa.array(signed(h[start])), "at": pa.Array.from_buffers(pa.binary(), len(start), [None, offsets.buffers()[1], pa.py_buffer(d.tobytes())])}
 
-    rows = docs.repartition(n, "doc_id", "mark")
-    held = map_arrow(docs, grams, "h bigint, places bigint, docs array<bigint>, marks array<bigint>").repartition(n, "h")
-    total = held.groupBy("h").agg(F.sum("places").alias("total")).where("total > 1")
-    shared = held.join(total, "h").select("h", (F.col("total") > hot).alias("hot"), F.explode(F.arrays_zip("docs", "marks")).alias("at"))
-    wanted = shared.select(F.col("at.docs").alias("doc_id"), F.col("at.marks").alias("mark"), "h", "hot").groupBy("doc_id", "mark").agg(F.collect_list("h").alias("hs"), F.collect_list("hot").alias("hots"))
-    given = rows.join(wanted, ["doc_id", "mark"])
+    held = map_arrow(standing, grams, "h bigint, at binary").repartition(n, "h").sortWithinPartitions("h")
+    shared = held.mapInArrow(_sharing(hot, arrow_schema(docs.sparkSession, "doc_id bigint, h bigint, hot boolean")), "doc_id bigint, h bigint, hot boolean")
+    wanted = shared.groupBy("doc_id").agg(F.collect_list("h").alias("hs"), F.collect_list("hot").alias("hots"))
+    given = standing.join(wanted, "doc_id")
 
     def segments(cols):
-        """Rows (h, part, text, windows, docs, marks, starts): one for each distinct segment of the batch."""
+        """Rows (h, part, hot, text, windows, at): one for each distinct segment of the batch, its places packed as (id, mark, start, rows)."""
         found: dict[tuple[int, bytes], list] = {}
-        for d, k, t, hs, hots in zip(cols["doc_id"].to_pylist(), cols["mark"].to_pylist(), cols["text"].cast(pa.binary()).to_pylist(), cols["hs"].to_pylist(), cols["hots"].to_pylist(), strict=True):
-            parts = unit.split(t or b"")
+        lists = {d: w for d, *w in zip(cols["doc_id"].to_pylist(), cols["hs"].to_pylist(), cols["hots"].to_pylist(), strict=True)}
+        for d, k, rows, t in texts(cols):
+            parts = unit.split(t)
             m = signed(minimisers(unit, parts))
             start, end = runs(m)
-            hs_a = np.array(hs, np.int64)
-            order = np.argsort(hs_a)
-            hs_a, hot_a = hs_a[order], np.array(hots, bool)[order]
-            at = np.minimum(np.searchsorted(hs_a, m[start]), len(hs_a) - 1)
-            pick = np.flatnonzero(hs_a[at] == m[start])
-            for s, e, h, w in zip(start[pick].tolist(), end[pick].tolist(), m[start[pick]].tolist(), hot_a[at[pick]].tolist(), strict=True):
+            if not len(start):
+                continue
+            hs = np.array(lists[d][0], np.int64)
+            order = np.argsort(hs)
+            hs, hots = hs[order], np.array(lists[d][1], bool)[order]
+            at = np.minimum(np.searchsorted(hs, m[start]), len(hs) - 1)
+            pick = np.flatnonzero(hs[at] == m[start])
+            for s, e, h, w in zip(start[pick].tolist(), end[pick].tolist(), m[start[pick]].tolist(), hots[at[pick]].tolist(), strict=True):
                 text = unit.segment(parts, s, e + unit.window - 1)
-                found.setdefault((h, text), [w, e - s]).append((d, k, s))
+                found.setdefault((h, text), [w, e - s]).append((d, k, s, rows))
         if not found:
             return None
         values = list(found.values())
-        offsets = np.cumsum([0] + [len(v) - 2 for v in values]).astype(np.int32)
-        flat = np.array([p for v in values for p in v[2:]], np.int64).reshape(-1, 3)
         return {
             "h": [h for h, _ in found],
             "part": [xxhash.xxh64_intdigest(t) >> 1 if v[0] else 0 for (_, t), v in zip(found, values, strict=True)],
             "hot": [v[0] for v in values],
             "text": [t for _, t in found],
             "windows": [v[1] for v in values],
-            **{n: pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat[:, i])) for i, n in enumerate(("docs", "marks", "starts"))},
+            "at": [np.array(v[2:], _PLACE).tobytes() for v in values],
         }
 
-    kept = map_arrow(given, segments, "h bigint, part bigint, hot boolean, text binary, windows int, docs array<bigint>, marks array<bigint>, starts array<bigint>")
+    kept = map_arrow(given, segments, "h bigint, part bigint, hot boolean, text binary, windows int, at binary")
     keyed = kept.repartition(n, "h", "part").sortWithinPartitions("h", "part", "text")
-    out_schema = "doc_id bigint, mark bigint, start bigint, n bigint, w1 bigint, w2 bigint, places bigint, least bigint"
+    out_schema = "doc_id bigint, mark int, start bigint, n bigint, w1 bigint, w2 bigint, places bigint, least bigint"
     solved = written(keyed.mapInArrow(_solver(unit, resolve, smaller_only, chunk, arrow_schema(docs.sparkSession, out_schema)), out_schema), "repeats")
 
     spans = solved.where("w1 IS NULL").select("doc_id", "mark", "start", "n")
@@ -215,7 +232,70 @@ def flagged_windows(docs: DataFrame, unit, resolve: Callable, smaller_only: bool
     meet = alone.groupBy("w1", "w2").agg(F.sum("places").alias("all_places"), F.min("least").alias("all_least"))
     same = alone.where("doc_id IS NOT NULL").join(meet, ["w1", "w2"])
     repeats = same.where("all_least < doc_id" if smaller_only else "all_places > 1").select("doc_id", "mark", "start", F.lit(1).cast("bigint").alias("n"))
-    return spans.unionByName(repeats).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    return spans.unionByName(repeats).groupBy("doc_id").agg(F.collect_list(F.struct("mark", "start", "n")).alias("spans"))
+
+
+#: A place of a segment: document, mark, first window, and the rows that the text stands for.
+_PLACE = np.dtype([("doc", "<i8"), ("mark", "<i4"), ("start", "<i4"), ("rows", "<i4")])
+
+
+def copy_of(groups, mark):
+    """The group of equal texts that the row with this mark belongs to, if any."""
+    return next((g for g in groups or () if g["mark"] == mark), None)
+
+
+def _sharing(hot: int, schema: pa.Schema):
+    """From rows (h, at) sorted by h: (doc_id, h, hot) for each place of a minimiser with two or more.
+
+    A run is held until it ends or has more than ``hot`` places; from then on its rows
+    pass straight through, so that no run has to fit in memory.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # rows (h, id) of the last, open run
+        passing = None  # the h of an open run that is known to be hot
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = batch.column(1)
+            ids = np.concatenate([np.frombuffer(b, "<i8") for b in column.to_pylist()])
+            sizes = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+            h = np.repeat(batch.column(0).to_numpy(), np.diff(sizes) // 8)
+            if passing is not None:
+                going = int(np.searchsorted(h != passing, True)) if (h != passing).any() else len(h)
+                yield from emit(h[:going], ids[:going], np.ones(going, bool))
+                h, ids = h[going:], ids[going:]
+                if not len(h):
+                    continue
+                passing = None
+            if held:
+                h = np.concatenate([*(x for x, _ in held), h])
+                ids = np.concatenate([*(x for _, x in held), ids])
+            start, end = runs(h)
+            cut = int(start[-1])
+            yield from settled(h[:cut], ids[:cut])
+            held = [(h[cut:], ids[cut:])]
+            if len(h) - cut > hot:
+                passing = int(h[-1])
+                yield from emit(h[cut:], ids[cut:], np.ones(len(h) - cut, bool))
+                held = []
+        if held:
+            yield from settled(*held[0])
+
+    def settled(h, ids):
+        start, end = runs(h)
+        if len(start):
+            size = np.repeat(end - start, end - start)
+            several = size > 1
+            yield from emit(h[several], ids[several], size[several] > hot)
+
+    def emit(h, ids, is_hot):
+        if len(h):
+            # one id of a run is enough for its document
+            once = np.append(True, (h[1:] != h[:-1]) | (ids[1:] != ids[:-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[once]), pa.array(h[once]), pa.array(is_hot[once])], schema=schema)
+
+    return run
 
 
 def _solver(unit, resolve, smaller_only: bool, chunk: int, schema: pa.Schema):
@@ -253,75 +333,75 @@ def _solver(unit, resolve, smaller_only: bool, chunk: int, schema: pa.Schema):
                     put(d, k, s + i, 1, w1, w2, 0 if j else seg.count, seg.least)
 
         held: list[Segment] = []  # segments of groups gathered for one resolver call
-        weight, groups = 0, 0
-        now = None  # (key, Segment) that rows still add to
-        key_h = None
-
-        def close(seg: Segment, hot: bool):
-            nonlocal weight, groups
-            if hot:
-                alone(seg)
-            else:
-                held.append(seg)
-                weight += len(seg.text)
-
-        for row in _rows(batches):
-            h, part, hot, text, windows, docs, marks, starts = row
-            if key_h is not None and (h, part, hot) != key_h[:3] and weight >= chunk:
-                close(*now)
-                now = None
-                settle(held)
-                held.clear()
-                weight = 0
-            places = list(zip(docs, marks, starts, strict=True))
-            least = min(docs)
-            if now is not None and key_h == (h, part, hot, text):
+        weight = 0
+        now = None  # (Segment, hot) that rows still add to
+        key = None
+
+        for batch in batches:
+            for h, part, hot, text, windows, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                places = np.frombuffer(at, _PLACE).tolist()
+                if key != (h, part, hot, text):
+                    if now is not None:
+                        if now[1]:
+                            alone(now[0])
+                        else:
+                            held.append(now[0])
+                            weight += len(now[0].text)
+                        if weight >= chunk and key[:3] != (h, part, hot):
+                            settle(held)
+                            held, weight = [], 0
+                    seg = Segment(h, text, windows, 0, min(p[0] for p in places), [])
+                    now, key = (seg, hot), (h, part, hot, text)
                 seg = now[0]
-                if smaller_only:
-                    if least < seg.least:  # those that were least so far now have a smaller one
-                        for d, k, s in seg.doc:
-                            put(d, k, s, windows)
-                        seg.least, seg.doc = least, []
-                elif seg.count == 1:
-                    for d, k, s in seg.doc:
-                        put(d, k, s, windows)
-                    seg.doc = []
-                seg.count += len(places)
-            else:
-                if now is not None:
-                    close(*now)
-                seg = Segment(h, text, windows, len(places), least, [])
-                now, key_h = (seg, hot), (h, part, hot, text)
-            for d, k, s in places:
-                if (d > seg.least) if smaller_only else (seg.count > 1):
-                    put(d, k, s, windows)
-                else:
-                    seg.doc.append((d, k, s))
-            if len(out["doc_id"]) >= 50_000:
-                yield flush()
+                _add(seg, places, windows, smaller_only, put)
+                if len(out["doc_id"]) >= 50_000:
+                    yield flush()
         if now is not None:
-            close(*now)
-        if held:
-            settle(held)
+            if now[1]:
+                alone(now[0])
+            else:
+                held.append(now[0])
+        settle(held)
         yield flush()
 
-    def _rows(batches):
-        for batch in batches:
-            yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
-
     return run
 
 
-def covered(spans, window: int, size: int) -> np.ndarray:
-    """Which of ``size`` symbols lie in a window that starts in one of the spans."""
+def _add(seg: Segment, places: list[tuple], windows: int, smaller_only: bool, put: Callable) -> None:
+    """Places of one segment: those whose repetition is certain by now leave as spans, the rest wait in ``seg.doc``."""
+    least = min(p[0] for p in places)
+    total = seg.count + sum(p[3] for p in places)
+    if (least < seg.least) if smaller_only else (total > 1):
+        for d, k, s in seg.doc:
+            put(d, k, s, windows)
+        seg.doc = []
+    seg.least, seg.count = min(seg.least, least), total
+    for d, k, s, _ in places:
+        if (d > seg.least) if smaller_only else (total > 1):
+            put(d, k, s, windows)
+        else:
+            seg.doc.append((d, k, s))
+
+
+def covered(spans, groups, mark, doc_id, window: int, size: int, smaller_only: bool) -> np.ndarray:
+    """Which of ``size`` symbols go: those in a window that starts in one of the row's spans.
+
+    All of a copy's windows repeat; with ``smaller_only`` those of the smallest id's don't for that.
+    """
+    own = copy_of(groups, mark)
+    if own is not None and (own["least"] < doc_id if smaller_only else True) and size >= window:
+        return np.ones(size, bool)
     edge = np.zeros(size + 1, np.int64)
-    for s in spans:
-        edge[s["start"]] += 1
-        edge[s["start"] + s["n"] - 1 + window] -= 1
+    for s in spans or ():
+        if s["mark"] == mark:
+            edge[s["start"]] += 1
+            edge[s["start"] + s["n"] - 1 + window] -= 1
     return np.cumsum(edge[:-1]) > 0
 
 
-def with_spans(docs: DataFrame, flags: DataFrame) -> DataFrame:
-    """All rows of ``docs`` with their spans (null: none), by the same exchange as above."""
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return docs.repartition(n, "doc_id", "mark").join(flags, ["doc_id", "mark"], "left")
+def with_spans(docs: DataFrame, keyed: DataFrame, flags: DataFrame) -> DataFrame:
+    """All rows of ``docs`` with ``groups`` and ``spans`` (null: none).
+
+    ``keyed`` is the table the flags came from; where it is ``docs`` itself its exchange serves again.
+    """
+    return dealt_texts(docs).join(copies(keyed), "doc_id", "left").join(flags, "doc_id", "left")

@@ -122,12 +122,12 @@ def maximal_repeats(texts: list[bytes], least_words: int) -> list[tuple[bytes, i
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    return docs.select("doc_id", F.hash("text").alias("mark"), "text")
 
 
 def word_flags(docs: DataFrame, window: int = WINDOW_WORDS, **limits) -> DataFrame:
-    """``(doc_id, mark, spans)`` of windows that also start in a document of smaller id."""
-    return flagged_windows(_marked(docs.where("doc_id IS NOT NULL")), Words(window), resolve_words, smaller_only=True, **limits)
+    """``(doc_id, spans)`` of windows that also start in a document of smaller id."""
+    return flagged_windows(_marked(docs).where("doc_id IS NOT NULL"), Words(window), resolve_words, smaller_only=True, **limits)
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, **limits) -> DataFrame:
@@ -143,10 +143,10 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, **limits) -> Da
 
     def run(cols):
         out: dict[str, list] = {k: [] for k in ("n_words", "n_removed", "kept_sha256", "kept")}
-        for text, spans in zip(cols["text"].to_pylist(), cols["spans"].to_pylist(), strict=True):
+        for d, mark, text, groups, spans in zip(*(cols[c].to_pylist() for c in ("doc_id", "mark", "text", "groups", "spans")), strict=True):
             data = (text or "").encode()
             words = data.split()
-            gone = covered(spans, window, len(words)) if spans else np.zeros(len(words), bool)
+            gone = covered(spans, groups, mark, d, window, len(words), smaller_only=True)
             n = int(gone.sum())
             out["n_words"].append(len(words))
             out["n_removed"].append(n)
@@ -156,7 +156,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, **limits) -> Da
         return out | {k: cols[k] for k in ("doc_id", "mark", "text")}
 
     flags = word_flags(docs, window, **limits)
-    return map_arrow(with_spans(_marked(docs), flags), run, "doc_id bigint, mark bigint, text string, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
+    marked = _marked(docs)
+    return map_arrow(with_spans(marked, marked.where("doc_id IS NOT NULL"), flags), run, "doc_id bigint, mark int, text string, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
 
 
 def cut_repeats(docs: DataFrame, window: int = WINDOW_WORDS, **limits) -> DataFrame:
@@ -165,21 +166,22 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW_WORDS, **limits) -> DataFr
     A text that keeps all its words stays as it is, to the byte.
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    packed = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text", F.struct(*rest, F.lit(0).alias("_none")).alias("rest"))
+    packed = docs.select("doc_id", F.hash("text").alias("mark"), "text", F.struct(*rest, F.lit(0).alias("_none")).alias("rest"))
     kind = packed.schema["rest"].dataType.simpleString()
 
     def run(cols):
         out = []
-        for text, spans in zip(cols["text"].to_pylist(), cols["spans"].to_pylist(), strict=True):
-            if not spans:
+        for d, mark, text, groups, spans in zip(*(cols[c].to_pylist() for c in ("doc_id", "mark", "text", "groups", "spans")), strict=True):
+            if not spans and not groups:
                 out.append(text)
                 continue
             data = (text or "").encode()
-            out.append(_cut(data, covered(spans, window, len(data.split()))).decode())
+            gone = covered(spans, groups, mark, d, window, len(data.split()), smaller_only=True)
+            out.append(_cut(data, gone).decode() if gone.any() else text)
         return {"doc_id": cols["doc_id"], "text": out, "rest": cols["rest"]}
 
     flags = word_flags(docs, window, **limits)
-    cut = map_arrow(with_spans(packed, flags), run, f"doc_id bigint, text string, rest {kind}")
+    cut = map_arrow(with_spans(packed, _marked(docs).where("doc_id IS NOT NULL"), flags), run, f"doc_id bigint, text string, rest {kind}")
     named = {"doc_id": F.col("doc_id"), "text": F.col("text")}
     if "n_chars" in rest:
         named["n_chars"] = F.length("text").cast("bigint")
