@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import crc_fold, map_arrow, read_table
 
 #: Labelled rows of each class that the grammar is fitted on at most, and the characters such a row may have.
-SAMPLE_ROWS, SAMPLE_CHARS = 6000, 65_536
+SAMPLE_ROWS, SAMPLE_CHARS = 3000, 65_536
 #: Documents an insult must stand in, and the log odds from which a word is one.
 LEAST_SUPPORT, LEAST_ODDS = 3, 2.5
 PREFIXES = (4, 5, 6)
@@ -148,47 +148,59 @@ class Grammar:
         return float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(np.dot(self.weights, self.features(text))))))))
 
 
-def _odds(rows: list[tuple[set[str], int]], least: int) -> dict[str, float]:
-    bad, good, n_bad, n_good = Counter(), Counter(), 0, 0
-    for keys, y in rows:
-        (bad if y else good).update(keys)
-        n_bad, n_good = n_bad + y, n_good + 1 - y
+def _odds(rows: list[tuple[str, int]], keys, least: int) -> dict[str, float]:
+    """Log odds of the keys of a text that speak for toxic; only what enough toxic texts hold is counted further."""
+    n_bad = sum(y for _, y in rows)
+    n_good = len(rows) - n_bad
+    bad = Counter()
+    for text, y in rows:
+        if y:
+            bad.update(keys(text))
+    bad = {k: n for k, n in bad.items() if n >= least}
+    good = Counter()
+    for text, y in rows:
+        if not y:
+            good.update(k for k in keys(text) if k in bad)
     out = {}
     for k, n in bad.items():
-        if n >= least:
-            odds = math.log((n + 0.2) / (n_bad + 1)) - math.log((good[k] + 0.2) / (n_good + 1))
-            if odds >= LEAST_ODDS and n > 4 * good[k] * n_bad / max(n_good, 1):
-                out[k] = odds
+        odds = math.log((n + 0.2) / (n_bad + 1)) - math.log((good[k] + 0.2) / (n_good + 1))
+        if odds >= LEAST_ODDS and n > 4 * good[k] * n_bad / max(n_good, 1):
+            out[k] = odds
     return out
 
 
+def _words(text: str) -> set[str]:
+    return set(_WORD.findall(text.lower()))
+
+
+def _stems(text: str) -> set[str]:
+    return {w[:n] for w in _words(text) for n in PREFIXES if len(w) > n}
+
+
 def fit(rows: list[tuple[str, int]]) -> Grammar:
     """Insults, their stems and the final weights from (text, toxic) rows.
 
     Odds for the final weights are learned on one half and the weights on the other, in
     turn, so that words of single documents do not look better than they are.
     """
-    parsed = [(set(_WORD.findall(t.lower())), int(y)) for t, y in rows]
-    if len({y for _, y in parsed}) < 2:
+    if len({y for _, y in rows}) < 2:
         return Grammar()
     least = LEAST_SUPPORT if len(rows) >= 400 else 2
-    halves = [[(w, y) for i, (w, y) in enumerate(parsed) if i % 2 == k] for k in (0, 1)]
     xs, ys = [], []
+    classes = [[r for r in rows if r[1] == y] for y in (1, 0)]
+    halves = [[r for rs in classes for r in rs[k::2]] for k in (0, 1)]
     for k in (0, 1):
         part = _lexicon(halves[k], least)
-        for i, (text, y) in enumerate(rows):
-            if i % 2 != k:
-                xs.append(part.features(text))
-                ys.append(y)
-    whole = _lexicon(parsed, least)
-    whole.weights = tuple(_logistic(np.array(xs), np.array(ys, float)))
+        for text, y in halves[1 - k]:
+            xs.append(part.features(text))
+            ys.append(y)
+    whole = _lexicon(rows, least)
+    whole.weights = tuple(float(w) for w in _logistic(np.array(xs), np.array(ys, float)))
     return whole
 
 
-def _lexicon(parsed: list[tuple[set[str], int]], least: int) -> Grammar:
-    insults = _odds(parsed, least)
-    stems = _odds([({w[:n] for w in words for n in PREFIXES if len(w) > n}, y) for words, y in parsed], 2 * least)
-    return Grammar(insults, stems)
+def _lexicon(rows: list[tuple[str, int]], least: int) -> Grammar:
+    return Grammar(_odds(rows, _words, least), _odds(rows, _stems, 2 * least))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 30) -> np.ndarray:
