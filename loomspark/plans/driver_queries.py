@@ -557,3 +557,43 @@ def q_x_level_counts(spark, d):
     counted = table(spark, d, "events").groupBy("event_type", F.get_json_object("props", "$.k").alias("k")).agg(F.count(F.lit(1)).alias("n"))
     nth = F.row_number().over(Window.partitionBy("event_type").orderBy(F.desc("n"), "k"))
     return counted.withColumn("nth", nth).where("nth <= 5").drop("nth")
+
+
+@query(
+    "x_editor_coreness",
+    """SELECT user_id, count(*) AS edits, CAST(date_diff('day', min(ts)::DATE, max(ts)::DATE) AS INTEGER) AS tenure_days,
+       round(0.5 * ln(1 + count(*)) + 0.5 * ln(1 + date_diff('day', min(ts)::DATE, max(ts)::DATE)), 9) AS coreness FROM events GROUP BY 1""",
+)
+def q_x_editor_coreness(spark, d):
+    return research.editor_coreness(table(spark, d, "events"), "user_id", "ts")
+
+
+@query(
+    "x_page_coreness",
+    "SELECT l_partkey, count(*) AS edits, count(DISTINCT l_suppkey) AS editors, round(ln(1 + count(DISTINCT l_suppkey)), 9) AS coreness FROM lineitem GROUP BY 1",
+)
+def q_x_page_coreness(spark, d):
+    return research.page_coreness(table(spark, d, "lineitem"), "l_partkey", "l_suppkey")
+
+
+@query(
+    "x_balance",
+    """SELECT covariate, round((avg(v) FILTER (WHERE t) - avg(v) FILTER (WHERE NOT t)) / sqrt((var_samp(v) FILTER (WHERE t) + var_samp(v) FILTER (WHERE NOT t)) / 2), 9) AS smd
+       FROM (SELECT c_acctbal > 0 AS t, 'nation' AS covariate, CAST(c_nationkey AS DOUBLE) AS v FROM customer
+             UNION ALL SELECT c_acctbal > 0, 'key', CAST(c_custkey AS DOUBLE) FROM customer) GROUP BY 1""",
+)
+def q_x_balance(spark, d):
+    rows = table(spark, d, "customer").select((F.col("c_acctbal") > 0).alias("t"), F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("key"))
+    return research.balance(rows, "t", ["nation", "key"])
+
+
+@query(
+    "x_difference_in_differences",
+    """WITH c AS (SELECT o_custkey, o_custkey % 2 = 0 AS t, avg(o_totalprice) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS a,
+               avg(o_totalprice) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01') AS b FROM orders GROUP BY 1, 2)
+       SELECT round(avg(a - b) FILTER (WHERE t) - avg(a - b) FILTER (WHERE NOT t), 6) AS effect FROM c WHERE a IS NOT NULL AND b IS NOT NULL""",
+)
+def q_x_difference_in_differences(spark, d):
+    after = F.col("o_orderdate") >= F.expr("TIMESTAMP_NTZ '1998-01-01 00:00:00'")
+    rows = table(spark, d, "orders").select("o_custkey", (F.col("o_custkey") % 2 == 0).alias("t"), after.alias("after"), "o_totalprice")
+    return research.difference_in_differences(rows, "o_custkey", "t", "after", "o_totalprice")

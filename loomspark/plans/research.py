@@ -90,3 +90,50 @@ def shared_pages(edits: DataFrame, page: str, editor: str, least: int = 1) -> Da
     other = own.select(page, F.col(editor).alias("editor_b"))
     pairs = own.select(page, F.col(editor).alias("editor_a")).join(other, page).where("editor_a < editor_b")
     return pairs.groupBy("editor_a", "editor_b").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least)
+
+
+def editor_coreness(edits: DataFrame, editor: str, at: str, weights: tuple[float, float] = (0.5, 0.5)) -> DataFrame:
+    """``(editor, edits, tenure_days, coreness)``: ln(1 + edits) and ln(1 + days between first and last), weighted; weights ours."""
+    each = edits.groupBy(editor).agg(F.count(F.lit(1)).alias("edits"), F.date_diff(F.max(at), F.min(at)).alias("tenure_days"))
+    return each.withColumn("coreness", F.round(weights[0] * F.log1p("edits") + weights[1] * F.log1p("tenure_days"), 9))
+
+
+def page_coreness(edits: DataFrame, page: str, editor: str) -> DataFrame:
+    """``(page, edits, editors, coreness)``: ln(1 + distinct editors); views and quality are not in the dumps."""
+    each = edits.groupBy(page).agg(F.count(F.lit(1)).alias("edits"), F.count_distinct(editor).alias("editors"))
+    return each.withColumn("coreness", F.round(F.log1p("editors"), 9))
+
+
+def core_assortativity(edits: DataFrame, editor: str, page: str, at: str) -> DataFrame:
+    """One row: correlation of editor and page coreness over distinct (editor, page) pairs; negative is mixing."""
+    pairs = edits.select(editor, page).distinct()
+    e = editor_coreness(edits, editor, at).select(editor, F.col("coreness").alias("e"))
+    p = page_coreness(edits, page, editor).select(page, F.col("coreness").alias("p"))
+    return pairs.join(e, editor).join(p, page).agg(F.count(F.lit(1)).alias("pairs"), F.round(F.corr("e", "p"), 6).alias("assortativity"))
+
+
+def case_control(events: DataFrame, candidates: DataFrame, stratum: str, cases: str, controls: int, seed: int = 1) -> DataFrame:
+    """Each stratum's cases and ``controls`` times as many of its other candidates, drawn by a seeded hash."""
+    own = events.select(stratum, F.col(cases).alias("member")).distinct()
+    counts = own.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"))
+    rest = candidates.select(stratum, F.col(cases).alias("member")).distinct().join(own, [stratum, "member"], "left_anti")
+    order = Window.partitionBy(stratum).orderBy(F.xxhash64("member", F.lit(seed)), "member")
+    drawn = rest.join(counts, stratum).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= controls * F.col("n"))
+    return own.withColumn("is_case", F.lit(True)).unionByName(drawn.select(stratum, "member").withColumn("is_case", F.lit(False)))
+
+
+def balance(rows: DataFrame, treated: str, covariates: list[str]) -> DataFrame:
+    """``(covariate, smd)``: difference of means over the pooled deviation; below 0.1 counts as balanced."""
+    t = F.col(treated)
+    parts = [F.expr(f"stack({len(covariates)}, {', '.join(f"'{c}', CAST({c} AS DOUBLE)" for c in covariates)}) AS (covariate, value)")]
+    long = rows.select(treated, *parts)
+    side = lambda f, yes: f(F.when(t if yes else ~t, F.col("value")))
+    spread = F.sqrt((side(F.var_samp, True) + side(F.var_samp, False)) / 2)
+    return long.groupBy("covariate").agg(F.round((side(F.avg, True) - side(F.avg, False)) / F.nullif(spread, F.lit(0.0)), 9).alias("smd"))
+
+
+def difference_in_differences(rows: DataFrame, page: str, treated: str, after: str, outcome: str) -> DataFrame:
+    """One row ``effect``: change of treated pages less that of others, each page weighing alike (page effects)."""
+    cell = rows.groupBy(page, treated).agg(F.avg(F.when(F.col(after), F.col(outcome))).alias("a"), F.avg(F.when(~F.col(after), F.col(outcome))).alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
+    change = cell.select(treated, (F.col("a") - F.col("b")).alias("d"))
+    return change.agg(F.round(F.avg(F.when(F.col(treated), F.col("d"))) - F.avg(F.when(~F.col(treated), F.col("d"))), 6).alias("effect"))

@@ -45,3 +45,17 @@ def test_hyperevents(spark):
     assert {r.id: r.repetition for r in research.subset_repetition(ev, "id", "t", "s").collect()} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 1, 6: 3}
     each = research.inertia(ev.select("id", "page", F.explode("s").alias("e"), "t"), ["page", "e"], "t")
     assert {(r.id, r.e): r.inertia for r in each.where("id IN (2, 3)").collect()} == {(2, 1): 1, (2, 3): 0, (2, 4): 0, (3, 2): 1, (3, 3): 1}
+
+
+def test_matching(spark):
+    from loomspark.plans import research
+
+    rows = spark.createDataFrame([(1, 10, 1), (1, 11, 2), (2, 10, 3)], "page int, editor int, n int")
+    pool = spark.createDataFrame([(p, e, 0) for p in (1, 2) for e in range(10, 30)], "page int, editor int, n int")
+    drawn = research.case_control(rows, pool, "page", "editor", 3)
+    assert {(r.page, r.is_case): r["count"] for r in drawn.groupBy("page", "is_case").count().collect()} == {(1, True): 2, (1, False): 6, (2, True): 1, (2, False): 3}
+    assert sorted(map(str, drawn.collect())) == sorted(map(str, research.case_control(rows, pool, "page", "editor", 3).collect()))
+    at = rows.selectExpr("page", "editor", "date_add(DATE'2020-01-01', n) AS at")
+    assert research.core_assortativity(at, "editor", "page", "at").first().pairs == 3
+    sessions = rows.selectExpr("page", "editor", "timestamp_seconds(n * 3600) AS at")
+    assert {(r.page, tuple(r.editors)) for r in research.hyperevents(sessions, "page", "editor", "at", "2 hours").collect()} == {(1, (10, 11)), (2, (10,))}
