@@ -19,7 +19,7 @@ STEPS, RATE, SNIPPET_WORDS = 16_000, 0.5, 60
 #: Share of rightly predicted calibration rows that rejection may cost at most.
 REJECT_SHARE = 0.001
 #: Distinct words whose contribution a worker remembers.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 800_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -35,8 +35,33 @@ def letter_words(text: str) -> list[str]:
 def subwords(word: str) -> np.ndarray:
     """Buckets of the word itself and of its character pieces, edges marked."""
     marked = f"<{word}>"
-    pieces = {marked} | {marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)}
-    return np.array([zlib.crc32(p.encode()) % BUCKETS for p in sorted(pieces)], np.int64)
+    pieces = {marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)}
+    pieces.add(marked)
+    crc = zlib.crc32
+    return np.array([crc(p.encode()) for p in pieces], np.int64) & (BUCKETS - 1)
+
+
+class _WordSums(dict):
+    """Word to row of a growing array that holds its buckets' logits summed, and how many they are."""
+
+    def __init__(self, table: np.ndarray):
+        super().__init__()
+        self.table, self.rows = table, np.zeros((1024, table.shape[1] + 1))
+
+    def __missing__(self, word: str) -> int:
+        at = self[word] = len(self)
+        if at >= len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        own = subwords(word)
+        self.rows[at, :-1] = self.table[own].sum(axis=0)
+        self.rows[at, -1] = len(own)
+        return at
+
+    def of(self, words: list[str]) -> np.ndarray:
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.rows[at].sum(axis=0)
 
 
 @dataclass
@@ -50,8 +75,7 @@ class Model:
     reject_below: float = 0.0
 
     def __post_init__(self):
-        self._rows: dict[str, int] = {}
-        self._sums = np.zeros((1024, len(self.languages) + 1))
+        self._sums = _WordSums(self.table)
 
     def __getstate__(self):
         return (self.languages, self.table, self.bias, self.temperature, self.reject_below)
@@ -60,24 +84,10 @@ class Model:
         self.languages, self.table, self.bias, self.temperature, self.reject_below = state
         self.__post_init__()
 
-    def _row(self, word: str) -> int:
-        at = self._rows.get(word)
-        if at is None:
-            at = self._rows[word] = len(self._rows)
-            if at >= len(self._sums):
-                self._sums = np.concatenate([self._sums, np.zeros_like(self._sums)])
-            own = subwords(word)
-            self._sums[at, :-1] = self.table[own].sum(axis=0)
-            self._sums[at, -1] = len(own)
-        return at
-
     def logits(self, words: list[str]) -> np.ndarray:
         total = np.zeros(len(self.languages) + 1)
         for i in range(0, len(words), 50_000):
-            if len(self._rows) > WORDS_KEPT:
-                self._rows.clear()
-            rows = np.fromiter(map(self._row, words[i : i + 50_000]), np.int64)
-            total += self._sums[rows].sum(axis=0)
+            total += self._sums.of(words[i : i + 50_000])
         return total[:-1] / max(total[-1], 1) + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
