@@ -195,9 +195,10 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     Rows without an id stay.  Repeated rows of one id and text leave a single row.
     """
     stay = near_duplicates(docs, **options).where("component_id = doc_id").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id", "_mark").orderBy(F.lit(0))
-    kept = docs.join(stay, "doc_id", "left_semi").withColumn("_mark", F.xxhash64("text"))
-    kept = kept.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_mark", "_nth")
+    # the rows travel as one struct, so that no column of theirs can clash
+    rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.struct(*docs.columns).alias("row"))
+    first = Window.partitionBy("doc_id", "mark").orderBy(F.lit(0))
+    kept = rows.join(stay, "doc_id", "left_semi").withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")
     return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
 
 
