@@ -17,9 +17,9 @@ from .common import read_table, written
 #: Cells of a subtable: the fingerprint's own, then those of the retries.
 SIZES = (8, 32, 128, 512)
 ROUNDS = 24
-#: A paragraph ends at a line end, or at a sentence end that a letter from A to I follows:
+#: A paragraph ends at a line end, or at a sentence end that a letter from A to D follows:
 #: a break that content alone decides, so that long lines have several paragraphs.
-PARAGRAPH_BREAK = r"\\n+|(?<=[.!?])\\s+(?=[A-I])"
+PARAGRAPH_BREAK = r"\\n+|(?<=[.!?])\\s+(?=[A-D])"
 
 
 def digests(text: str) -> Column:
@@ -27,50 +27,81 @@ def digests(text: str) -> Column:
     return F.expr(f"array_distinct(transform(filter(split({text}, '{PARAGRAPH_BREAK}'), x -> x <> ''), x -> xxhash64(x)))")
 
 
-def _slot(key: str, place: str, size: int) -> str:
-    """Whether the digest ``key`` belongs in cell ``place`` of three subtables of ``size``."""
-    bits = size.bit_length() - 1
-    return f"(shiftrightunsigned({key}, 20 * shiftright({place}, {bits})) & {size - 1}L) = ({place} & {size - 1})"
+def _slot(key: str, table: str, size: int) -> str:
+    """The cell of a subtable that a digest belongs in: another stretch of its bits for each subtable."""
+    return f"CAST(shiftrightunsigned({key}, 20 * {table}) & {size - 1}L AS INT)"
 
 
-def cells(keys: str, size: int) -> str:
+def _cells(entries: str, size: int) -> str:
+    """Cells (n, k, c) of three subtables from entries (n, k): count, digests XORed, check hashes XORed.
+
+    A subtable's entries are parted by the high bits of their cell first, so that a cell
+    looks at its part only: about ``size`` * 3 + entries * parts steps, not cells * entries.
+    """
     zero = "named_struct('n', 0, 'k', 0L, 'c', 0L)"
-    add = "named_struct('n', a.n + 1, 'k', a.k ^ d, 'c', a.c ^ xxhash64(d))"
-    return f"transform(sequence(0, {3 * size - 1}), p -> aggregate(filter({keys}, d -> {_slot('d', 'p', size)}), {zero}, (a, d) -> {add}))"
+    add = "named_struct('n', a.n + e.n, 'k', a.k ^ e.k, 'c', a.c ^ xxhash64(e.k))"
+    slotted = f"transform({entries}, e -> named_struct('s', {_slot('e.k', 'j', size)}, 'n', e.n, 'k', e.k))"
+    parts = max(1, 1 << ((size.bit_length() - 1) // 2 - 1))
+    width = size // parts
+
+    def fill(own: str, first: str) -> str:
+        return f"transform(sequence(0, {width - 1}), i -> aggregate(filter({own}, e -> e.s = i + {first}), {zero}, (a, e) -> {add}))"
+
+    if parts == 1:
+        table = f"transform(array({slotted}), t -> {fill('t', '0')})[0]"
+    else:
+        part = f"transform(array(filter(t, e -> shiftright(e.s, {width.bit_length() - 1}) = h)), u -> {fill('u', f'{width} * h')})[0]"
+        table = f"transform(array({slotted}), t -> flatten(transform(sequence(0, {parts - 1}), h -> {part})))[0]"
+    return f"flatten(transform(sequence(0, 2), j -> {table}))"
+
+
+def cells(keys: str, size: int) -> str:
+    """The sketch of a digest array."""
+    return _cells(f"transform({keys}, d -> named_struct('n', 1, 'k', d))", size)
+
+
+_MINUS = "(x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'c', x.c ^ y.c)"
 
 
 def _difference(left: str, right: str, size: int) -> str:
-    """How many digests peeling recovers from the subtracted sketches; null if some cells stay filled."""
-    minus = "named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'c', x.c ^ y.c)"
-    start = f"named_struct('cells', zip_with({cells(left, size)}, {cells(right, size)}, (x, y) -> {minus}), 'found', 0)"
-    pure = f"abs(x.n) = 1 AND x.c = xxhash64(x.k) AND {_slot('x.k', 'p', size)}"
+    """How many digests peeling recovers from two subtracted sketches; null if some cells stay filled."""
+    start = f"named_struct('cells', zip_with({left}, {right}, {_MINUS}), 'found', 0, 'over', false)"
+    bits = size.bit_length() - 1
+    pure = f"abs(x.n) = 1 AND {_slot('x.k', f'shiftright(p, {bits})', size)} = (p & {size - 1}) AND x.c = xxhash64(x.k)"
     keys = f"array_distinct(transform(filter(s.cells, (x, p) -> {pure}), x -> named_struct('n', x.n, 'k', x.k)))"
-    take = "named_struct('n', a.n - e.n, 'k', a.k ^ e.k, 'c', a.c ^ xxhash64(e.k))"
-    left_over = f"transform(s.cells, (x, p) -> aggregate(filter(q, e -> {_slot('e.k', 'p', size)}), x, (a, e) -> {take}))"
+    left_over = f"zip_with(s.cells, {_cells('q', size)}, {_MINUS})"
     # a one-element array binds the peeled digests once for all cells
-    peel = f"transform(array({keys}), q -> IF(size(q) = 0, s, named_struct('cells', {left_over}, 'found', s.found + size(q))))[0]"
+    peel = f"transform(array({keys}), q -> IF(size(q) = 0, named_struct('cells', s.cells, 'found', s.found, 'over', true), named_struct('cells', {left_over}, 'found', s.found + size(q), 'over', false)))[0]"
     done = "IF(exists(s.cells, x -> x.n <> 0 OR x.k <> 0L OR x.c <> 0L), NULL, s.found)"
-    return f"aggregate(sequence(1, {ROUNDS}), {start}, (s, i) -> {peel}, s -> {done})"
+    return f"aggregate(sequence(1, {ROUNDS}), {start}, (s, i) -> IF(s.over, s, {peel}), s -> {done})"
 
 
-def likeness(left: str, right: str) -> Column:
+def likeness(left: str, right: str, left_cells: str, right_cells: str) -> Column:
     """Share of common digests among all of two digest arrays, from what peeling recovers.
 
-    Sizes are tried in order; sets that differ in more than the largest sketch holds
-    are compared directly.  Two empty sets are alike.
+    The base sketches are subtracted first, then larger ones are made until one peels;
+    sets that differ in more than the largest holds are compared directly.  A sketch is
+    not tried if the sizes rule it out, as the difference is at least theirs, or if a
+    stratum of the digests, a quarter of them by hash, alone differs by half its cells.
+    Two empty sets are alike.
     """
-    tries = ", ".join(_difference(left, right, size) for size in SIZES)
+    stratum = "filter({}, d -> (d & 3L) = 0L)"
+    a, b = stratum.format(left), stratum.format(right)
+    apart = f"(size({a}) + size({b}) - 2 * size(array_intersect({a}, {b})))"
+    least = f"greatest(abs(size({left}) - size({right})), 2 * {apart})"
+    tries = [f"IF(w > {3 * SIZES[0]}, NULL, {_difference(left_cells, right_cells, SIZES[0])})"]
+    tries += [f"IF(w > {3 * size}, NULL, {_difference(cells(left, size), cells(right, size), size)})" for size in SIZES[1:]]
     direct = f"size(array_except({left}, {right})) + size(array_except({right}, {left}))"
-    d = f"coalesce({tries}, {direct})"
+    d = f"transform(array({least}), w -> coalesce({', '.join(tries)}, {direct}))[0]"
     both = f"(size({left}) + size({right}))"
     # d binds once: common = (both - d) / 2, all = (both + d) / 2
     return F.expr(f"transform(array({d}), d -> IF({both} + d = 0, 1.0D, CAST({both} - d AS DOUBLE) / ({both} + d)))[0]")
 
 
-def fingerprint(keys: str) -> Column:
+def fingerprint(base_cells: str) -> Column:
     """The base sketch, cell by cell, in hexadecimal; equal texts have equal ones."""
     cell = "concat(lpad(hex(x.n), 4, '0'), lpad(hex(x.k), 16, '0'), lpad(hex(x.c), 16, '0'))"
-    return F.expr(f"lower(array_join(transform({cells(keys, SIZES[0])}, x -> {cell}), ''))")
+    return F.expr(f"lower(array_join(transform({base_cells}, x -> {cell}), ''))")
 
 
 def successors(docs: DataFrame) -> DataFrame:
@@ -99,20 +130,25 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     in half and its likeness to the next is that to an empty text.  One id alone is its
     own successor.  Further columns are ignored; an empty table gives no rows.
     """
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    # one hash exchange of the texts serves both joins
+    keyed = texts.withColumn("keys", digests("text"))
+    # one exchange of texts and digests serves both joins, as both want non-null ids
+    dealt = keyed.where("doc_id IS NOT NULL").repartition(n, "doc_id")
     first = Window.partitionBy("doc_id").orderBy("text")
-    source = texts.withColumn("nth", F.row_number().over(first)).where("nth = 1")
+    source = dealt.withColumn("nth", F.row_number().over(first)).where("nth = 1")
     wanted = successors(texts).select(F.col("doc_id").alias("for_id"), "half", F.col("next_id").alias("doc_id"))
-    tails = source.join(wanted, "doc_id").select(F.col("for_id").alias("doc_id"), F.expr("substring(text, 1, half)").alias("tail"), digests("text").alias("next_keys"))
-    both = texts.join(tails, "doc_id", "left")
+    tails = source.join(wanted, "doc_id").select(F.col("for_id").alias("doc_id"), F.expr("substring(text, 1, half)").alias("tail"), F.col("keys").alias("next_keys"))
+    both = dealt.join(tails, "doc_id", "left").unionByName(keyed.where("doc_id IS NULL"), allowMissingColumns=True)
     half = "length(text) div 2"
     cut = f"concat(substring(text, 1, CAST(length(text) - {half} AS INT)), coalesce(substring(tail, 1, CAST({half} AS INT)), ''))"
-    edited = both.select("doc_id", "text", F.expr(cut).alias("edited"), F.coalesce("next_keys", F.array().cast("array<bigint>")).alias("next_keys"))
-    keyed = edited.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digests("text").alias("keys"), digests("edited").alias("edited_keys"), "next_keys")
-    return keyed.select(
-        "doc_id", "n_chars", "edited_sha256", fingerprint("keys").alias("fingerprint"), fingerprint("edited_keys").alias("edited_fingerprint"),
-        likeness("keys", "edited_keys").alias("near_edited"), likeness("keys", "next_keys").alias("near_next"),
+    edited = both.select("doc_id", "text", "keys", F.expr(cut).alias("edited"), F.coalesce("next_keys", F.array().cast("array<bigint>")).alias("next_keys"))
+    hashed = edited.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "keys", digests("edited").alias("edited_keys"), "next_keys")
+    base = {f"{k}_cells": F.expr(cells(f"{k}keys", SIZES[0])) for k in ("", "edited_", "next_")}
+    sketched = hashed.select("*", *(c.alias(k) for k, c in base.items()))
+    return sketched.select(
+        "doc_id", "n_chars", "edited_sha256", fingerprint("_cells").alias("fingerprint"), fingerprint("edited__cells").alias("edited_fingerprint"),
+        likeness("keys", "edited_keys", "_cells", "edited__cells").alias("near_edited"), likeness("keys", "next_keys", "_cells", "next__cells").alias("near_next"),
     )
 
 
