@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from loomspark.session import ensure_importable
+
 #: What marks a heading and a signature (fixed patterns).
 SECTION, AUTHOR, STAMP = re.compile(r"^==\s*(.+?)\s*=="), re.compile(r"\[\[User:(.+?)\|"), re.compile(r"(\d{2}:\d{2}, \d{1,2} \w+ \d{4}) \(UTC\)")
 
@@ -60,6 +62,7 @@ def talk_messages(pages: DataFrame, id_col: str, text_col: str) -> DataFrame:
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ensure_importable(pages.sparkSession)
     kind = pages.schema[id_col].dataType.simpleString()
     ddl = f"`{id_col}` {kind}, {MESSAGE}"
     schema = to_arrow_schema(StructType.fromDDL(ddl))

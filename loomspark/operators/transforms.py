@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomspark.functions import columns as C
 from loomspark.functions.params import log_params
 from loomspark.schemas import TABLES
+from loomspark.session import ensure_importable
 
 from . import actors
 
@@ -21,6 +22,7 @@ def contributor(c: str) -> tuple[Column, Column, Column]:
 
 def parsed_logitems(items: DataFrame, spaces: Column) -> DataFrame:
     """Log items with typed columns, the actor's natural key and a reject reason (null: usable)."""
+    ensure_importable(items.sparkSession)
     user, name, gone = contributor("contributor")
     namespace, title = C.split_title("logtitle", spaces)
     hidden = F.coalesce(F.col("comment._deleted").isNotNull(), F.lit(False))

@@ -6,7 +6,6 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,17 +42,6 @@ def ensure_importable(spark: SparkSession) -> None:
     context._loom_ready = True
 
 
-def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """The query, run once executors can import what its plan names."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ensure_importable(spark)
-        return query(spark, sf_dir)
-
-    run.__name__ = query.__name__
-    return run
-
-
 def workspace(spark: SparkSession) -> str:
     """Folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
