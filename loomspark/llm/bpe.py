@@ -4,15 +4,17 @@ The greedy merges have one last token for every prefix of a piece: the token ``t
 ends there and is compatible with the last token of the prefix before it, meaning that
 merging the two tokens' bytes alone gives the two back.  So a left-to-right machine
 suffices.  Its state holds, for every boundary that a longer token might still start
-from, the bytes read since and the tokens pending there; a token is emitted as soon as
-all of these agree on it, at most one vocabulary token's length behind the input.
-States and transitions come into being when a text first needs them.
+from, the bytes read since and the last token there; each step names the last token of
+the prefix read.  Following last tokens back gives the ids; those that all boundaries
+still open agree on are emitted while a long piece is being read.  States and
+transitions come into being when a text first needs them.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,6 +26,8 @@ from .common import map_arrow, read_table
 
 #: Transitions a machine may hold before it forgets them and starts afresh.
 STATE_LIMIT = 400_000
+#: Bytes of a piece that wait at most before settled tokens leave.
+WINDOW = 1024
 #: Verdicts on token pairs that a machine remembers.
 PAIR_LIMIT = 600_000
 #: Pieces of text whose ids a worker remembers (twice, an older half included), and the longest such piece in bytes.
@@ -31,19 +35,20 @@ PIECE_LIMIT, PIECE_BYTES = 300_000, 48
 
 
 class Transducer:
-    """Merges compiled on demand.  A state is a tuple of (bytes since boundary, pending tokens)."""
+    """Merges compiled on demand.  A state is a tuple of (bytes since boundary, last token there)."""
 
-    START = ((b"", ()),)
+    START = ((b"", -1),)
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {i: b for b, i in ranks.items()}
+        self.size = {i: len(b) for b, i in ranks.items()}
         self.heads = {b[:n] for b in ranks for n in range(1, len(b))}  # proper prefixes of tokens
         self.reachable: dict[bytes, bool] = {}
         self.compatible: dict[int, bool] = {}
         self.states: dict[tuple, int] = {}
         self.content: list[tuple] = []
-        self.steps: dict[int, tuple[int, tuple]] = {}
+        self.steps: dict[int, tuple[int, int]] = {}
         self._reset()
 
     def _reset(self) -> None:
@@ -71,12 +76,12 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
-    def _fits(self, last: int | None, data: bytes) -> bool:
-        """Whether the token ``data`` may follow ``last`` (None: the piece's start)."""
+    def _fits(self, last: int, data: bytes) -> bool:
+        """Whether the token ``data`` may follow ``last`` (-1: the piece's start)."""
         ok = self.reachable.get(data)
         if ok is None:
             ok = self.reachable[data] = self.merged(data) == [self.ranks[data]]
-        if not ok or last is None:
+        if not ok or last < 0:
             return ok
         rank = self.ranks[data]
         pair = (last << 32) | rank
@@ -87,27 +92,43 @@ class Transducer:
             ok = self.compatible[pair] = self.merged(self.token[last] + data) == [last, rank]
         return ok
 
-    def _step(self, at: int, byte: int) -> tuple[int, tuple]:
-        """The next state and the tokens that are certain by now."""
-        state, new = self.content[at], bytes([byte])
-        ending, ranks, heads = None, self.ranks, self.heads
+    def _step(self, at: int, byte: int) -> tuple[int, int]:
+        """The next state, and the last token of the prefix that ends here."""
+        new = bytes([byte])
+        ending, ranks, heads = -1, self.ranks, self.heads
         alive = []
-        for since, pending in state:
+        for since, last in self.content[at]:
             longer = since + new
-            if ending is None and longer in ranks and self._fits(pending[-1] if pending else None, longer):
-                ending = (*pending, ranks[longer])
+            if ending < 0 and longer in ranks and self._fits(last, longer):
+                ending = ranks[longer]
             if longer in heads:
-                alive.append((longer, pending))
-        if ending is None:
+                alive.append((longer, last))
+        if ending < 0:
             raise AssertionError("a prefix without a last token")
         alive.append((b"", ending))
-        # what every boundary has pending, less the last token, which decides what may follow
-        shortest = min(len(p) for _, p in alive) - 1
-        same = 0
-        while same < shortest and all(p[same] == ending[same] for _, p in alive):
-            same += 1
-        after = tuple((since, p[same:]) for since, p in alive)
-        return self._number(after), ending[:same]
+        return self._number(tuple(alive)), ending
+
+    def _back(self, lasts: list[int], end: int) -> list[int]:
+        """The tokens up to ``end``, by following last tokens back."""
+        out, size = [], self.size
+        while end:
+            token = lasts[end - 1]
+            out.append(token)
+            end -= size[token]
+        out.reverse()
+        return out
+
+    def _settled(self, lasts: list[int], at: int) -> int:
+        """The furthest boundary that every open boundary's tokens pass through."""
+        common: set[int] | None = None
+        for since, _ in self.content[at]:
+            end = len(lasts) - len(since)
+            path = {end}
+            while end:
+                end -= self.size[lasts[end - 1]]
+                path.add(end)
+            common = path if common is None else common & path
+        return max(common)
 
     def feed(self, data: bytes) -> list[int]:
         """Ids of one piece."""
@@ -116,17 +137,19 @@ class Transducer:
             return [whole]
         if len(self.steps) > STATE_LIMIT:
             self._reset()
-        at, out, steps = 0, [], self.steps
+        at, steps, lasts, out = 0, self.steps, [], []
         for byte in data:
             key = (at << 8) | byte
             step = steps.get(key)
             if step is None:
                 step = steps[key] = self._step(at, byte)
-            at, sure = step
-            if sure:
-                out += sure
-        out += self.content[at][-1][1]
-        return out
+            at, last = step
+            lasts.append(last)
+            if len(lasts) == WINDOW:
+                sure = self._settled(lasts, at)
+                out += self._back(lasts, sure)
+                del lasts[:sure]
+        return out + self._back(lasts, len(lasts)) if out else self._back(lasts, len(lasts))
 
 
 class Utf8Machine:
@@ -174,6 +197,13 @@ class Utf8Machine:
         return broken
 
 
+def _narrowed(pattern: str) -> str:
+    """The pattern for text of ASCII characters only, where its classes are short lists: the standard module is faster on these."""
+    for wide, narrow in ((r"[^\s\p{L}\p{N}]", r"[^\t-\r A-Za-z0-9]"), (r"\p{L}", "[A-Za-z]"), (r"\p{N}", "[0-9]"), (r"\s", r"[\t-\r ]"), (r"\S", r"[^\t-\r ]")):
+        pattern = pattern.replace(wide, narrow)
+    return pattern
+
+
 class Codec:
     """Encoder and decoder over a tiktoken rank file; loaded once in each worker."""
 
@@ -189,6 +219,7 @@ class Codec:
             self.vocabulary[i] = b
         # \s of the rank files is Unicode's White_Space, which the regex module spells so
         self.pieces = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+        self.ascii_pieces = re.compile(_narrowed(pattern)).findall
         self.memo: dict[str, list[int]] = {}
         self.older: dict[str, list[int]] = {}
 
@@ -201,7 +232,7 @@ class Codec:
 
     def encode(self, text: str) -> list[int]:
         memo, out = self.memo, []
-        for piece in self.pieces(text):
+        for piece in (self.ascii_pieces if text.isascii() else self.pieces)(text):
             ids = memo.get(piece)
             if ids is None:
                 ids = self.older.get(piece)
