@@ -35,9 +35,11 @@ from .common import HashMemo, arrow_schema, map_arrow, runs, signed, written
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 #: Documents above which a minimiser's windows take the longest prefix.
-HOT_DOCUMENTS = 400
+HOT_DOCUMENTS = 1000
+#: Tasks that the rows of one window are dealt to.
+SALTS = 16
 #: Bytes of segments that a resolver gets at once.
-CHUNK_SYMBOLS = 3_000_000
+CHUNK_SYMBOLS = 1_000_000
 
 
 def sliding(values: np.ndarray, width: int, op) -> np.ndarray:
@@ -229,8 +231,11 @@ def flagged_windows(docs: DataFrame, unit, resolve: Callable, smaller_only: bool
 
     spans = solved.where("w1 IS NULL").select("doc_id", "mark", "start", "n")
     alone = solved.where("w1 IS NOT NULL")
-    meet = alone.groupBy("w1", "w2").agg(F.sum("places").alias("all_places"), F.min("least").alias("all_least"))
-    same = alone.where("doc_id IS NOT NULL").join(meet, ["w1", "w2"])
+    meet = alone.groupBy("w1", "w2").agg(F.sum("places").alias("all_places"), F.min("least").alias("all_least")).where("all_places > 1")
+    # a window that very many documents hold is dealt to several tasks
+    salted = meet.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    asks = alone.where("doc_id IS NOT NULL").withColumn("salt", F.pmod(F.hash("doc_id", "start"), F.lit(SALTS)))
+    same = asks.join(salted, ["w1", "w2", "salt"])
     repeats = same.where("all_least < doc_id" if smaller_only else "all_places > 1").select("doc_id", "mark", "start", F.lit(1).cast("bigint").alias("n"))
     return spans.unionByName(repeats).groupBy("doc_id").agg(F.collect_list(F.struct("mark", "start", "n")).alias("spans"))
 
