@@ -36,7 +36,7 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 #: Documents above which a minimiser's windows take the longest prefix.
 HOT_DOCUMENTS = 1000
-#: Tasks that the rows of one window are dealt to.
+#: Tasks that the rows of one window, or of one text, are dealt to.
 SALTS = 16
 #: Bytes of segments that a resolver gets at once.
 CHUNK_SYMBOLS = 1_000_000
@@ -148,7 +148,10 @@ def copies(docs: DataFrame) -> DataFrame:
     """``(doc_id, groups array<struct<mark,least,rows>>)`` of the texts that more than one row has."""
     digests = docs.select("doc_id", "mark", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
     several = digests.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    return digests.join(several, "digest").groupBy("doc_id").agg(F.collect_set(F.struct("mark", "least", "rows")).alias("groups"))
+    # the rows of a text that very many documents have are dealt to several tasks
+    salted = several.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    asks = digests.withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(SALTS)))
+    return asks.join(salted, ["digest", "salt"]).groupBy("doc_id").agg(F.collect_set(F.struct("mark", "least", "rows")).alias("groups"))
 
 
 def flagged_windows(docs: DataFrame, unit, resolve: Callable, smaller_only: bool, hot: int = HOT_DOCUMENTS, chunk: int = CHUNK_SYMBOLS) -> DataFrame:
