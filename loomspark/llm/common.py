@@ -1,11 +1,8 @@
-"""Shared plumbing: written tables that cut lineage, Arrow row streams, hashing."""
+"""Shared plumbing: Arrow row streams, folds, hashing; ``written`` cuts lineage (see session)."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,37 +10,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspark.session import ensure_importable
+from loomspark.session import ensure_importable, written
+
+__all__ = ["HashMemo", "arrow_schema", "crc_fold", "map_arrow", "read_table", "runs", "signed", "text_bytes", "written"]
 
 #: Entries that a per-worker memo may hold before it starts afresh.
 MEMO_LIMIT = 300_000
 
 
-def workspace(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only where the cluster names none (tests on local[*]) is a temporary folder set.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="loom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and read it back.
-
-    A lost executor then costs no recomputation of what came before, and every
-    consumer reads the same rows.
-    """
-    spark = df.sparkSession
-    path = f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -94,16 +68,18 @@ def crc_fold(column: str, parts: int):
 
 
 class HashMemo(dict):
-    """Bytes to unsigned 64-bit hash, remembered for words that return."""
+    """Bytes to unsigned 64-bit hash, remembered for words of ordinary length."""
 
     def __init__(self, limit: int = MEMO_LIMIT):
         super().__init__()
         self.limit = limit
 
     def __missing__(self, key: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = xxhash.xxh3_64_intdigest(key)
+        value = xxhash.xxh3_64_intdigest(key)
+        if len(key) <= 64:
+            if len(self) >= self.limit:
+                self.clear()
+            self[key] = value
         return value
 
 
@@ -119,16 +95,3 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return empty, empty
     start = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
     return start, np.append(start[1:], len(values))
-
-
-def chunked(items: Iterable, weigh, limit: int) -> Iterator[list]:
-    """Lists of consecutive items whose weights sum to about ``limit``."""
-    held, weight = [], 0
-    for item in items:
-        held.append(item)
-        weight += weigh(item)
-        if weight >= limit:
-            yield held
-            held, weight = [], 0
-    if held:
-        yield held

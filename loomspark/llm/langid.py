@@ -21,7 +21,8 @@ REJECT_SHARE = 0.001
 #: Distinct words whose contribution a worker remembers.
 WORDS_KEPT = 800_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Runs of letters; longer ones (scripts without spaces) come in parts, so that no word outgrows memory.
+_LETTERS = re.compile(r"[^\W\d_]{1,40}")
 
 
 def letter_words(text: str) -> list[str]:

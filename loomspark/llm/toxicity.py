@@ -35,7 +35,7 @@ REPORT_WORDS = "said says say told claimed quote quoted wrote reported called sa
 THREAT_WORDS = "kill hurt destroy burn beat shoot stab töten umbringen verbrennen schlagen tuer brûler frapper détruire matar quemar golpear destruir".split()
 
 _CLAUSE = re.compile(r"[.!?;\n]+")
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]{1,64}")  # longer runs come in parts
 
 
 @dataclass
