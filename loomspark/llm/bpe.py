@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, read_table
+from .common import map_arrow, read_table, spread
 
 #: Transitions a machine may hold before it forgets them and starts afresh.
 STATE_LIMIT = 400_000
@@ -297,4 +297,4 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return encode_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encode_documents(spread(read_table(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loomspark.session import ensure_importable, written
 
-__all__ = ["HashMemo", "arrow_schema", "crc_fold", "map_arrow", "read_table", "runs", "signed", "text_bytes", "written"]
+__all__ = ["HashMemo", "arrow_schema", "crc_fold", "map_arrow", "read_table", "runs", "signed", "spread", "text_bytes", "written"]
 
 #: Entries that a per-worker memo may hold before it starts afresh.
 MEMO_LIMIT = 300_000
@@ -22,6 +22,12 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than the cluster has cores, dealt to all of them; any larger one as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` over ``fn(batch_as_dict_of_columns) -> dict of columns or None``."""
     ensure_importable(df.sparkSession)

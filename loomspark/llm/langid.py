@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_fold, map_arrow, read_table
+from .common import crc_fold, map_arrow, read_table, spread
 
 #: Labelled rows that the model is fitted on at most, and the characters such a row may have.
 SAMPLE_ROWS, SAMPLE_CHARS = 6000, 65_536
@@ -219,5 +219,6 @@ def keep_identified(docs: DataFrame) -> DataFrame:
 
 
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = identify(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents")
+    out = predictions(spread(docs), fit(labelled_sample(docs)))
     return out.select("doc_id", (F.coalesce(crc_fold("doc_id", 5) == 0, F.lit(False))).alias("held_out"), "lang_pred", "score", "rejected")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, map_arrow, read_table, written
+from .common import arrow_schema, map_arrow, read_table, spread, written
 
 SEQUENCE_TOKENS = 2048
 #: Pieces packed together in one task: enough for tight bins, small enough for memory.
@@ -246,4 +246,4 @@ def packed_documents(docs: DataFrame, path: str | None = None, capacity: int = S
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed_documents(read_table(spark, sf_dir, "documents"))
+    return packed_documents(spread(read_table(spark, sf_dir, "documents")))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import map_arrow, read_table, signed, text_bytes, written
+from .common import map_arrow, read_table, signed, spread, text_bytes, written
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -203,5 +203,5 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = near_duplicates(read_table(spark, sf_dir, "documents"))
+    out = near_duplicates(spread(read_table(spark, sf_dir, "documents")))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

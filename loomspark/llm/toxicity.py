@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_fold, map_arrow, read_table
+from .common import crc_fold, map_arrow, read_table, spread
 
 #: Labelled rows of each class that the grammar is fitted on at most, and the characters such a row may have.
 SAMPLE_ROWS, SAMPLE_CHARS = 3000, 65_536
@@ -240,5 +240,5 @@ def scores(docs: DataFrame, model: Grammar) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = fit(labelled_sample(docs, read_table(spark, sf_dir, "labels")))
-    out = scores(docs, model)
+    out = scores(spread(docs), model)
     return out.select("doc_id", F.coalesce(crc_fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
