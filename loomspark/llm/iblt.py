@@ -17,9 +17,9 @@ from .common import read_table, written
 #: Cells of a subtable: the fingerprint's own, then those of the retries.
 SIZES = (8, 32, 128, 512)
 ROUNDS = 24
-#: A paragraph ends at a line end, or at a sentence end that a letter from A to D follows:
-#: a break that content alone decides, so that long lines have several paragraphs.
-PARAGRAPH_BREAK = r"\\n+|(?<=[.!?])\\s+(?=[A-D])"
+#: A paragraph ends at a line end or a sentence end: a break that content alone decides,
+#: so that long lines have several paragraphs.
+PARAGRAPH_BREAK = r"\\n+|(?<=[.!?])\\s+"
 
 
 def digests(text: str) -> Column:

@@ -300,3 +300,11 @@ def test_tree_skips_pages():
     for q in points[::900]:
         exact = sorted(((-int(q @ x), i) for i, x in enumerate(points)))[:5]
         assert [(-s, i) for s, i in exact] == tree.search(q, 5, None)
+
+
+def test_sentences_of_one_line_are_paragraphs(spark):
+    """A text of one line whose sentences start with any letter shares what the edit left."""
+    text = " ".join(f"{w} sentence number {i} here." for i, w in enumerate(["The", "When", "some", "It", "He", "She", "They", "x"]))
+    docs = spark.createDataFrame([(1, text), (2, "Other words. " * 30)], "doc_id bigint, text string")
+    near = {r.doc_id: r.near_edited for r in iblt.edited_fingerprints(docs).collect()}
+    assert near[1] >= 0.25
