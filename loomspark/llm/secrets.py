@@ -12,6 +12,7 @@ import random
 import re
 import string
 from functools import lru_cache
+from itertools import takewhile
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -233,16 +234,16 @@ def field_spans(text: str, field: Field) -> list[tuple[int, int, str]]:
         if m.end() - m.start() < SHORTEST or m.start() < done:
             continue
         file = file or file_features(text)
-        a, b = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
-        tokens = [t for t in _TOKEN.finditer(text, a, b) if (t.start() > a or a == 0) and (t.end() < b or b == len(text))]
-        if not tokens:
-            continue
+        end = _TOKEN.match(text, m.start()).end()
+        a, b = max(0, m.start() - CONTEXT), min(len(text), end + CONTEXT)
+        # a token over the right edge is context here, and decoded again with its own
+        tokens = [t for t in takewhile(lambda t, b=b: t.start() < b, _TOKEN.finditer(text, a)) if t.start() > a or a == 0]
         tags = field.viterbi(features([t.group() for t in tokens], file))
         done = b
-        # a token near the right edge is decoded again with its own context
-        sure = m.end() + CONTEXT // 2 if b < len(text) else b
+        # and so is one near the edge
+        sure = end + CONTEXT // 2 if b < len(text) else b
         for t, tag in zip(tokens, tags, strict=True):
-            if t.start() >= sure:
+            if t.start() >= sure or t.end() >= b < len(text):
                 done = t.start()
                 break
             if tag == BEGIN:

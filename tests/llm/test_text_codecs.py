@@ -168,3 +168,15 @@ def test_search_saves_bins():
         assert len(shelf.bins) <= before
         better += len(shelf.bins) < before
     assert better > 0
+
+
+def test_long_secret_behind_odd_token():
+    """A secret that starts inside the window of another odd token and ends beyond it is found."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    pick = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    jwt = f"eyJ{pick(40)}.eyJ{pick(80)}.{pick(74)}"
+    assert len(jwt) >= 200
+    text = f'curl https://api.example.com/v1/users -H "Authorization: Bearer {jwt}" and more text follows ' + "plain words " * 30
+    assert jwt in [text[a:b] for a, b, k in secrets.find_secrets(text, secrets.trained())[1] if k == "crf"]
+    assert jwt not in secrets.redacted(text, secrets.trained())
