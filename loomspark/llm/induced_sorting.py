@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_arrow, read_table
-from .repeats import Octets, Segment, covered, flagged_windows, gram_hashes, runs, with_spans
+from .repeats import Octets, Segment, covered, flagged_windows, gram_hashes, identified, runs, with_spans
 
 WINDOW_BYTES = 400
 TRIGGER_BYTES = 16
@@ -331,35 +331,32 @@ def resolve_bytes(segments: list[Segment], window: int, smaller_only: bool) -> I
 
 
 def byte_dedup(docs: DataFrame, window: int = WINDOW_BYTES, **limits) -> DataFrame:
-    """``(doc_id, mark, n_bytes, n_removed, n_spans, kept_sha256, kept)``, a row for each input row.
+    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)``, a row for each input row.
 
     A byte of the UTF-8 text goes when a string of ``window`` bytes that covers it also
     starts anywhere else, in the same document too.  Null texts are empty; texts shorter
-    than a window stay whole; rows that share an id are rows like any other as long as
-    their texts differ, and equal rows of one id are told apart by nothing, so both go;
-    rows with a null id take part under a number of their own; further columns are
-    ignored; an empty table gives no rows.
+    than a window stay whole; texts of any length are read whole; rows that share an id,
+    a null one too, are rows like any other, so of equal rows all go; further columns are
+    ignored, whatever their names; an empty table gives no rows.
     """
 
     def run(cols):
         out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
-        for d, mark, text, groups, spans in zip(*(cols[c].to_pylist() for c in ("doc_id", "mark", "text", "groups", "spans")), strict=True):
+        for mark, text, spans in zip(*(cols[c].to_pylist() for c in ("mark", "text", "spans")), strict=True):
             data = (text or "").encode()
-            gone = covered(spans, groups, mark, d, window, len(data), smaller_only=False)
-            kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if spans or groups else data
+            gone = covered(spans, mark, window, len(data))
+            kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if spans else data
             start, _ = runs(gone)
             out["n_bytes"].append(len(data))
             out["n_removed"].append(int(gone.sum()))
             out["n_spans"].append(int(gone[start].sum()))
             out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
             out["kept"].append(kept)
-        return out | {k: cols[k] for k in ("doc_id", "mark")}
+        return out | {"doc_id": cols["doc_id"]}
 
-    null_id = F.lit(-(2**63)).cast("bigint")
-    marked = docs.select(F.coalesce("doc_id", null_id).alias("doc_id"), F.hash("text").alias("mark"), "text")
-    flags = flagged_windows(marked, Octets(window), resolve_bytes, smaller_only=False, **limits)
-    schema = "doc_id bigint, mark int, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
-    return map_arrow(with_spans(marked, marked, flags), run, schema).withColumn("doc_id", F.nullif("doc_id", null_id))
+    rows = identified(docs.select("doc_id", "text"))
+    flags = flagged_windows(rows, Octets(window), resolve_bytes, smaller_only=False, **limits)
+    return map_arrow(with_spans(rows, flags), run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
 
 
 def op5_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,32 +1,32 @@
-"""Repeated windows across a corpus, grouped by a sampled prefix.
-
-Every window of ``window`` consecutive symbols has one minimiser: the least hash of
-the ``gram``-symbol pieces inside it.  Equal windows have equal minimisers, so the
-minimiser names the group in which a window can meet its equals.  The work runs in
-four steps, each over one exchange:
-
-1. per Arrow batch, one row for each minimiser with the ids of the documents that
-   hold it (a frequent one collapses before the shuffle);
-2. minimisers with more than one place go back to their documents;
-3. documents emit, for each such minimiser, the run of windows that it names as one
-   segment; equal segments of a batch collapse again.  A minimiser in more than
-   ``hot`` documents is prefix-extended: its rows are dealt by (minimiser, segment);
-4. a group's distinct segments go to a resolver (suffix tree or induced sorting).
-   Segments of prefix-extended groups become single windows, the longest prefix
-   there is, and meet in an aggregate with map-side combine.
-
-Nothing holds a group that grows without bound: rows stream in key order and the
-resolver sees chunks of bounded size.
+"""Repeated windows across a corpus, grouped by prefixes of variable length.
+
+Every window of ``window`` consecutive symbols has a minimiser: the least hash of the
+``gram``-symbol pieces inside it.  Equal windows have equal minimisers, so the
+minimiser names the group in which a window can meet its equals.  Each level works over
+two exchanges:
+
+1. per Arrow batch, one row for each minimiser, with the weight of its windows; rows of
+   a batch in which it stands twice need no answer and are dealt by document instead, so
+   that a minimiser of very many documents sends one place a batch to its group;
+2. minimisers with more than one place go back to their documents, which emit the runs of
+   windows that these name as segments.  Equal segments of a batch collapse to one place
+   as well: the others are known to repeat and leave as spans;
+3. a group's distinct segments go to a resolver (suffix tree or induced sorting).
+
+A group heavier than ``group`` symbols does not fit that step.  Its windows go to the
+next level, where the piece that names them is twice as long (in the end the whole
+window), as often as needed.  Every group that is resolved fits in memory, whatever the
+size of the corpus, and at the last level a group is one window.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +34,13 @@ from .common import HashMemo, arrow_schema, map_arrow, runs, signed, written
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
-#: Documents above which a minimiser's windows take the longest prefix.
-HOT_DOCUMENTS = 1000
-#: Tasks that the rows of one window, or of one text, are dealt to.
-SALTS = 16
-#: Bytes of segments that a resolver gets at once.
-CHUNK_SYMBOLS = 1_000_000
+#: Bytes of segments that a resolver gets at once; it takes whole groups.
+CHUNK_BYTES = 1_000_000
+
+#: A place of a segment: row, mark of its text, first window, and how many windows from there.
+_PLACE = "<qiii"
+#: Windows of a text that repeat.
+_SPAN = np.dtype([("mark", "<i4"), ("start", "<i4"), ("n", "<i4")])
 
 
 def sliding(values: np.ndarray, width: int, op) -> np.ndarray:
@@ -52,25 +53,42 @@ def sliding(values: np.ndarray, width: int, op) -> np.ndarray:
     return op(out[: len(out) - rest], out[rest:]) if rest else out
 
 
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(29))) * _MIX
+    return values ^ (values >> np.uint64(32))
+
+
 def gram_hashes(symbols: np.ndarray, gram: int) -> np.ndarray:
-    """A mixed hash of every ``gram`` (a power of two) neighbouring symbols."""
+    """A mixed hash of every ``gram`` neighbouring symbols."""
     out, step = symbols, 1
     with np.errstate(over="ignore"):
         power = np.array(_MULT)
-        while step < gram:
+        while step * 2 <= gram:
             out = out[:-step] * power + out[step:]
             power = power * power
             step *= 2
-        out = out ^ (out >> np.uint64(29))
-        out = out * _MIX
-        return out ^ (out >> np.uint64(32))
+        if rest := gram - step:
+            out = out[:-rest] * power + out[rest:]
+        return _mixed(out)
+
 
+class Unit:
+    """How a text falls into symbols, and the lengths of the pieces that name its windows."""
 
-class Words:
+    def __init__(self, window: int, gram: int, group: int):
+        self.window, self.group = window, group
+        self.grams = []
+        while gram < window:
+            self.grams.append(gram)
+            gram *= 2
+        self.grams.append(window)
+
+
+class Words(Unit):
     """Words between the six ASCII white-space bytes."""
 
-    def __init__(self, window: int = 13, gram: int = 4):
-        self.window, self.gram = window, gram
+    def __init__(self, window: int = 13, gram: int = 4, group: int = 400_000):
+        super().__init__(window, gram, group)
         self.memo = HashMemo()
 
     def split(self, text: bytes) -> list[bytes]:
@@ -83,14 +101,14 @@ class Words:
         return b" ".join(parts[start:end])
 
     def __reduce__(self):
-        return Words, (self.window, self.gram)
+        return Words, (self.window, self.grams[0], self.group)
 
 
-class Octets:
+class Octets(Unit):
     """Single bytes."""
 
-    def __init__(self, window: int = 400, gram: int = 64):
-        self.window, self.gram = window, gram
+    def __init__(self, window: int = 400, gram: int = 64, group: int = 4_000_000):
+        super().__init__(window, gram, group)
 
     def split(self, text: bytes) -> bytes:
         return text
@@ -102,314 +120,354 @@ class Octets:
         return parts[start:end]
 
 
-def minimisers(unit, parts) -> np.ndarray:
-    """The minimiser of each window; none if the document is shorter than one."""
+def window_names(unit: Unit, parts, level: int = 0) -> list[np.ndarray]:
+    """The name of each window at every level up to ``level``; none if the document is shorter than one.
+
+    A name stands for the minimisers of all levels so far, so names of one level part those of the level before.
+    """
     if len(parts) < unit.window:
-        return np.zeros(0, np.uint64)
-    return sliding(gram_hashes(unit.symbols(parts), unit.gram), unit.window - unit.gram + 1, np.minimum)
+        return [np.zeros(0, np.uint64)] * (level + 1)
+    symbols, out = unit.symbols(parts), []
+    with np.errstate(over="ignore"):
+        for gram in unit.grams[: level + 1]:
+            least = sliding(gram_hashes(symbols, gram), unit.window - gram + 1, np.minimum)
+            out.append(_mixed(out[-1] * _MULT + least) if out else least)
+    return out
 
 
-def named_grams(unit, parts, inside: bool) -> tuple[np.ndarray, np.ndarray]:
-    """The document's distinct minimisers and their places.
+def minimisers(unit: Unit, parts) -> np.ndarray:
+    """The minimiser of each window; none if the document is shorter than one."""
+    return window_names(unit, parts)[0]
 
-    With ``inside``, places count every piece that is the least of some window, so that
-    windows that repeat inside one document are met too; else each counts once.
-    """
-    if len(parts) < unit.window:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    grams, width = gram_hashes(unit.symbols(parts), unit.gram), unit.window - unit.gram + 1
-    least = sliding(grams, width, np.minimum)
-    if not inside:
-        own = np.unique(least[runs(least)[0]])
-        return own, np.ones(len(own), np.int64)
+
+def _pieces(unit: Unit, parts) -> np.ndarray:
+    """For each distinct minimiser, ascending: how many of its pieces are the least of some window."""
+    grams, width = gram_hashes(unit.symbols(parts), unit.grams[0]), unit.window - unit.grams[0] + 1
     pad = np.zeros(width - 1, np.uint64)
-    return np.unique(grams[sliding(np.concatenate([pad, least, pad]), width, np.maximum) == grams], return_counts=True)
+    least = np.concatenate([pad, sliding(grams, width, np.minimum), pad])
+    return np.unique(grams[sliding(least, width, np.maximum) == grams], return_counts=True)[1]
+
+
+def _open_runs(names: list[np.ndarray], asked) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of windows of equal name, of those only whose name a level before is asked for."""
+    start, end = runs(names[-1])
+    if len(names) > 1 and len(start):
+        inside = np.isin(signed(names[-2][start]), np.array(asked, np.int64))
+        start, end = start[inside], end[inside]
+    return start, end
 
 
 @dataclass
 class Segment:
-    """A distinct segment of a group and where it stands."""
+    """A distinct segment of a group."""
 
     group: int
     text: bytes
     windows: int
     count: int  # places, over all documents
     least: int  # smallest document id
-    doc: list  # rows (doc, mark, start) that its own flags concern
+    places: list  # (rid, mark, start, n) that its own flags concern
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, further columns) with ``rid``, a hash of id and text that rows are dealt and met by,
+    and ``mark``, a second hash of the text.
+
+    Rows of equal id and text share both and get the same answer.  Rows of other texts
+    under one id, null ids among them, are dealt apart.
+    """
+    return docs.withColumn("rid", F.xxhash64("doc_id", "text")).withColumn("mark", F.hash("text"))
 
 
 def dealt_texts(docs: DataFrame) -> DataFrame:
-    """The texts by document id; every use below is the same exchange, done once."""
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return docs.repartition(n, "doc_id")
+    """The rows dealt by ``rid``; every use of one plan is the same exchange, done once."""
+    return docs.repartition(_parts(docs), "rid")
 
 
-def copies(docs: DataFrame) -> DataFrame:
-    """``(doc_id, groups array<struct<mark,least,rows>>)`` of the texts that more than one row has."""
-    digests = docs.select("doc_id", "mark", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
-    several = digests.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    # the rows of a text that very many documents have are dealt to several tasks
-    salted = several.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    asks = digests.withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(SALTS)))
-    return asks.join(salted, ["digest", "salt"]).groupBy("doc_id").agg(F.collect_set(F.struct("mark", "least", "rows")).alias("groups"))
+def _parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def flagged_windows(docs: DataFrame, unit, resolve: Callable, smaller_only: bool, hot: int = HOT_DOCUMENTS, chunk: int = CHUNK_SYMBOLS) -> DataFrame:
-    """``(doc_id, groups, spans array<struct<mark,start,n>>)`` of window starts whose content repeats.
+def _rows(cols, smaller_only: bool) -> Iterator[tuple]:
+    """(rid, doc_id, mark, text, asked names) of each row that takes part."""
+    asked = cols["hs"].to_pylist() if "hs" in cols else [None] * len(cols["rid"])
+    for r, d, k, t, hs in zip(cols["rid"].to_pylist(), cols["doc_id"].to_pylist(), cols["mark"].to_pylist(), cols["text"].cast(pa.binary()).to_pylist(), asked, strict=True):
+        if t and not (smaller_only and d is None):
+            yield r, d or 0, k, t, hs
 
-    ``docs`` has doc_id (not null), mark (a hash of the text that tells rows of one id
-    apart) and text.  With ``smaller_only`` a window counts only when it also starts in a
-    document of smaller id; else when it starts anywhere else.  ``resolve(segments,
-    window, smaller_only)`` yields (segment index, boolean array) over distinct segments.
 
-    Whole copies are settled by their digests before any window is looked at: of equal
-    texts only the smallest id's goes on and stands for all; ``groups`` tells the rest.
+def flagged_windows(docs: DataFrame, unit: Unit, resolve: Callable, smaller_only: bool, group: int | None = None, chunk: int = CHUNK_BYTES) -> DataFrame:
+    """``(rid, spans array<binary>)`` of window starts whose content repeats.
+
+    ``docs`` is a table of :func:`identified` rows.  With ``smaller_only`` a window counts
+    only when it also starts in a document of smaller id, and rows without an id take no
+    part; else when it starts anywhere else.  ``resolve(segments, window, smaller_only)``
+    yields (segment index, boolean array) over distinct segments.  ``group`` is the
+    weight in symbols up to which a group is resolved at once.
     """
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    standing = dealt_texts(docs).join(copies(docs), "doc_id", "left")
-
-    def texts(cols):
-        """(id, mark, rows it stands for, text) of the rows that go on."""
-        for d, k, t, groups in zip(cols["doc_id"].to_pylist(), cols["mark"].to_pylist(), cols["text"].cast(pa.binary()).to_pylist(), cols["groups"].to_pylist(), strict=True):
-            own = copy_of(groups, k)
-            if own is None or own["least"] == d:
-                yield d, k, own["rows"] if own else 1, t or b""
-
-    def grams(cols):
-        """Rows (h, at): each minimiser of the batch with the packed ids of its places (two for a text that repeats in itself or in a copy)."""
-        hs, ids = [], []
-        for d, _, rows, t in texts(cols):
-            own, times = named_grams(unit, unit.split(t), inside=not smaller_only)
-            times = np.ones(len(own), np.int64) if smaller_only else np.minimum(np.maximum(times, rows), 2)
-            hs.append(np.repeat(own, times))
-            ids.append(np.full(len(hs[-1]), d, np.int64))
-        if not sum(map(len, hs)):
-            return None
-        h, d = np.concatenate(hs), np.concatenate(ids)
-        order = np.argsort(h, kind="stable")
-        h, d = h[order], d[order]
-        start, _ = runs(h)
-        offsets = pa.array(np.append(start, len(h)).astype(np.int32) * 8)
-        return {"h": pa.array(signed(h[start])), "at": pa.Array.from_buffers(pa.binary(), len(start), [None, offsets.buffers()[1], pa.py_buffer(d.tobytes())])}
-
-    held = map_arrow(standing, grams, "h bigint, at binary").repartition(n, "h").sortWithinPartitions("h")
-    shared = held.mapInArrow(_sharing(hot, arrow_schema(docs.sparkSession, "doc_id bigint, h bigint, hot boolean")), "doc_id bigint, h bigint, hot boolean")
-    wanted = shared.groupBy("doc_id").agg(F.collect_list("h").alias("hs"), F.collect_list("hot").alias("hots"))
-    given = standing.join(wanted, "doc_id")
-
-    def segments(cols):
-        """Rows (h, part, hot, text, windows, at): one for each distinct segment of the batch, its places packed as (id, mark, start, rows)."""
-        found: dict[tuple[int, bytes], list] = {}
-        lists = {d: w for d, *w in zip(cols["doc_id"].to_pylist(), cols["hs"].to_pylist(), cols["hots"].to_pylist(), strict=True)}
-        for d, k, rows, t in texts(cols):
+    spark = docs.sparkSession
+    group = unit.group if group is None else group
+    texts, found = dealt_texts(docs), []
+    source = docs.select("rid", "doc_id", "mark", "text")
+    for level in range(len(unit.grams)):
+        last = level == len(unit.grams) - 1
+        schema = "h bigint, deal bigint, at binary, weight bigint"
+        held = map_arrow(source, _gram_rows(unit, level, smaller_only), schema).repartition(_parts(docs), F.coalesce("deal", "h")).sortWithinPartitions("h")
+        schema = "rid bigint, h bigint, heavy boolean"
+        shared = written(held.mapInArrow(_sharing(None if last else group, arrow_schema(spark, schema)), schema), "shared")
+        heavy = shared.where("heavy").select("h").distinct()
+        going = not last and not heavy.isEmpty()
+        wanted = shared.join(heavy, "h", "left_anti") if going else shared
+        given = texts.join(_asked(wanted), "rid")
+        schema = "h bigint, deal bigint, text binary, windows int, places bigint, least bigint, at binary"
+        kept = map_arrow(given, _segment_rows(unit, level, smaller_only), schema)
+        keyed = kept.repartition(_parts(docs), F.coalesce("deal", "h")).sortWithinPartitions("h", "text")
+        schema = "rid bigint, at binary"
+        found.append(keyed.mapInArrow(_solver(unit, None if last else resolve, smaller_only, chunk, arrow_schema(spark, schema)), schema))
+        if not going:
+            break
+        source = texts.join(_asked(shared.join(heavy, "h", "left_semi")), "rid").select("rid", "doc_id", "mark", "text", "hs")
+    spans = found[0]
+    for more in found[1:]:
+        spans = spans.unionByName(more)
+    return spans.groupBy("rid").agg(F.collect_set("at").alias("spans"))
+
+
+def _asked(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("rid").agg(F.collect_set("h").alias("hs"))
+
+
+def _gram_rows(unit: Unit, level: int, smaller_only: bool):
+    """Rows (h, deal, at, weight): a name of the batch, packed row ids, symbols.
+
+    One row for each name goes to its group (deal null) with the first row's id, twice if
+    the name stands twice in the batch; then a second row has the ids of all others.
+    """
+
+    def run(cols):
+        hs, ids, times, weights = [], [], [], []
+        for rid, _, _, t, asked in _rows(cols, smaller_only):
             parts = unit.split(t)
-            m = signed(minimisers(unit, parts))
-            start, end = runs(m)
+            names = window_names(unit, parts, level)
+            start, end = _open_runs(names, asked)
             if not len(start):
                 continue
-            hs = np.array(lists[d][0], np.int64)
-            order = np.argsort(hs)
-            hs, hots = hs[order], np.array(lists[d][1], bool)[order]
-            at = np.minimum(np.searchsorted(hs, m[start]), len(hs) - 1)
-            pick = np.flatnonzero(hs[at] == m[start])
-            for s, e, h, w in zip(start[pick].tolist(), end[pick].tolist(), m[start[pick]].tolist(), hots[at[pick]].tolist(), strict=True):
-                text = unit.segment(parts, s, e + unit.window - 1)
-                found.setdefault((h, text), [w, e - s]).append((d, k, s, rows))
-        if not found:
+            own, at = np.unique(names[-1][start], return_inverse=True)
+            hs.append(own)
+            ids.append(np.full(len(own), rid, np.int64))
+            weights.append(np.bincount(at, end - start).astype(np.int64) + unit.window - 1)
+            if smaller_only:
+                times.append(np.ones(len(own), np.int64))
+            else:  # a window can repeat inside one document
+                times.append(_pieces(unit, parts) if level == 0 else np.full(len(own), 2))
+        if not hs:
             return None
-        values = list(found.values())
+        h, rid, times, weight = map(np.concatenate, (hs, ids, times, weights))
+        order = np.argsort(h, kind="stable")
+        h, rid = h[order], rid[order]
+        start, end = runs(h)
+        twice = np.add.reduceat(times[order], start) > 1
+        first = np.repeat(rid[start], np.where(twice, 2, 1))
+        several = np.flatnonzero(end - start > 1)
+        others = np.ones(len(h), bool)
+        others[start] = False
+        sizes = np.concatenate([np.where(twice, 2, 1), (end - start - 1)[several]])
+        offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32) * 8)
+        data = pa.py_buffer(np.concatenate([first, rid[others]]).tobytes())
+        none = len(start)
+        deal = np.concatenate([np.zeros(none, np.int64), rid[start[several] + 1]])
         return {
-            "h": [h for h, _ in found],
-            "part": [xxhash.xxh64_intdigest(t) >> 1 if v[0] else 0 for (_, t), v in zip(found, values, strict=True)],
-            "hot": [v[0] for v in values],
-            "text": [t for _, t in found],
-            "windows": [v[1] for v in values],
-            "at": [np.array(v[2:], _PLACE).tobytes() for v in values],
+            "h": pa.array(signed(np.concatenate([h[start], h[start[several]]]))),
+            "deal": pa.array(deal, mask=np.arange(len(deal)) < none),
+            "at": pa.Array.from_buffers(pa.binary(), len(sizes), [None, offsets.buffers()[1], data]),
+            "weight": pa.array(np.concatenate([np.add.reduceat(weight[order], start), np.zeros(len(several), np.int64)])),
         }
 
-    kept = map_arrow(given, segments, "h bigint, part bigint, hot boolean, text binary, windows int, at binary")
-    keyed = kept.repartition(n, "h", "part").sortWithinPartitions("h", "part", "text")
-    out_schema = "doc_id bigint, mark int, start bigint, n bigint, w1 bigint, w2 bigint, places bigint, least bigint"
-    solved = written(keyed.mapInArrow(_solver(unit, resolve, smaller_only, chunk, arrow_schema(docs.sparkSession, out_schema)), out_schema), "repeats")
-
-    spans = solved.where("w1 IS NULL").select("doc_id", "mark", "start", "n")
-    alone = solved.where("w1 IS NOT NULL")
-    meet = alone.groupBy("w1", "w2").agg(F.sum("places").alias("all_places"), F.min("least").alias("all_least")).where("all_places > 1")
-    # a window that very many documents hold is dealt to several tasks
-    salted = meet.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    asks = alone.where("doc_id IS NOT NULL").withColumn("salt", F.pmod(F.hash("doc_id", "start"), F.lit(SALTS)))
-    same = asks.join(salted, ["w1", "w2", "salt"])
-    repeats = same.where("all_least < doc_id" if smaller_only else "all_places > 1").select("doc_id", "mark", "start", F.lit(1).cast("bigint").alias("n"))
-    return spans.unionByName(repeats).groupBy("doc_id").agg(F.collect_list(F.struct("mark", "start", "n")).alias("spans"))
-
-
-#: A place of a segment: document, mark, first window, and the rows that the text stands for.
-_PLACE = np.dtype([("doc", "<i8"), ("mark", "<i4"), ("start", "<i4"), ("rows", "<i4")])
-
-
-def copy_of(groups, mark):
-    """The group of equal texts that the row with this mark belongs to, if any."""
-    return next((g for g in groups or () if g["mark"] == mark), None)
+    return run
 
 
-def _sharing(hot: int, schema: pa.Schema):
-    """From rows (h, at) sorted by h: (doc_id, h, hot) for each place of a minimiser with two or more.
+def _sharing(group: int | None, schema: pa.Schema):
+    """From rows of :func:`_gram_rows`, sorted by h: (rid, h, heavy) for each place of a name with two or more.
 
-    A run is held until it ends or has more than ``hot`` places; from then on its rows
-    pass straight through, so that no run has to fit in memory.
+    An open run holds one id a batch of the scan.  Only rows that went to the group know its weight.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []  # rows (h, id) of the last, open run
-        passing = None  # the h of an open run that is known to be hot
+        held: list[tuple[np.ndarray, ...]] = []  # rows (h, id, weight) of the last, open run
         for batch in batches:
             if not batch.num_rows:
                 continue
-            column = batch.column(1)
-            ids = np.concatenate([np.frombuffer(b, "<i8") for b in column.to_pylist()])
-            sizes = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-            h = np.repeat(batch.column(0).to_numpy(), np.diff(sizes) // 8)
-            if passing is not None:
-                going = int(np.searchsorted(h != passing, True)) if (h != passing).any() else len(h)
-                yield from emit(h[:going], ids[:going], np.ones(going, bool))
-                h, ids = h[going:], ids[going:]
-                if not len(h):
+            column = batch.column(2)
+            ids = np.frombuffer(b"".join(column.to_pylist()), "<i8")
+            sizes = np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]) // 8
+            h = np.repeat(batch.column(0).to_numpy(), sizes)
+            to_group = np.repeat(batch.column(1).is_null().to_numpy(zero_copy_only=False), sizes)
+            if not to_group.all():
+                yield _pairs(ids[~to_group], h[~to_group], False)
+                if not to_group.any():
                     continue
-                passing = None
+            # an id that stands for two places has its row's weight once
+            weight = np.zeros(len(h), np.int64)
+            weight[np.cumsum(sizes) - 1] = batch.column(3).to_numpy()
+            rows = tuple(x[to_group] for x in (h, ids, weight))
             if held:
-                h = np.concatenate([*(x for x, _ in held), h])
-                ids = np.concatenate([*(x for _, x in held), ids])
-            start, end = runs(h)
-            cut = int(start[-1])
-            yield from settled(h[:cut], ids[:cut])
-            held = [(h[cut:], ids[cut:])]
-            if len(h) - cut > hot:
-                passing = int(h[-1])
-                yield from emit(h[cut:], ids[cut:], np.ones(len(h) - cut, bool))
-                held = []
+                rows = tuple(np.concatenate(x) for x in zip(*held, rows, strict=True))
+            cut = int(runs(rows[0])[0][-1])
+            if cut:
+                yield settled(*(x[:cut] for x in rows))
+            held = [tuple(x[cut:] for x in rows)]
         if held:
-            yield from settled(*held[0])
+            yield settled(*held[0])
 
-    def settled(h, ids):
+    def settled(h, ids, weight):
         start, end = runs(h)
-        if len(start):
-            size = np.repeat(end - start, end - start)
-            several = size > 1
-            yield from emit(h[several], ids[several], size[several] > hot)
+        size = np.repeat(end - start, end - start)
+        heavy = np.repeat(np.add.reduceat(weight, start) > group, end - start) if group is not None else np.zeros(len(h), bool)
+        # one row of a document is enough
+        once = np.append(True, (h[1:] != h[:-1]) | (ids[1:] != ids[:-1])) & (size > 1)
+        return _pairs(ids[once], h[once], heavy[once])
 
-    def emit(h, ids, is_hot):
-        if len(h):
-            # one id of a run is enough for its document
-            once = np.append(True, (h[1:] != h[:-1]) | (ids[1:] != ids[:-1]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[once]), pa.array(h[once]), pa.array(is_hot[once])], schema=schema)
+    def _pairs(ids, h, heavy):
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(h), pa.array(np.broadcast_to(heavy, len(h)))], schema=schema)
 
     return run
 
 
-def _solver(unit, resolve, smaller_only: bool, chunk: int, schema: pa.Schema):
-    window = unit.window
+def _segment_rows(unit: Unit, level: int, smaller_only: bool):
+    """Rows (h, deal, text, windows, places, least, at): the distinct segments of the batch under asked names.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: dict[str, list] = {f: [] for f in schema.names}
+    ``at`` packs the places that still need the group's answer.  The others are known to
+    repeat: they leave as packed spans of their row, in one row with the row's id as ``deal``.
+    At the last level a run of windows of one name is one window, ``n`` times.
+    """
+    last = level == len(unit.grams) - 1
+
+    def run(cols):
+        found: dict[tuple[int, bytes], list] = {}
+        for rid, d, k, t, asked in _rows(cols, smaller_only):
+            parts = unit.split(t)
+            names = signed(window_names(unit, parts, level)[-1])
+            start, end = runs(names)
+            if not len(start):
+                continue
+            pick = np.flatnonzero(np.isin(names[start], np.array(asked, np.int64)))
+            for s, e, h in zip(start[pick].tolist(), end[pick].tolist(), names[start[pick]].tolist(), strict=True):
+                text = unit.segment(parts, s, s + unit.window if last else e + unit.window - 1)
+                found.setdefault((h, text), []).append((d, rid, k, s, e - s))
+        if not found:
+            return None
+        known = _Spans()
+        counts, leasts, ats = [], [], []
+        for places in found.values():
+            if len(places) == 1 and (smaller_only or not last):
+                (d, *place), n = places[0], 1
+                least, at = d, struct.pack(_PLACE, *place)
+            else:
+                n = sum(p[4] for p in places) if last else len(places)
+                least, at = min(p[0] for p in places), b""
+                for d, *place in places:
+                    if d > least if smaller_only else n > 1:
+                        known.add(*place)
+                    else:
+                        at += struct.pack(_PLACE, *place)
+            counts.append(n)
+            leasts.append(least)
+            ats.append(at)
+        spans = list(known.packed())
+        none = [None] * len(spans)
+        return {
+            "h": [h for h, _ in found] + none,
+            "deal": [None] * len(found) + [r for r, _ in spans],
+            "text": [t for _, t in found] + none,
+            "windows": ([1] * len(found) if last else [places[0][4] for places in found.values()]) + none,
+            "places": counts + none,
+            "least": leasts + none,
+            "at": ats + [at for _, at in spans],
+        }
+
+    return run
+
+
+class _Spans:
+    """Spans gathered by row id."""
+
+    def __init__(self):
+        self.by_row: dict[int, list] = {}
 
-        def put(doc, mark, start, n, w1=None, w2=None, places=None, least=None):
-            for f, v in zip(schema.names, (doc, mark, start, n, w1, w2, places, least), strict=True):
-                out[f].append(v)
+    def add(self, rid: int, mark: int, start: int, n: int) -> None:
+        self.by_row.setdefault(rid, []).append((mark, start, n))
 
-        def flush():
-            batch = pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
-            for v in out.values():
-                v.clear()
-            return batch
+    def packed(self) -> Iterator[tuple[int, bytes]]:
+        for rid, spans in self.by_row.items():
+            yield rid, np.array(spans, _SPAN).tobytes()
+
+
+def _solver(unit: Unit, resolve: Callable | None, smaller_only: bool, chunk: int, schema: pa.Schema):
+    """From rows of :func:`_segment_rows`, sorted by h and text: (rid, packed spans)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[Segment] = []  # whole groups gathered for one resolver call, the last one still open
+        weight = 0
+        spans = _Spans()
 
-        def settle(segments: list[Segment]):
-            """Flags of a chunk of whole groups."""
-            for i, flags in resolve(segments, window, smaller_only):
+        def settle() -> Iterator[pa.RecordBatch]:
+            for i, flags in resolve(held, unit.window, smaller_only) if resolve else ():
                 starts, ends = runs(flags)
                 for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
                     if flags[a]:
-                        for d, k, s in segments[i].doc:
-                            put(d, k, s + a, b - a)
-
-        def alone(seg: Segment):
-            """A segment of a prefix-extended group as single windows."""
-            parts = unit.split(seg.text)
-            for i in range(seg.windows):
-                mark = xxhash.xxh3_128_digest(unit.segment(parts, i, i + window))
-                w1, w2 = np.frombuffer(mark, "<i8").tolist()
-                for j, (d, k, s) in enumerate(seg.doc or [(None, None, 0)]):
-                    put(d, k, s + i, 1, w1, w2, 0 if j else seg.count, seg.least)
-
-        held: list[Segment] = []  # segments of groups gathered for one resolver call
-        weight = 0
-        now = None  # (Segment, hot) that rows still add to
-        key = None
+                        for rid, mark, start, _ in held[i].places:
+                            spans.add(rid, mark, start + a, b - a)
+            rows = list(spans.packed())
+            spans.by_row.clear()
+            held.clear()
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows], pa.int64()), pa.array([a for _, a in rows], pa.binary())], schema=schema)
 
         for batch in batches:
-            for h, part, hot, text, windows, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                places = np.frombuffer(at, _PLACE).tolist()
-                if key != (h, part, hot, text):
-                    if now is not None:
-                        if now[1]:
-                            alone(now[0])
-                        else:
-                            held.append(now[0])
-                            weight += len(now[0].text)
-                        if weight >= chunk and key[:3] != (h, part, hot):
-                            settle(held)
-                            held, weight = [], 0
-                    seg = Segment(h, text, windows, 0, min(p[0] for p in places), [])
-                    now, key = (seg, hot), (h, part, hot, text)
-                seg = now[0]
-                _add(seg, places, windows, smaller_only, put)
-                if len(out["doc_id"]) >= 50_000:
-                    yield flush()
-        if now is not None:
-            if now[1]:
-                alone(now[0])
-            else:
-                held.append(now[0])
-        settle(held)
-        yield flush()
+            for h, deal, text, windows, places, least, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if deal is not None:
+                    for mark, start, n in np.frombuffer(at, _SPAN).tolist():
+                        spans.add(deal, mark, start, n)
+                    weight += len(at)
+                    continue
+                own = list(struct.iter_unpack(_PLACE, at))
+                now = held[-1] if held else None
+                if now is None or (now.group, now.text) != (h, text):
+                    if weight >= chunk and (now is None or now.group != h):
+                        yield from settle()
+                        weight = 0
+                    held.append(Segment(h, text, windows, places, least, own))
+                    weight += len(text)
+                else:
+                    _add(now, places, least, own, smaller_only, spans)
+        yield from settle()
 
     return run
 
 
-def _add(seg: Segment, places: list[tuple], windows: int, smaller_only: bool, put: Callable) -> None:
-    """Places of one segment: those whose repetition is certain by now leave as spans, the rest wait in ``seg.doc``."""
-    least = min(p[0] for p in places)
-    total = seg.count + sum(p[3] for p in places)
-    if (least < seg.least) if smaller_only else (total > 1):
-        for d, k, s in seg.doc:
-            put(d, k, s, windows)
-        seg.doc = []
-    seg.least, seg.count = min(seg.least, least), total
-    for d, k, s, _ in places:
-        if (d > seg.least) if smaller_only else (total > 1):
-            put(d, k, s, windows)
-        else:
-            seg.doc.append((d, k, s))
+def _add(seg: Segment, places: int, least: int, own: list[tuple], smaller_only: bool, spans: _Spans) -> None:
+    """More places of one segment: those whose repetition is certain now leave as spans, the rest wait."""
+    if smaller_only:
+        known = seg.places if least < seg.least else own if least > seg.least else []
+        waiting = own if least < seg.least else seg.places if least > seg.least else seg.places + own
+    else:
+        known, waiting = seg.places + own, []
+    for p in known:
+        spans.add(*p)
+    seg.places, seg.count, seg.least = waiting, seg.count + places, min(seg.least, least)
 
 
-def covered(spans, groups, mark, doc_id, window: int, size: int, smaller_only: bool) -> np.ndarray:
-    """Which of ``size`` symbols go: those in a window that starts in one of the row's spans.
-
-    All of a copy's windows repeat; with ``smaller_only`` those of the smallest id's don't for that.
-    """
-    own = copy_of(groups, mark)
-    if own is not None and (own["least"] < doc_id if smaller_only else True) and size >= window:
-        return np.ones(size, bool)
+def covered(spans, mark: int, window: int, size: int) -> np.ndarray:
+    """Which of ``size`` symbols go: those in a window that starts in one of the row's spans."""
     edge = np.zeros(size + 1, np.int64)
-    for s in spans or ():
-        if s["mark"] == mark:
-            edge[s["start"]] += 1
-            edge[s["start"] + s["n"] - 1 + window] -= 1
+    for packed in spans or ():
+        s = np.frombuffer(packed, _SPAN)
+        s = s[s["mark"] == mark]
+        np.add.at(edge, s["start"], 1)
+        np.add.at(edge, s["start"] + s["n"] - 1 + window, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
-def with_spans(docs: DataFrame, keyed: DataFrame, flags: DataFrame) -> DataFrame:
-    """All rows of ``docs`` with ``groups`` and ``spans`` (null: none).
-
-    ``keyed`` is the table the flags came from; where it is ``docs`` itself its exchange serves again.
-    """
-    return dealt_texts(docs).join(copies(keyed), "doc_id", "left").join(flags, "doc_id", "left")
+def with_spans(docs: DataFrame, flags: DataFrame) -> DataFrame:
+    """All rows of ``docs``, the table the flags came from, with ``spans`` (null: none)."""
+    return dealt_texts(docs).join(flags, "rid", "left")

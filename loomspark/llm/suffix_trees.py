@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_arrow, read_table
-from .repeats import Segment, Words, covered, flagged_windows, runs, with_spans
+from .repeats import Segment, Words, covered, flagged_windows, identified, runs, with_spans
 
 WINDOW_WORDS = 13
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -121,71 +121,73 @@ def maximal_repeats(texts: list[bytes], least_words: int) -> list[tuple[bytes, i
     return [(b" ".join(split[owner[a]][start[a] : start[a] + depth]), b - a) for depth, a, b in nodes]
 
 
-def _marked(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.hash("text").alias("mark"), "text")
-
-
-def word_flags(docs: DataFrame, window: int = WINDOW_WORDS, **limits) -> DataFrame:
-    """``(doc_id, spans)`` of windows that also start in a document of smaller id."""
-    return flagged_windows(_marked(docs).where("doc_id IS NOT NULL"), Words(window), resolve_words, smaller_only=True, **limits)
+def word_flags(rows: DataFrame, window: int = WINDOW_WORDS, **limits) -> DataFrame:
+    """``(rid, spans)`` of windows that also start in a document of smaller id."""
+    return flagged_windows(rows, Words(window), resolve_words, smaller_only=True, **limits)
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, **limits) -> DataFrame:
-    """``(doc_id, mark, text, n_words, n_removed, kept_sha256, kept)``, a row for each input row.
+    """``(doc_id, text, n_words, n_removed, kept_sha256, kept)``, a row for each input row.
 
     A word goes when a window of ``window`` words that covers it also starts in a
     document of smaller id.  ``kept`` is the text with those words and the white space
     after them cut out (unchanged where nothing goes).  Null and wordless texts have no
     window; a null id is neither smaller nor larger than another, so such rows stay
-    whole; rows that share an id never remove one another's words; further columns are
-    ignored; an empty table gives no rows.
+    whole; rows that share an id never remove one another's words; repeated rows get the
+    same answer; texts of any length are read whole; further columns are ignored,
+    whatever their names; an empty table gives no rows.
     """
 
     def run(cols):
         out: dict[str, list] = {k: [] for k in ("n_words", "n_removed", "kept_sha256", "kept")}
-        for d, mark, text, groups, spans in zip(*(cols[c].to_pylist() for c in ("doc_id", "mark", "text", "groups", "spans")), strict=True):
+        for mark, text, spans in zip(*(cols[c].to_pylist() for c in ("mark", "text", "spans")), strict=True):
             data = (text or "").encode()
             words = data.split()
-            gone = covered(spans, groups, mark, d, window, len(words), smaller_only=True)
+            gone = covered(spans, mark, window, len(words))
             n = int(gone.sum())
             out["n_words"].append(len(words))
             out["n_removed"].append(n)
             kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g] if n else words
             out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
             out["kept"].append(_cut(data, gone).decode() if n else text)
-        return out | {k: cols[k] for k in ("doc_id", "mark", "text")}
+        return out | {k: cols[k] for k in ("doc_id", "text")}
 
-    flags = word_flags(docs, window, **limits)
-    marked = _marked(docs)
-    return map_arrow(with_spans(marked, marked.where("doc_id IS NOT NULL"), flags), run, "doc_id bigint, mark int, text string, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
+    rows = identified(docs.select("doc_id", "text"))
+    flags = word_flags(rows, window, **limits)
+    return map_arrow(with_spans(rows, flags), run, "doc_id bigint, text string, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
 
 
 def cut_repeats(docs: DataFrame, window: int = WINDOW_WORDS, **limits) -> DataFrame:
     """All rows and columns, repeated words cut out of ``text`` and ``n_chars`` counted anew.
 
-    A text that keeps all its words stays as it is, to the byte.
+    A text that keeps all its words stays as it is, to the byte.  Null texts, null and
+    repeated ids and empty tables are as in :func:`substring_dedup`; columns of any name
+    travel along unchanged.
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    packed = docs.select("doc_id", F.hash("text").alias("mark"), "text", F.struct(*rest, F.lit(0).alias("_none")).alias("rest"))
-    kind = packed.schema["rest"].dataType.simpleString()
+    # the further columns travel as one struct, by their place, so that no name can clash
+    carried = F.struct(F.lit(0).alias("c0"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest, 1)))
+    rows = identified(docs.select("doc_id", "text", carried.alias("rest")))
+    kind = rows.schema["rest"].dataType.simpleString()
 
     def run(cols):
         out = []
-        for d, mark, text, groups, spans in zip(*(cols[c].to_pylist() for c in ("doc_id", "mark", "text", "groups", "spans")), strict=True):
-            if not spans and not groups:
+        for mark, text, spans in zip(*(cols[c].to_pylist() for c in ("mark", "text", "spans")), strict=True):
+            if not spans:
                 out.append(text)
                 continue
             data = (text or "").encode()
-            gone = covered(spans, groups, mark, d, window, len(data.split()), smaller_only=True)
+            gone = covered(spans, mark, window, len(data.split()))
             out.append(_cut(data, gone).decode() if gone.any() else text)
         return {"doc_id": cols["doc_id"], "text": out, "rest": cols["rest"]}
 
-    flags = word_flags(docs, window, **limits)
-    cut = map_arrow(with_spans(packed, _marked(docs).where("doc_id IS NOT NULL"), flags), run, f"doc_id bigint, text string, rest {kind}")
+    flags = word_flags(rows, window, **limits)
+    cut = map_arrow(with_spans(rows, flags), run, f"doc_id bigint, text string, rest {kind}")
     named = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    named |= {c: F.col(f"rest.c{i}") for i, c in enumerate(rest, 1)}
     if "n_chars" in rest:
         named["n_chars"] = F.length("text").cast("bigint")
-    return cut.select(*(named.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns))
+    return cut.select(*(named[c].alias(c) for c in docs.columns))
 
 
 def _cut(data: bytes, gone: np.ndarray) -> bytes:

@@ -65,7 +65,7 @@ def brute_words(rows, window=13):
     return out
 
 
-@pytest.mark.parametrize("limits", [{}, {"hot": 2}, {"hot": 5, "chunk": 2000}])
+@pytest.mark.parametrize("limits", [{}, {"group": 60}, {"group": 0, "chunk": 2000}])
 def test_substring_dedup(docs, limits):
     got = suffix_trees.substring_dedup(docs, **limits).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
     assert bag(map(tuple, got)) == bag(brute_words(ROWS))
@@ -122,7 +122,7 @@ def brute_bytes(rows, window=400):
     return out
 
 
-@pytest.mark.parametrize("limits", [{}, {"hot": 2}, {"hot": 6, "chunk": 5000}])
+@pytest.mark.parametrize("limits", [{}, {"group": 3000}, {"group": 0, "chunk": 5000}])
 def test_byte_dedup(docs, limits):
     got = induced_sorting.byte_dedup(docs, **limits).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     assert bag(map(tuple, got)) == bag(brute_bytes(ROWS))
@@ -151,6 +151,37 @@ def test_minimisers_agree():
     assert a[2:].tolist() == b[:-1].tolist()
 
 
+def test_large_groups(spark):
+    """5,000 near copies of one text and 4,000 rows without an id, with groups that fit at once and with none that do."""
+    rng = random.Random(3)
+    base = [rng.choice(WORDS) for _ in range(60)]
+    rows = []
+    for i in range(5000):
+        words = list(base)
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(60)] = f"x{rng.randrange(50)}"
+        rows.append((i, " ".join(words)))
+    rows += [(None, f"{' '.join(base[:30])} n{i % 1000} {' '.join(base[30:])}") for i in range(4000)]
+    many = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    for limits in ({}, {"group": 5000}):
+        got = suffix_trees.substring_dedup(many, **limits).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+        assert bag(map(tuple, got)) == bag(brute_words(rows))
+        got = induced_sorting.byte_dedup(many, window=60, **limits).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+        assert bag(map(tuple, got)) == bag(brute_bytes(rows, 60))
+
+
+def test_rows_grow_with_the_group(spark):
+    """Twice the near copies, twice the rows that go to the groups: no switch on the way."""
+    counts = []
+    for n in (900, 1800):
+        rng = random.Random(4)
+        rows = [(i, " ".join(f"x{rng.randrange(9)}" if rng.random() < 0.03 else f"w{k}" for k in range(200))) for i in range(n)]
+        texts = repeats.identified(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
+        spans = suffix_trees.word_flags(texts).collect()
+        counts.append(sum(len(at) for r in spans for at in r.spans))
+    assert counts[1] < 2.5 * counts[0]
+
+
 # -- SimHash -----------------------------------------------------------------------------
 
 
