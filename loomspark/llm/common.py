@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loomspark.session import ensure_importable, written
 
-__all__ = ["HashMemo", "arrow_schema", "crc_fold", "map_arrow", "read_table", "runs", "signed", "spread", "text_bytes", "written"]
+__all__ = ["HashMemo", "arrow_schema", "bounded_sample", "crc_fold", "map_arrow", "read_table", "runs", "signed", "spread", "text_bytes", "written"]
 
 #: Entries that a per-worker memo may hold before it starts afresh.
 MEMO_LIMIT = 300_000
@@ -73,6 +73,21 @@ def crc_fold(column: str, parts: int):
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(parts))
 
 
+def bounded_sample(rows: DataFrame, most: int, size: int) -> list:
+    """Rows of ``rows`` (doc_id, text, ..) by the hash of id and text: at most ``most``, up to ``size`` characters.
+
+    The least hashes are taken until the characters are used up, so a text of any length can be
+    among them; the text that crosses the bound is the last.  Equal rows count once.
+    """
+    hashed = rows.withColumn("at", F.xxhash64("doc_id", "text"))
+    taken, bound = 0, None
+    for r in hashed.select("at", F.length("text").alias("n")).orderBy("at").limit(most).collect():
+        if taken >= size:
+            break
+        taken, bound = taken + (r.n or 0), r.at
+    return [] if bound is None else hashed.where(F.col("at") <= bound).dropDuplicates(["at"]).orderBy("at").limit(most).collect()
+
+
 class HashMemo(dict):
     """Bytes to unsigned 64-bit hash, remembered for words of ordinary length."""
 

@@ -10,10 +10,10 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_fold, map_arrow, read_table, spread
+from .common import bounded_sample, crc_fold, map_arrow, read_table, spread
 
-#: Labelled rows that the model is fitted on at most, and the characters such a row may have.
-SAMPLE_ROWS, SAMPLE_CHARS = 6000, 65_536
+#: Labelled rows that the model is fitted on at most, and the characters they may have together.
+SAMPLE_ROWS, SAMPLE_CHARS = 6000, 60_000_000
 BUCKETS, DIMENSIONS, GRAMS = 1 << 14, 16, (1, 2, 3, 4)
 STEPS, RATE, SNIPPET_WORDS = 16_000, 0.5, 60
 #: Share of rightly predicted calibration rows that rejection may cost at most.
@@ -26,11 +26,8 @@ _LETTERS = re.compile(r"[^\W\d_]{1,40}")
 
 
 def letter_words(text: str) -> list[str]:
-    """Lower-cased runs of letters; runs of other word characters (say, superscripts) don't count."""
-    words = _LETTERS.findall(text.lower())
-    if len(words) < 8:
-        words = [w for w in words if any(c.isalpha() for c in w)]
-    return words
+    """Lower-cased runs of letters; runs without a letter (say, of superscripts) don't count."""
+    return [w for w in _LETTERS.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def subwords(word: str) -> np.ndarray:
@@ -172,22 +169,19 @@ def _calibrated(model: Model, held: list[tuple[list[str], int]]) -> Model:
 
 
 def labelled_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
-    """At most ``rows`` (text, lang) rows outside fold 0, least hash of the id first.
-
-    Ids are chosen before any text moves; texts of more than ``chars`` are not learned from.
-    """
-    able = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= chars) & (crc_fold("doc_id", 5) != 0))
-    chosen = able.select("doc_id", F.xxhash64("doc_id").alias("at")).orderBy("at", "doc_id").limit(rows).select("doc_id").distinct()
-    # the chosen ids are at most ``rows`` numbers
-    found = able.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", "text", "lang")
-    return [(r.text, r.lang) for r in sorted(found.collect(), key=lambda r: (r.doc_id, r.text, r.lang))][:rows]
+    """At most ``rows`` (text, lang) rows outside fold 0, of about ``chars`` characters together."""
+    able = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_fold("doc_id", 5) != 0))
+    found = bounded_sample(able.select("doc_id", "text", "lang"), rows, chars)
+    return [(r.text, r.lang) for r in sorted(found, key=lambda r: (r.doc_id, r.text, r.lang))]
 
 
 def predictions(docs: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, lang_pred, score, rejected)``, a row for each input row.
 
-    Null texts and those without a letter are ``und`` with score 0 and rejected, as all
-    are where nothing was learned.  Only the text decides.
+    Null texts and those without a letter, however long, are ``und`` with score 0 and
+    rejected, as all are where nothing was learned.  Only the text decides, the whole of
+    it; repeated rows and null ids are rows like any other; further columns are ignored,
+    whatever their names; an empty table gives no rows.
     """
 
     def run(cols):
@@ -204,7 +198,11 @@ def identify(docs: DataFrame, **limits) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """Rows that language identification does not reject, with all their columns."""
+    """Rows that language identification does not reject, with all their columns.
+
+    Null texts and texts without a letter go; null ids, repeated rows and columns of any
+    name stay as they are; an empty table gives no rows.
+    """
     model = fit(labelled_sample(docs))
     names = docs.columns
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,7 +59,10 @@ class MTree:
         self.vectors = distinct
 
     def search(self, query: np.ndarray, k: int, own: int | None) -> list[tuple[int, int]]:
-        """The ``k`` best (score, id), larger scores first and ties to the smaller id; never the id ``own``."""
+        """The ``k`` best (score, id), larger scores first and ties to the smaller id.
+
+        One entry of the id ``own`` with the query's vector, the query's row itself, is left out.
+        """
         point = np.append(query, 0.0)
         size = float(query @ query)
         slack = 1e-9 * (size + self.top + 1)
@@ -95,10 +99,12 @@ class MTree:
                 score = int(scores[i])
                 if len(best) == k and score < best[0][0]:
                     continue
-                for x in self.members[entries[i]]:
+                members = self.members[entries[i]]
+                if own in members and np.array_equal(self.vectors[entries[i]], query):
+                    at = members.index(own)
+                    members = members[:at] + members[at + 1 :]
+                for x in members:
                     item = (score, -x)
-                    if x == own:
-                        continue
                     if len(best) < k:
                         heapq.heappush(best, item)
                     elif item > best[0]:
@@ -137,59 +143,73 @@ def scaled_vectors(table: DataFrame, scale: int = SCALE) -> DataFrame:
 
 
 def top_products(vectors: DataFrame, queries: DataFrame, k: int = TOP, shard_vectors: int = SHARD_VECTORS, block: int = BLOCK_QUERIES) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: the ``k`` best candidates of every query.
+    """``(query_id, rank, vec_id, score)``: the ``k`` best candidates of every query row.
 
-    Both tables have (vec_id, v); a candidate with the query's own id never counts, and
-    only vectors of the query's length do.  Rows of one id are candidates each, but an id
-    is listed once, with its best score; a query id that repeats with different vectors
-    is answered for their best.  Components must be whole numbers below 2**26 in size, so
-    that products are exact.  Fewer than ``k`` candidates give fewer rows; empty tables none.
+    Both tables have (vec_id, v), further columns are ignored whatever their names.  Every
+    row but the query's own is a candidate: rows of one id are candidates each, and each is
+    asked for.  Only vectors of the query's length count.  Components must be whole numbers
+    below 2**26 in size, so that products are exact.  Fewer than ``k`` candidates give
+    fewer rows; empty tables none.
+
+    A shard's tree travels to one task, is opened once and answers all blocks of queries.
     """
     spark = vectors.sparkSession
     ensure_importable(spark)
     n_rows, n_queries = vectors.count(), queries.count()
     shards, blocks = max(1, -(-n_rows // shard_vectors)), max(1, -(-n_queries // block))
-    place = F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(shards)).alias("shard")
+    # equal rows are one question, asked ``copies`` times
+    asking = queries.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("copies"))
     packed = arrow_schema(spark, "part bigint, dim int, body binary")
 
     def gather(make):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: dict[tuple[int, int], list] = {}
             for batch in batches:
-                for i, v, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    held.setdefault((p, len(v)), []).append((i, v))
+                for i, v, c, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    held.setdefault((p, len(v)), []).append((i, v, c))
                 for key in [key for key in held if batch.num_rows and key[0] != p]:  # sorted by part: the others are whole
                     yield body(key, held.pop(key))
             for key in list(held):
                 yield body(key, held.pop(key))
 
         def body(key, rows):
-            ids, values = np.array([i for i, _ in rows], np.int64), np.array([v for _, v in rows])
-            return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]], pa.int32()), pa.array([pickle.dumps(make(ids, values))], pa.binary())], schema=packed)
+            ids, values, copies = zip(*rows, strict=True)
+            made = make(np.array(ids, np.int64), np.array(values), np.array(copies, np.int64))
+            return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]], pa.int32()), pa.array([pickle.dumps(made)], pa.binary())], schema=packed)
 
         return run
 
-    def dealt(df, part, n, make):
+    def dealt(df, salt, n, make):
+        part = F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).alias("part")
         parts = min(n, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        return df.select("vec_id", "v", part.alias("part")).repartition(parts, "part").sortWithinPartitions("part").mapInArrow(gather(make), "part bigint, dim int, body binary")
+        return df.select("vec_id", "v", "copies", part).repartition(parts, "part").sortWithinPartitions("part").mapInArrow(gather(make), "part bigint, dim int, body binary")
 
-    trees = dealt(vectors, place, shards, lambda ids, values: MTree(ids, values, k + 1))
-    asked = dealt(queries, F.pmod(F.xxhash64("vec_id", F.lit(13)), F.lit(blocks)), blocks, lambda ids, values: (ids, values))
-    visits = asked.select("dim", F.col("body").alias("queries"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("part"))
-    meet = trees.select("part", "dim", F.col("body").alias("tree")).join(visits, ["part", "dim"]).select("tree", "queries")
-    found = arrow_schema(spark, "query_id bigint, vec_id bigint, score bigint")
+    trees = dealt(vectors.select("vec_id", "v", F.lit(1).cast("bigint").alias("copies")), 7, shards, lambda ids, values, _: MTree(ids, values, k + 1))
+    asked = dealt(asking, 13, blocks, lambda *block: block)
+    visits = asked.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("part"), "dim", F.lit(1).alias("kind"), "body")
+    parts = min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    meet = trees.select("part", "dim", F.lit(0).alias("kind"), "body").unionByName(visits).repartition(parts, "part").sortWithinPartitions("part", "dim", "kind")
+    fields = "query_id bigint, question bigint, copies bigint, vec_id bigint, score bigint"
+    found = arrow_schema(spark, fields)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, at = None, None
         for batch in batches:
-            for tree, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                tree, (ids, values) = pickle.loads(tree), pickle.loads(asked)
-                rows = [(i, x, s) for i, v in zip(ids.tolist(), values, strict=True) for s, x in tree.search(v, k, i)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)], schema=found)
-
-    best = meet.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
-    best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            for part, dim, kind, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if kind == 0:
+                    tree, at = pickle.loads(body), (part, dim)
+                elif at == (part, dim):
+                    rows = []
+                    for i, v, c in zip(*pickle.loads(body), strict=True):
+                        question = zlib.crc32(v.tobytes())
+                        rows += [(int(i), question, int(c), x, s) for s, x in tree.search(v, k, int(i))]
+                    yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(5)], schema=found)
+
+    best = meet.mapInArrow(search, fields)
+    order = Window.partitionBy("query_id", "question").orderBy(F.desc("score"), "vec_id")
+    best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    once = best.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
+    return once.select("query_id", "rank", "vec_id", "score")
 
 
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,15 +220,15 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The same rows in DuckDB: all queries against all vectors.
 OP9_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  SELECT q.n AS question, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.n <> c.n AND len(q.v) = len(c.v)
 ), r AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+  SELECT *, CAST(row_number() OVER (PARTITION BY question ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

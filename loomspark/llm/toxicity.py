@@ -1,9 +1,11 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words become symbols: insult, threat, target, negation, reported speech or none.  Small
-weighted transducers, one for each pattern, are composed into one clause machine; its
-best path scores a clause, so an insult aimed at someone counts more, and a negated or
-reported one less, than the bare word.  Which words insult is learned.
+Words become symbols: slur, violence, intent, target, negation, reported speech or none.
+Five weighted transducers are composed, each reading what the one before writes: insults
+and threats are marked, then targets, negation and reported speech around the marks change
+their weight.  The best path through the composition scores a clause, so an insult aimed at
+someone counts more, and a negated or reported one less, than the bare word.  Which words
+are slurs is learned.
 """
 
 from __future__ import annotations
@@ -17,84 +19,131 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_fold, map_arrow, read_table, spread
+from .common import bounded_sample, crc_fold, map_arrow, read_table, spread
 
-#: Labelled rows of each class that the grammar is fitted on at most, and the characters such a row may have.
-SAMPLE_ROWS, SAMPLE_CHARS = 3000, 65_536
+#: Labelled rows of each class that the grammar is fitted on at most, and the characters that all may have together.
+SAMPLE_ROWS, SAMPLE_CHARS = 3000, 60_000_000
 #: Documents an insult must stand in, and the log odds from which a word is one.
 LEAST_SUPPORT, LEAST_ODDS = 3, 2.5
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
 WORDS_KEPT = 400_000
 
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
+#: Symbols that words become, and the marks that the first two transducers write.
+SLUR, VIOLENCE, INTENT, TARGET, NEGATION, REPORT, OTHER, INSULT, THREAT = range(9)
+_PLAIN = (SLUR, VIOLENCE, INTENT, TARGET, NEGATION, REPORT, OTHER)
+_MARKS = (INSULT, THREAT)
 #: Closed classes of function words in English, German, French and Spanish (fixed values).
 TARGET_WORDS = "you your yours yourself u he she they them him her du dich dir dein deine ihr euch sie tu te toi ton ta vous votre usted ustedes tú ti tus vosotros".split()
 NEGATION_WORDS = "not never no isn aren don doesn nobody nicht kein keine nie niemals ne pas jamais aucun aucune nunca jamás ningún ninguna".split()
 REPORT_WORDS = "said says say told claimed quote quoted wrote reported called sagte sagt schrieb zitierte behauptete dit disait écrivit cita dijo dice escribió citó".split()
-THREAT_WORDS = "kill hurt destroy burn beat shoot stab töten umbringen verbrennen schlagen tuer brûler frapper détruire matar quemar golpear destruir".split()
+VIOLENCE_WORDS = "kill hurt destroy burn beat shoot stab töten umbringen verbrennen schlagen tuer brûler frapper détruire matar quemar golpear destruir".split()
+INTENT_WORDS = "will ll going gonna shall must should werde werden soll wirst vais vas va allons voy vas vamos debe".split()
 
 _CLAUSE = re.compile(r"[.!?;\n]+")
 _WORD = re.compile(r"[^\W\d_]{1,64}")  # longer runs come in parts
 
 
 @dataclass
-class Machine:
-    """A weighted transducer over word classes: ``arcs[state][symbol] = (next state, weight)``.
+class Transducer:
+    """A weighted transducer: ``arcs[state][symbol]`` are (written symbol, weight, next state), any number of them.
 
-    ``scale`` says what a weight of the state does to an insult that is read there.
+    A path may end in the states of ``final``.  A weight scales what a mark read there is
+    worth (by its exponential); on any other symbol it is added to the path.
     """
 
-    arcs: dict[int, dict[int, tuple[int, float]]]
+    arcs: dict[int, dict[int, list[tuple[int, float, int]]]]
+    final: frozenset[int]
     start: int = 0
 
-    def step(self, state: int, symbol: int) -> tuple[int, float]:
-        return self.arcs[state].get(symbol, (state, 0.0))
+    def step(self, state: int, symbol: int) -> list[tuple[int, float, int]]:
+        return self.arcs[state].get(symbol, [])
 
+    def ends(self, state: int) -> bool:
+        return state in self.final
 
-def switch(symbol: int, span: int, before: float, after: float) -> Machine:
-    """Reads ``symbol`` and for ``span`` words more weighs insults and threats by ``before``; ``after`` weighs a symbol that follows an insult."""
-    arcs: dict[int, dict[int, tuple[int, float]]] = {0: {symbol: (1, 0.0), INSULT: (span + 1, 0.0), THREAT: (span + 1, 0.0)}}
-    for k in range(1, span + 1):
-        on = k + 1 if k < span else 0
-        arcs[k] = {s: (on, 0.0) for s in range(6)} | {symbol: (1, 0.0), INSULT: (k, before), THREAT: (k, before)}
-    for k in range(span + 1, 2 * span + 1):
-        on = k + 1 if k < 2 * span else 0
-        arcs[k] = {s: (on, 0.0) for s in range(6)} | {symbol: (1, after), INSULT: (span + 1, 0.0), THREAT: (span + 1, 0.0)}
-    return Machine(arcs)
+
+def insult_transducer() -> Transducer:
+    """A slur is an insult; one that follows another within two words weighs more, as a chain of them is one attack."""
+    arcs = {0: {x: [(x, 0.0, 0)] for x in _PLAIN}}
+    arcs[0][SLUR] = [(INSULT, 0.0, 1)]
+    for k in (1, 2):
+        arcs[k] = {x: [(x, 0.0, k + 1 if k < 2 else 0)] for x in _PLAIN} | {SLUR: [(INSULT, 0.1, 1)]}
+    return Transducer(arcs, frozenset(arcs))
+
+
+def threat_transducer(span: int = 3) -> Transducer:
+    """Intent, then a word of violence, then a target, each within ``span`` words of the one before, is a threat.
+
+    Whether the target follows is not known at the word of violence: one path writes the mark
+    and ends only if the target comes, the other reads on.  A word of violence by itself is none.
+    """
+    passed = (*_PLAIN, INSULT)
+    waiting, owing = range(1, span + 1), range(span + 1, 2 * span + 1)
+    arcs = {0: {x: [(x, 0.0, 0)] for x in passed} | {INTENT: [(INTENT, 0.0, 1)]}}
+    for k in waiting:  # intent was read k - 1 words ago
+        arcs[k] = {x: [(x, 0.0, k + 1 if k < span else 0)] for x in passed} | {INTENT: [(INTENT, 0.0, 1)]}
+        arcs[k][VIOLENCE] = [(VIOLENCE, 0.0, 0), (THREAT, 0.0, span + 1)]
+    for k in owing:  # a mark was written, its target is still to come
+        arcs[k] = {x: [(x, 0.0, k + 1)] for x in passed} if k < 2 * span else {}
+        arcs[k][TARGET] = [(TARGET, 0.0, 0)]
+    return Transducer(arcs, frozenset((0, *waiting)))
+
+
+def context_transducer(symbol: int, span: int, before: float, after: float) -> Transducer:
+    """Marks up to ``span`` words after ``symbol`` are scaled by ``before``; ``symbol`` up to ``span`` words after a mark adds ``after``."""
+    passed = (*_PLAIN, *_MARKS)
+    near, marked = range(1, span + 1), range(span + 1, 2 * span + 1)
+    arcs: dict[int, dict[int, list[tuple[int, float, int]]]] = {}
+    for k in range(2 * span + 1):
+        on = k + 1 if k and k not in (span, 2 * span) else 0
+        arcs[k] = {x: [(x, 0.0, on)] for x in passed}
+        arcs[k][symbol] = [(symbol, after if k in marked else 0.0, 1)]
+        for x in _MARKS:
+            arcs[k][x] = [(x, before, k)] if k in near else [(x, 0.0, span + 1)]
+    return Transducer(arcs, frozenset(arcs))
 
 
 class Composition:
-    """Machines run side by side on one input; the joint states come into being when first reached."""
+    """What ``first`` writes is what ``second`` reads; joint states and their arcs come into being when first reached."""
 
-    def __init__(self, machines: list[Machine]):
-        self.machines = machines
-        self.memo: dict[tuple[tuple[int, ...], int], tuple[tuple[int, ...], float]] = {}
-        self.start = tuple(m.start for m in machines)
+    def __init__(self, first, second):
+        self.first, self.second = first, second
+        self.start = (first.start, second.start)
+        self.memo: dict[tuple, list[tuple[int, float, tuple]]] = {}
 
-    def step(self, state: tuple[int, ...], symbol: int) -> tuple[tuple[int, ...], float]:
-        key = (state, symbol)
-        found = self.memo.get(key)
+    def step(self, state: tuple, symbol: int) -> list[tuple[int, float, tuple]]:
+        found = self.memo.get((state, symbol))
         if found is None:
-            each = [m.step(s, symbol) for m, s in zip(self.machines, state, strict=True)]
-            found = self.memo[key] = (tuple(s for s, _ in each), sum(w for _, w in each))
+            p, q = state
+            found = [(out, w + v, (p2, q2)) for mid, w, p2 in self.first.step(p, symbol) for out, v, q2 in self.second.step(q, mid)]
+            self.memo[state, symbol] = found
         return found
 
-    def score(self, words: list[tuple[int, float]]) -> float:
-        """Weight of a clause of (class, weight): what its insults and threats come to with their context."""
-        state, total = self.start, 0.0
-        for symbol, weight in words:
-            state, context = self.step(state, symbol)
-            if symbol in (INSULT, THREAT):
-                total += weight * math.exp(context)
-            elif context and total:
-                total *= math.exp(context)
-        return total
+    def ends(self, state: tuple) -> bool:
+        return self.first.ends(state[0]) and self.second.ends(state[1])
+
+
+def best_path(machine, words: list[tuple[int, float]]) -> float:
+    """The largest sum over the paths that read a clause of (symbol, weight of the word) to a final state."""
+    at = {machine.start: 0.0}
+    for symbol, weight in words:
+        reached: dict = {}
+        for state, total in at.items():
+            for out, w, following in machine.step(state, symbol):
+                value = total + (weight * math.exp(w) if out in _MARKS else w)
+                if value > reached.get(following, -math.inf):
+                    reached[following] = value
+        at = reached
+    return max((v for s, v in at.items() if machine.ends(s)), default=0.0)
 
 
 def grammar() -> Composition:
-    """Targets strengthen a threat or insult near them, negation and reported speech before it weaken it."""
-    return Composition([switch(TARGET, 3, 0.15, 0.15), switch(NEGATION, 2, -0.9, 0.0), switch(REPORT, 6, -0.7, -0.2)])
+    """Insults and threats first; a target near one strengthens it, negation and reported speech before it weaken it."""
+    machine = Composition(insult_transducer(), threat_transducer())
+    for part in (context_transducer(TARGET, 3, 0.15, 0.3), context_transducer(NEGATION, 2, -0.9, 0.0), context_transducer(REPORT, 6, -0.7, -0.2)):
+        machine = Composition(machine, part)
+    return machine
 
 
 @dataclass
@@ -106,7 +155,7 @@ class Grammar:
     def __post_init__(self):
         self._clauses = grammar()
         self._memo: dict[str, tuple[int, float] | None] = {}
-        self._closed = {w: (k, 1.0) for k, ws in ((TARGET, TARGET_WORDS), (NEGATION, NEGATION_WORDS), (REPORT, REPORT_WORDS), (THREAT, THREAT_WORDS)) for w in ws}
+        self._closed = {w: (k, 1.0) for k, ws in ((TARGET, TARGET_WORDS), (NEGATION, NEGATION_WORDS), (REPORT, REPORT_WORDS), (VIOLENCE, VIOLENCE_WORDS), (INTENT, INTENT_WORDS)) for w in ws}
 
     def __getstate__(self):
         return (self.insults, self.stems, self.weights)
@@ -125,7 +174,7 @@ class Grammar:
         if weight is None:
             stem = max((self.stems.get(word[:n], 0.0) for n in PREFIXES if len(word) >= n), default=0.0)
             weight = 0.6 * stem if stem else None
-        found = (INSULT, weight) if weight else self._closed.get(word)
+        found = (SLUR, weight) if weight else self._closed.get(word)
         self._memo[word] = found
         return found
 
@@ -137,9 +186,9 @@ class Grammar:
             words = _WORD.findall(clause)
             words_seen += len(words)
             found = [symbol(w) for w in words]
-            if not any(f is not None and f[0] <= THREAT for f in found):
+            if not any(f is not None and f[0] <= VIOLENCE for f in found):
                 continue
-            score = self._clauses.score([f or (OTHER, 0.0) for f in found])
+            score = max(0.0, best_path(self._clauses, [f or (OTHER, 0.0) for f in found]))
             total += score
             most = max(most, score)
         return np.array([1.0, math.log1p(total), math.log1p(most), math.log1p(100 * total / (words_seen + 20))])
@@ -185,22 +234,21 @@ def fit(rows: list[tuple[str, int]]) -> Grammar:
     """
     if len({y for _, y in rows}) < 2:
         return Grammar()
-    least = LEAST_SUPPORT if len(rows) >= 400 else 2
     xs, ys = [], []
     classes = [[r for r in rows if r[1] == y] for y in (1, 0)]
     halves = [[r for rs in classes for r in rs[k::2]] for k in (0, 1)]
     for k in (0, 1):
-        part = _lexicon(halves[k], least)
+        part = _lexicon(halves[k])
         for text, y in halves[1 - k]:
             xs.append(part.features(text))
             ys.append(y)
-    whole = _lexicon(rows, least)
+    whole = _lexicon(rows)
     whole.weights = tuple(float(w) for w in _logistic(np.array(xs), np.array(ys, float)))
     return whole
 
 
-def _lexicon(rows: list[tuple[str, int]], least: int) -> Grammar:
-    return Grammar(_odds(rows, _words, least), _odds(rows, _stems, 2 * least))
+def _lexicon(rows: list[tuple[str, int]]) -> Grammar:
+    return Grammar(_odds(rows, _words, LEAST_SUPPORT), _odds(rows, _stems, 2 * LEAST_SUPPORT))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 30) -> np.ndarray:
@@ -218,17 +266,22 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 3
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[str, int]]:
-    """At most ``rows`` (text, toxic) rows of each class outside fold 1, least hash of the id first."""
+    """At most ``rows`` (text, toxic) rows of each class outside fold 1, of about ``chars`` characters together."""
     known = labels.where(F.col("toxic").isin(0, 1) & (crc_fold("doc_id", 3) != 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = known.where("toxic = 1").orderBy(*order).limit(rows).unionByName(known.where("toxic = 0").orderBy(*order).limit(rows))
     # the chosen ids are at most twice ``rows`` numbers
-    found = docs.select("doc_id", "text").where(F.length("text") <= chars).join(F.broadcast(chosen), "doc_id")
-    return [(r.text, r.toxic) for r in sorted(found.collect(), key=lambda r: (r.doc_id, r.text))][: 2 * rows]
+    found = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    return [(r.text, r.toxic) for r in sorted(bounded_sample(found, 2 * rows, chars), key=lambda r: (r.doc_id, r.text))]
 
 
 def scores(docs: DataFrame, model: Grammar) -> DataFrame:
-    """``(doc_id, score, predicted)``, a row for each input row; null and empty texts score like wordless ones."""
+    """``(doc_id, score, predicted)``, a row for each input row.
+
+    Null and empty texts score like wordless ones; texts of any length are read whole; null
+    ids and repeated rows are rows like any other; further columns are ignored, whatever
+    their names; an empty table gives no rows.
+    """
 
     def run(cols):
         found = [model.score(t) for t in cols["text"].to_pylist()]

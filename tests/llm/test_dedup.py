@@ -307,14 +307,15 @@ def test_top_products(spark):
     rng = np.random.default_rng(5)
     vecs = [(int(i), [float(x) for x in rng.normal(0, 0.3, 8)]) for i in rng.permutation(400)]
     vecs += [(1000 + i, vecs[0][1]) for i in range(150)] + [(2000, None), (2050, [1.0, None]), (2100, [float("nan")] * 8), (2150, [float("inf")] * 8), (2200, [0.5] * 3), (2250, [0.25] * 3), (None, [1.0] * 8)]
-    df = spark.createDataFrame([(i, v, 0) for i, v in vecs], "vec_id bigint, embedding array<double>, v int").drop("v")
+    vecs += [(100, [float(x) for x in rng.normal(0, 0.3, 8)]), (100, vecs[3][1]), (150, vecs[5][1]), (150, vecs[5][1]), vecs[7], (300, [2.0] * 8), (300, [2.0] * 8)]
+    df = spark.createDataFrame([(i, v, 0, 1, 2) for i, v in vecs], "vec_id bigint, embedding array<double>, v int, part int, copies int")
     scaled = mtree.scaled_vectors(df)
     asked = scaled.where(F.col("vec_id") % 50 == 0)
-    ok = {i: np.floor(np.array(v) * 256) for i, v in vecs if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    ok = [(i, np.floor(np.array(v) * 256)) for i, v in vecs if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     want = []
-    for q, v in ok.items():
+    for n, (q, v) in enumerate(ok):
         if q % 50 == 0:
-            scores = sorted((-int(v @ x), i) for i, x in ok.items() if i != q and len(x) == len(v))
+            scores = sorted((-int(v @ x), i) for m, (i, x) in enumerate(ok) if m != n and len(x) == len(v))
             want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:5])]
     for shard in (64, 100_000):
         got = mtree.top_products(scaled, asked, shard_vectors=shard, block=4).collect()

@@ -35,6 +35,8 @@ def test_langid_edges(spark, docs):
     odd = spark.createDataFrame([(1, None, 1.0), (2, "", 1.0), (3, "123 ²½ !!", 1.0), (None, "the and of the there", 1.0)], "doc_id bigint, text string, score double")
     rows = {r.doc_id: r for r in langid.predictions(odd, model).collect()}
     assert [rows[i].lang_pred for i in (1, 2, 3)] == ["und"] * 3 and rows[None].lang_pred == "en"
+    for text in ("² " * 7, "² " * 8, "½²³ " * 5000, "1²" * 40):
+        assert model.predict(text) == ("und", 0.0, True)
     kept = langid.keep_identified(docs)
     assert kept.columns == docs.columns and kept.count() >= docs.count() - 5
     assert langid.identify(docs.limit(0)).count() == 0
@@ -58,6 +60,52 @@ def test_toxicity(spark, docs):
     assert held[y == 1].score.mean() > held[y == 0].score.mean() + 0.3
 
 
+def test_toxicity_recall(spark):
+    """Nine in ten held-out toxic documents at the larger size, and of the others next to none."""
+    sf = SF.replace("0.01", "0.1")
+    rows = toxicity.op10_toxicity(spark, sf).toPandas()
+    truth = read_table(spark, sf, "labels").toPandas().set_index("doc_id").toxic
+    held = rows[rows.held_out & rows.doc_id.isin(truth.index)]
+    y = held.doc_id.map(truth)
+    assert held[y == 1].predicted.mean() >= 0.9 and held[y == 0].predicted.mean() < 0.01
+
+
+def test_threats_need_intent_and_target():
+    g = toxicity.Grammar()
+    score = lambda t: g.features(t)[2]
+    assert score("i will kill you") > 0 and score("we are going to hurt them") > 0
+    assert score("i will not kill you") < score("i will kill you") and score("he said i will kill you") < score("i will kill you")
+    assert score("frost can kill plants") == score("i will kill time") == score("you will see") == 0
+
+
+def brute_paths(machines, words):
+    """Every path through the cascade, machine by machine."""
+    import math
+
+    def strings(machine, symbols):
+        paths = [(machine.start, (), ())]
+        for x in symbols:
+            paths = [(to, (*out, o), (*ws, w)) for at, out, ws in paths for o, w, to in machine.step(at, x)]
+        return [(out, ws) for at, out, ws in paths if machine.ends(at)]
+
+    every = [(tuple(s for s, _ in words), (0.0,) * len(words))]
+    for m in machines:
+        every = [(out, tuple(map(sum, zip(ws, more, strict=True)))) for symbols, ws in every for out, more in strings(m, symbols)]
+    marks = (toxicity.INSULT, toxicity.THREAT)
+    return max((sum(v * math.exp(w) if o in marks else w for o, w, (_, v) in zip(out, ws, words, strict=True)) for out, ws in every), default=0.0)
+
+
+def test_composition_against_all_paths():
+    import random
+
+    rng = random.Random(2)
+    ct = toxicity.context_transducer
+    machines = [toxicity.insult_transducer(), toxicity.threat_transducer(), ct(toxicity.TARGET, 3, 0.15, 0.3), ct(toxicity.NEGATION, 2, -0.9, 0.0), ct(toxicity.REPORT, 6, -0.7, -0.2)]
+    for _ in range(300):
+        words = [(rng.randrange(7), rng.choice((1.0, 2.5))) for _ in range(rng.randint(0, 9))]
+        assert toxicity.best_path(toxicity.grammar(), words) == pytest.approx(brute_paths(machines, words))
+
+
 def test_clauses_not_words():
     """Negation and reported speech weaken an insult, a target strengthens it."""
     g = toxicity.Grammar({"fool": 3.0})
@@ -73,7 +121,7 @@ def test_clauses_not_words():
 
 def test_toxicity_edges(spark):
     odd = spark.createDataFrame([(1, None, "c"), (2, "", "c"), (None, "fool", "c")], "doc_id bigint, text string, score string")
-    assert toxicity.scores(odd, toxicity.Grammar()).count() == 3
+    assert toxicity.scores(odd, toxicity.Grammar()).count() == 3 and toxicity.scores(odd.limit(0), toxicity.Grammar()).count() == 0
     labels = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert toxicity.fit(toxicity.labelled_sample(odd, labels)).score("x") < 0.7
 
