@@ -11,8 +11,8 @@ import hashlib
 import random
 import re
 import string
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import takewhile
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -28,13 +28,17 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 KINDS = ("assign", "access", "hex", "crf")
 
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
-_TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]+|[^\sA-Za-z0-9+/_.=-]")
-#: Tokens that may be secrets: those with a digit and long unbroken ones.
-_ODD = re.compile(r"(?<![A-Za-z0-9+/_.=-])(?:[A-Za-z+/_.=-]*[0-9][A-Za-z0-9+/_.=-]*|[A-Za-z+/_=-]{20,})")
-_KEYWORDS = {"password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "key", "bearer", "authorization", "credential", "credentials", "auth", "private"}
-#: Characters to either side of an odd token that the decoder looks at.
+#: Runs of credential characters, with the padding that may end them, and single marks.
+_TOKEN = re.compile(r"[A-Za-z0-9+/_.-]+(?:={1,2}(?![A-Za-z0-9=]))?|[^\sA-Za-z0-9+/_.-]")
+_KEYWORDS = {"password", "passwd", "pass", "pwd", "passphrase", "passcode", "secret", "token", "apikey", "api_key", "key", "bearer", "basic", "authorization", "credential", "credentials", "auth", "private"}
+#: Where the field may leave its outside tag: digits, long unbroken tokens, and names of credentials.
+_DIGITS = re.compile(r"[0-9]+")
+_LONG = re.compile(r"(?<![A-Za-z+/_.-])[A-Za-z+/_.-]{20,}")
+_STEMS = ("pass", "pwd", "secret", "token", "key", "bearer", "basic", "auth", "credential", "private")
+_NAME = re.compile("|".join(_STEMS), re.IGNORECASE | re.ASCII)
+_NAMED = re.compile(r"(?i)passw|pwd|secret|token|api_?key|bearer|credential|private")
+#: Characters of plain text to either side of odd tokens that are decoded with them.
 CONTEXT = 160
-SHORTEST = 16
 
 _ALPHABET, _HEXDIGITS = string.ascii_letters + string.digits, "0123456789abcdef"
 
@@ -66,19 +70,22 @@ def shape(token: str) -> str:
 
 
 def features(tokens: list[str], file: tuple[str, ...]) -> list[list[str]]:
+    """What the field sees of each token: shapes of it and its neighbours, neighbouring words, a credential's name before it, the file."""
     shapes = [shape(t) for t in tokens]
-    marks = [t if len(t) == 1 and not t.isalnum() else "" for t in tokens]
+    words = ["^", *(t.lower()[:16] for t in tokens), "$"]
     out = []
     for i, s in enumerate(shapes):
         before = shapes[i - 1] if i else "^"
         after = shapes[i + 1] if i + 1 < len(tokens) else "$"
         near = "keyword" in shapes[max(0, i - 4) : i]
-        out.append([f"s:{s}", f"b:{before}|{s[:4]}", f"a:{after}", f"k:{near}|{s}", f"m:{marks[i - 1] if i else ''}", *(f"f:{x}|{s}" for x in file), "one"])
+        named = "keyword" in shapes[max(0, i - 2) : i]
+        out.append([f"s:{s}", f"b:{before}|{s[:4]}", f"a:{after}", f"k:{near}|{s}", f"n:{named}|{s}", f"w:{words[i]}|{s[:2]}", f"x:{words[i + 2]}|{s[:2]}", *(f"f:{x}|{s}" for x in file), "one"])
     return out
 
 
 def file_features(text: str) -> tuple[str, ...]:
-    return ("code" if "{" in text or ";" in text else "prose",)
+    """Code or prose, and whether a credential is named anywhere."""
+    return ("code" if "{" in text or ";" in text else "prose", "named" if _NAMED.search(text) else "unnamed")
 
 
 class Field:
@@ -153,58 +160,88 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
+def _picker(rng: random.Random):
+    def pick(alphabet: str, a: int, b: int | None = None) -> str:
+        return "".join(rng.choice(alphabet) for _ in range(a if b is None else rng.randint(a, b)))
+
+    return pick
+
+
+def _mixed(rng: random.Random, a: int, b: int | None = None) -> str:
+    """Letters of both cases and digits, at least one digit and one letter."""
+    n = a if b is None else rng.randint(a, b)
+    out = [rng.choice((rng.choice(string.ascii_letters), rng.choice(string.digits), rng.choice(_ALPHABET))) for _ in range(n)]
+    i, j = rng.sample(range(n), 2)
+    out[i], out[j] = rng.choice(string.digits), rng.choice(string.ascii_letters)
+    return "".join(out)
+
+
+def long_secret(rng: random.Random) -> str:
+    """A credential that shows by itself."""
+    pick = _picker(rng)
+    return rng.choice((
+        lambda: pick(_HEXDIGITS, 24, 64), lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, 16), lambda: "ghp_" + _mixed(rng, 36),
+        lambda: "sk-" + _mixed(rng, 32, 48), lambda: _mixed(rng, 24, 44), lambda: _mixed(rng, 28, 40) + "==", lambda: "AIza" + _mixed(rng, 35),
+        lambda: f"eyJ{_mixed(rng, 20)}.eyJ{_mixed(rng, 30)}.{_mixed(rng, 40)}", lambda: f"xoxb-{pick(string.digits, 11)}-{_mixed(rng, 24)}",
+    ))()
+
+
+def short_secret(rng: random.Random) -> str:
+    """A credential that shows only beside its name."""
+    return rng.choice((lambda: _mixed(rng, 6, 15), lambda: _mixed(rng, 3, 5) + rng.choice("#!$%&*@") + _mixed(rng, 3, 6), lambda: _mixed(rng, 8, 12) + "=="))()
+
+
+NAMES = ("password", "pwd", "passwd", "db_pass", "DB_PASSWORD", "token", "auth_token", "api_key", "secret", "client_secret", "key", "private_key", "auth", "passphrase", "credential")
+
+
 def _generated(n: int, seed: int = 3) -> list[tuple[list[list[str]], list[int]]]:
     """Lines of prose, settings and code with tagged secrets among harmless look-alikes."""
     rng = random.Random(seed)
-
-    def pick(alphabet: str, a: int, b: int | None = None) -> str:
-        return "".join(rng.choice(alphabet) for _ in range(a if b is None else rng.randint(a, b)))
+    pick = _picker(rng)
 
     def word() -> str:
         w = pick(string.ascii_lowercase, 2, 11)
         return rng.choice((w, w, w, w.capitalize(), w.upper()))
 
-    def secret() -> str:
-        kind = rng.randrange(8)
-        mixed = lambda n: "".join(rng.choice((rng.choice(string.ascii_letters), rng.choice(string.digits), rng.choice(_ALPHABET))) for _ in range(n))
-        return (
-            pick(_HEXDIGITS, 24, 64), "AKIA" + pick(string.ascii_uppercase + string.digits, 16), "ghp_" + mixed(36), "sk-" + mixed(rng.randint(32, 48)),
-            mixed(rng.randint(24, 44)), mixed(rng.randint(28, 40)) + "==", f"eyJ{mixed(20)}.eyJ{mixed(30)}.{mixed(40)}", f"xoxb-{pick(string.digits, 11)}-{mixed(24)}",
-        )[kind]
-
     def harmless() -> str:
         d = lambda a, b=None: pick(string.digits, a, b)
-        kind = rng.randrange(12)
+        kind = rng.randrange(14)
         return (
             f"{word()}.{d(2)}@{word()}.example.com", f"{d(2)}.{d(2)}.{d(1)}.{d(3)}", f"+1 ({d(3)}) 555-{d(4)}", d(16), f"20{d(2)}-0{d(1)}-1{d(1)}",
             f"v{d(1)}.{d(2)}.{d(1)}", f"https://{word()}.com/{word()}/{d(5)}", f"{pick(_HEXDIGITS, 8)}-{pick(_HEXDIGITS, 4)}-{pick(_HEXDIGITS, 4)}-{pick(_HEXDIGITS, 4)}-{pick(_HEXDIGITS, 12)}",
-            word() + word() + word(), f"{word()}{d(1, 3)}", f"/usr/{word()}/{word()}{d(1)}.so", f"{word()}_{word()}_{word()}",
+            word() + word() + word(), f"{word()}{d(1, 3)}", f"/usr/{word()}/{word()}{d(1)}.so", f"{word()}_{word()}_{word()}", d(1, 9), f"{d(1, 3)}{rng.choice(('px', 'kB', 'th', 'ms', 'GB'))}",
         )[kind]
 
     out = []
     for _ in range(n):
-        parts: list[tuple[str, bool]] = [(word(), False) for _ in range(rng.randint(0, 5))]
-        kind = rng.randrange(6)
-        name = rng.choice(("password", "token", "api_key", "secret", "Authorization: Bearer", "key", "private_key", "auth"))
-        quote = rng.choice(("", '"', "'"))
-        if kind == 0:
-            parts += [(f"{name} {rng.choice('=:')} {quote}", False), (secret(), True), (quote, False)]
-        elif kind == 1:
-            parts += [(secret(), True)]
+        parts: list[tuple[str, bool]] = [(word() + rng.choice(("", "", ".", ",")), False) for _ in range(rng.randint(0, 5))]
+        kind = rng.randrange(10)
+        name, quote = rng.choice(NAMES), rng.choice(("", '"', "'"))
+        secret = rng.choice((long_secret, short_secret))(rng)
+        if kind < 2:
+            parts += [(f"{name}{quote} {rng.choice('=:')} {quote}" if rng.random() < 0.5 else f"{name}{rng.choice('=:')}{quote}", False), (secret, True), (quote, False)]
         elif kind == 2:
-            parts += [(name + " " + word(), False)]
+            parts += [(rng.choice(("Authorization: Bearer", "Authorization: Basic", f"the {name} is", f"my {name} is:", f"--{name}")), False), (secret, True)]
         elif kind == 3:
+            parts += [(f"{word()}://{word()}:", False), (short_secret(rng), True), (f"@{word()}.{word()}/{word()}", False)]
+        elif kind == 4:
+            parts += [(long_secret(rng), True)]
+        elif kind == 5:
+            parts += [(rng.choice((f"{name} {word()} {word()}", f"the {name} has {pick(string.digits, 1, 2)} {word()}", f"{word()} {name} {word()} {harmless()}", f"{name}: {word()} {word()}", f"{name}. {word()}")), False)]
+        elif kind == 6:
             parts += [(f"{word()} = {quote}{harmless()}{quote}", False)]
         else:
             parts += [(harmless(), False), (word(), False), (harmless(), False)]
-        parts += [(word(), False) for _ in range(rng.randint(0, 4))]
+        parts += [(word() + rng.choice(("", "", ".", ",")), False) for _ in range(rng.randint(0, 4))]
         tokens, tags = [], []
         for text, own in parts:
             found = _TOKEN.findall(text)
             tokens += found
             tags += [(BEGIN if i == 0 else INSIDE) if own else OUTSIDE for i in range(len(found))]
         if tokens:
-            out.append((features(tokens, (rng.choice(("code", "prose")),)), tags))
+            held = any(own for _, own in parts)
+            file = ("code" if rng.random() < (0.6 if held else 0.4) else "prose", "named" if kind in (0, 1, 2, 5) or rng.random() < 0.3 else "unnamed")
+            out.append((features(tokens, file), tags))
     return out
 
 
@@ -222,35 +259,59 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(a, b, KINDS[k]) for a, b, k in sorted(out, key=lambda x: (x[0], x[2]))]
 
 
-def field_spans(text: str, field: Field) -> list[tuple[int, int, str]]:
+def _odd(text: str) -> list[tuple[int, int]]:
+    """Parts of tokens that may be a secret or name one, in order; most texts have few."""
+    spots = [m.span() for m in _DIGITS.finditer(text)]
+    low = text.lower()
+    if any(x in low for x in _STEMS):
+        spots += [m.span() for m in _NAME.finditer(text)]
+    if max(map(len, text.split()), default=0) >= 20:
+        spots += [m.span() for m in _LONG.finditer(text)]
+    return sorted(spots)
+
+
+def _stretches(text: str) -> Iterator[tuple[int, int]]:
+    """Stretches of whole tokens that reach ``CONTEXT`` characters around every odd token."""
+    first = last = None
+    for a, b in _odd(text):
+        if first is not None and a - last > 2 * CONTEXT:
+            yield _widened(text, first, last)
+            first = None
+        first, last = (a, b) if first is None else (first, max(last, b))
+    if first is not None:
+        yield _widened(text, first, last)
+
+
+def _widened(text: str, a: int, b: int) -> tuple[int, int]:
+    a, b = max(0, a - CONTEXT), min(len(text), b + CONTEXT)
+    while a > 0 and not (text[a - 1].isspace() or text[a].isspace()):
+        a -= 1
+    while b < len(text) and not (text[b - 1].isspace() or text[b].isspace()):
+        b += 1
+    return a, b
+
+
+def field_spans(text: str, field: Field, whole: bool = False) -> list[tuple[int, int, str]]:
     """Spans that Viterbi tags as secrets.
 
-    Only stretches around odd tokens are decoded.  Elsewhere every token is a word or a
-    mark, for which begin never wins: a secret holds a digit or is a long mixed run.
+    A run of plain words and marks is outside on the best path, whatever stands beyond it,
+    so the chain falls apart there: stretches around odd tokens, decoded one by one, give the
+    tags of the ``whole`` text, which tests compare.
     """
     out: list[tuple[int, int, str]] = []
-    file, done = None, -1
-    for m in _ODD.finditer(text):
-        if m.end() - m.start() < SHORTEST or m.start() < done:
+    file = file_features(text) if text else ()
+    for a, b in [(0, len(text))] if whole else _stretches(text):
+        tokens = list(_TOKEN.finditer(text, a, b))
+        if not tokens:
             continue
-        file = file or file_features(text)
-        end = _TOKEN.match(text, m.start()).end()
-        a, b = max(0, m.start() - CONTEXT), min(len(text), end + CONTEXT)
-        # a token over the right edge is context here, and decoded again with its own
-        tokens = [t for t in takewhile(lambda t, b=b: t.start() < b, _TOKEN.finditer(text, a)) if t.start() > a or a == 0]
-        tags = field.viterbi(features([t.group() for t in tokens], file))
-        done = b
-        # and so is one near the edge
-        sure = end + CONTEXT // 2 if b < len(text) else b
-        for t, tag in zip(tokens, tags, strict=True):
-            if t.start() >= sure or t.end() >= b < len(text):
-                done = t.start()
-                break
+        open_ = False
+        for t, tag in zip(tokens, field.viterbi(features([t.group() for t in tokens], file)), strict=True):
             if tag == BEGIN:
                 out.append((t.start(), t.end(), "crf"))
-            elif tag == INSIDE and out and out[-1][1] <= t.start():
+            elif tag == INSIDE and open_:
                 out[-1] = (out[-1][0], t.end(), "crf")
-    return [s for s in dict.fromkeys(out) if s[1] - s[0] >= SHORTEST]
+            open_ = tag != OUTSIDE
+    return out
 
 
 def find_secrets(text: str | None, field: Field) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
@@ -270,7 +331,8 @@ def scan(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans)``, a row for each input row.
 
     Positions are code points, ends exclusive.  Null texts are empty and have no span;
-    repeated rows are scanned each; further columns are ignored.
+    texts of any length are read whole; repeated rows and null ids are rows like any other;
+    further columns are ignored, whatever their names; an empty table gives no rows.
     """
     field = field or trained()
 
@@ -302,7 +364,11 @@ def redacted(text: str | None, field: Field, mark: str = "[secret]") -> str | No
 
 
 def redact(docs: DataFrame, field: Field | None = None) -> DataFrame:
-    """All rows and columns, secrets replaced in ``text`` and ``n_chars`` counted anew."""
+    """All rows and columns, secrets replaced in ``text`` and ``n_chars`` counted anew.
+
+    Null and empty texts, null ids, repeated rows and columns of any name stay as they are;
+    an empty table gives no rows.
+    """
     field = field or trained()
     names = docs.columns
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loomspark.llm import langid, queries, toxicity
+from loomspark.llm import langid, queries, secrets, toxicity
 from loomspark.llm.common import read_table
 
 SF = "/root/testdata/sf0.01"
@@ -159,3 +159,44 @@ def test_topk_against_sql(spark):
     con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
     want = sorted(con.sql(queries.ORACLES["op9_topk"]).fetchall())
     assert sorted(map(tuple, queries.QUERIES["op9_topk"](spark, SF).collect())) == want
+
+
+def planted_secrets():
+    """(text, start, end, named): clean test documents with one credential put into the middle."""
+    import random
+
+    import duckdb
+
+    rng = random.Random(99)
+    texts = [t for (t,) in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet' WHERE length(text) > 200 ORDER BY doc_id").fetchall() if not secrets.base_spans(t)]
+    for t in texts[:300]:
+        kind = rng.randrange(4)
+        own = secrets.short_secret(rng) if kind else secrets.long_secret(rng)
+        lead = (" ", f' {rng.choice(secrets.NAMES)} = "', f" the {rng.choice(secrets.NAMES)} is ", " Authorization: Bearer ")[kind]
+        at = t.find(" ", len(t) // 2) % (len(t) + 1)
+        yield t[:at] + lead + own + ('"' if kind == 1 else "") + t[at:], at + len(lead), at + len(lead) + len(own)
+
+
+def test_field_adds_to_the_base_patterns():
+    """Credentials that the base patterns miss or cut are found whole; clean text is left alone."""
+    field, beyond, caught, exact, false = secrets.trained(), 0, 0, 0, 0
+    for text, a, b in planted_secrets():
+        found = secrets.field_spans(text, field)
+        exact += any((s, e) == (a, b) for s, e, _ in found)
+        false += sum(e <= a or b <= s for s, e, _ in found)
+        if not any(s < b and a < e for s, e, _ in secrets.base_spans(text)):
+            beyond += 1
+            caught += any(s < b and a < e for s, e, _ in found)
+    assert beyond > 100 and caught >= 0.9 * beyond and exact >= 270 and false <= 5
+    for text, own in (("a bare AIzaSyD9x8f7GhJk2lmN0pQrStUvWxYz12345678 key", "AIza"), ("pwd: Xy7#kk9! then", "Xy7#kk9"), ('db_pass = "S3cr3tP4ss"', "S3cr3tP4ss")):
+        assert any(text[a:b].startswith(own) for a, b, _ in secrets.field_spans(text, field))
+
+
+def test_stretches_give_the_tags_of_whole_texts():
+    field = secrets.trained()
+    for text, _, _ in list(planted_secrets())[:120]:
+        assert secrets.field_spans(text, field) == secrets.field_spans(text, field, whole=True)
+
+
+def test_secrets_of_empty_tables(spark, docs):
+    assert secrets.scan(docs.limit(0)).count() == 0 and secrets.redact(docs.limit(0)).columns == docs.columns
