@@ -53,11 +53,28 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True)
     p.add_argument("--phase", type=int, choices=(2, 3), default=3)
     p.add_argument("--force", action="store_true")
+    p = step("run", "load and freeze what a stage of the study needs, one step after the other")
+    p.add_argument("stage", choices=[*LOADS, *STAGES])
+    p.add_argument("--folder", required=True, help="folder of the dump files")
+    p.add_argument("--out", help="folder of the frozen report, for stages that freeze")
     return top
 
 
+#: What each part of a run calls; files are looked for in the folder.
+LOADS = {
+    "phase1": (["dump", "--folder", "{folder}"], ["logging", "--files", "{folder}/*-pages-logging.xml.gz"]),
+    "phase2": (["stub", "--files", "{folder}/*-stub-meta-history*.xml.gz"],),
+    "phase3": (["history", "--files", "{folder}/*-pages-meta-history*.7z"],),
+    "freeze2": (["freeze", "--phase", "2", "--out", "{out}/phase2"],),
+    "freeze3": (["freeze", "--phase", "3", "--out", "{out}/phase3"],),
+}
+STAGES = {"through_phase2": ("phase1", "phase2", "freeze2"), "through_phase3": ("phase3", "freeze3"), "all": ("phase1", "phase2", "freeze2", "phase3", "freeze3")}
+
+
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
+    if a.step == "run":
+        return _run(a)
     if a.step in ("logging", "stub", "history") and not discover(a.files):
         print(f"no files match {a.files}")
         return 0 if a.dry_run else 2
@@ -72,6 +89,21 @@ def main(argv: list[str] | None = None) -> int:
         return 2
 
 
+def _run(a) -> int:
+    """The parts of a stage in turn; the first that fails ends the run with its code."""
+    parts = STAGES.get(a.stage, (a.stage,))
+    if a.out is None and any(p.startswith("freeze") for p in parts):
+        print("--out is needed to freeze", file=sys.stderr)
+        return 2
+    for part in parts:
+        for command in LOADS[part]:
+            argv = [w.format(folder=a.folder, out=a.out) for w in command] + ["--base", a.base]
+            print(f"{part}: {' '.join(argv)}")
+            if code := main([*(["--master", a.master] if a.master else []), *argv]):
+                return code
+    return 0
+
+
 def _files(spark, a) -> int:
     chosen = manifest.select_files(manifest.read_manifest(spark, a.status), a.phase, a.files)
     print(manifest.to_markdown(chosen))

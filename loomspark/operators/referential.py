@@ -31,10 +31,10 @@ def insert_if_absent(have: DataFrame, new: DataFrame, keys: list[str]) -> DataFr
 def above_watermark(rows: DataFrame, loaded: DataFrame, key: str) -> DataFrame:
     """Rows above the largest loaded key (0 if nothing is loaded); null keys pass, to be rejected later.
 
-    The mark is a one-row subquery, so the filter can reach the scan.
+    The mark is a scalar subquery, so the filter can reach the scan.
     """
-    mark = loaded.agg(F.coalesce(F.max(key), F.lit(0)).alias("_mark"))
-    return rows.join(F.broadcast(mark), F.col(key).isNull() | (F.col(key) > F.col("_mark"))).drop("_mark")
+    mark = loaded.agg(F.coalesce(F.max(key), F.lit(0)).alias("_mark")).scalar()
+    return rows.where(F.col(key).isNull() | (F.col(key) > mark))
 
 
 def not_loaded(rows: DataFrame, loaded: DataFrame, key: str) -> DataFrame:

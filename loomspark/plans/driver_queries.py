@@ -201,12 +201,12 @@ def q_resume_watermark(spark, d):
 
 @query(
     "pending_files",
-    """SELECT DISTINCT 'part-' || CAST(l_partkey % 100 AS VARCHAR) || '.7z' AS file FROM lineitem WHERE l_partkey % 100 NOT IN (
-       SELECT l_partkey % 100 FROM lineitem WHERE l_suppkey = 1)""",
+    """SELECT DISTINCT 'part-' || CAST(l_partkey AS VARCHAR) || '.7z' AS file FROM lineitem WHERE l_partkey NOT IN (
+       SELECT l_partkey FROM lineitem WHERE l_suppkey % 7 = 1)""",
 )
 def q_pending_files(spark, d):
-    lines = table(spark, d, "lineitem").select("l_suppkey", F.concat(F.lit("part-"), (F.col("l_partkey") % 100).cast("string"), F.lit(".7z")).alias("file"))
-    return referential.pending(lines.select("file"), lines.where("l_suppkey = 1").select("file"), "file")
+    lines = table(spark, d, "lineitem").select("l_suppkey", F.concat(F.lit("part-"), F.col("l_partkey").cast("string"), F.lit(".7z")).alias("file"))
+    return referential.pending(lines.select("file"), lines.where("l_suppkey % 7 = 1").select("file"), "file")
 
 
 @query("duplicate_keys", "SELECT text AS key, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -234,9 +234,9 @@ def q_text_sha1(spark, d):
     return table(spark, d, "documents").groupBy(F.sha1(F.encode("text", "UTF-8")).alias("sha1")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("base64_bytes", "SELECT conv_id, turn, base64(encode(role)) AS b64 FROM conversations")
+@query("base64_bytes", "SELECT conv_id, turn, base64(encode(text)) AS b64 FROM conversations")
 def q_base64_bytes(spark, d):
-    return table(spark, d, "conversations").select("conv_id", "turn", F.base64(F.encode("role", "UTF-8")).alias("b64"))
+    return table(spark, d, "conversations").select("conv_id", "turn", F.regexp_replace(F.base64(F.encode("text", "UTF-8")), "\r\n", "").alias("b64"))
 
 
 @query("json_field_counts", "SELECT json_extract_string(props, '$.k') AS k, count(*) AS n FROM events GROUP BY 1")
@@ -336,7 +336,15 @@ def q_signature_extract(spark, d):
     return _signed_lines(spark, d).select("conv_id", "turn", C.signature_user(line).alias("author"), C.signature_date(line).alias("stamp"), C.indentation(line).alias("indentation"))
 
 
-@query("message_thread")
+@query(
+    "message_thread",
+    """WITH m AS (SELECT conv_id, turn, role, ':' || role AS line, lpad(CAST(turn % 24 AS VARCHAR), 2, '0') || ':05, ' || CAST(1 + conv_id % 28 AS VARCHAR) || ' January 2020' AS stamp
+         FROM conversations),
+       n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, line) AS id, rank() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS before FROM m)
+       SELECT conv_id, CAST(id AS INTEGER) AS id, 'Thread' AS section, 'U' || CAST(conv_id AS VARCHAR) AS author, stamp,
+         CASE WHEN id = 1 THEN 'Thread' || chr(10) ELSE '' END || role || ' u ' || stamp || ' (UTC)' AS content,
+         CAST(before AS INTEGER) AS reply_to, CAST(turn + 1 AS INTEGER) AS indentation FROM n""",
+)
 def q_message_thread(spark, d):
     """Messages of talk pages built from the conversations, each turn one level deeper."""
     from loomspark.functions.talk import talk_messages
@@ -345,7 +353,8 @@ def q_message_thread(spark, d):
     lines = _signed_lines(spark, d).select("conv_id", "turn", line.alias("line"))
     pages = lines.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "line"))).alias("ls"))
     text = F.concat(F.lit("== Thread ==\n"), F.array_join(F.col("ls.line"), "\n"))
-    return talk_messages(pages.select("conv_id", text.alias("text")), "conv_id", "text")
+    found = talk_messages(pages.select("conv_id", text.alias("text")), "conv_id", "text")
+    return found.withColumn("reply_to", F.coalesce("reply_to", F.lit(0)))
 
 
 _WORDS = "('idiot', 'the', 'que', 'und')"
@@ -502,7 +511,7 @@ def q_x_null_edit_share(spark, d):
     f"""SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY {_SECONDS} RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS popularity FROM events""",
 )
 def q_x_popularity(spark, d):
-    return research.inertia(_timed(spark, d), ["event_type"], "t", "popularity").select("event_id", "popularity")
+    return research.inertia(_timed(spark, d), ["event_type"], "t", "popularity", width=3_600_000_000).select("event_id", "popularity")
 
 
 @query(

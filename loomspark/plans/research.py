@@ -10,10 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def inertia(events: DataFrame, keys: list[str], t: str, name: str = "inertia") -> DataFrame:
-    """Earlier events with the same keys; those at the same time do not count.  ``t`` is a whole number."""
-    past = Window.partitionBy(*keys).orderBy(t).rangeBetween(Window.unboundedPreceding, -1)
-    return events.withColumn(name, F.count(F.lit(1)).over(past))
+def inertia(events: DataFrame, keys: list[str], t: str, name: str = "inertia", width: int | None = None) -> DataFrame:
+    """Earlier events with the same keys; those at the same time do not count.  ``t`` is a whole number.
+
+    With ``width``, a key's events are counted in stretches of that time, each a task's own, and
+    the stretches before are added: for keys that very many events have.
+    """
+    order = Window.orderBy(t).rangeBetween(Window.unboundedPreceding, -1)
+    if width is None:
+        return events.withColumn(name, F.count(F.lit(1)).over(order.partitionBy(*keys)))
+    parted = events.withColumn("_b", F.floor(F.col(t) / width))
+    inside = parted.withColumn("_n", F.count(F.lit(1)).over(order.partitionBy(*keys, "_b")))
+    sums = parted.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_all"))
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_b").alias("_b2"), F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_before"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_b").eqNullSafe(F.col("_b2"))]
+    return inside.join(sums, same).select(*events.columns, (F.col("_n") + F.col("_before")).alias(name))
 
 
 def subset_repetition(events: DataFrame, id_col: str, t: str, members: str) -> DataFrame:
@@ -70,13 +82,19 @@ def access_tier(edits: Column, days: Column, auto: tuple[int, int] = (10, 4), ex
 def return_share(left: DataFrame, right: DataFrame, key: str, t: str, span: int, id_col: str) -> DataFrame:
     """How many ``left`` events a ``right`` event of the same key follows within ``span``.
 
-    The interval join meets on time buckets of one span, so only neighbours are paired.
+    Time is cut into buckets of one span.  What follows lies in the event's own bucket, if its last
+    event is later, or in the next one, if its first is near enough: two numbers a bucket
+    decide, so no events are paired.
     """
-    a = left.select(key, F.col(id_col).alias("id"), F.col(t).alias("t"), F.explode(F.array((F.col(t) / span).cast("bigint"), (F.col(t) / span).cast("bigint") + 1)).alias("b"))
-    z = right.select(key, F.col(t).alias("t2"), (F.col(t) / span).cast("bigint").alias("b"))
-    hit = a.join(z, [key, "b"]).where((F.col("t2") > F.col("t")) & (F.col("t2") <= F.col("t") + span)).select("id").distinct().withColumn("back", F.lit(True))
-    every = left.select(F.col(id_col).alias("id")).distinct()
-    return every.join(hit, "id", "left").agg(F.count(F.lit(1)).alias("stays"), F.count_if(F.col("back")).alias("returned"))
+    bucket = F.floor(F.col(t) / span)
+    a = left.select(F.col(key).alias("k"), F.col(id_col).alias("id"), F.col(t).alias("t"), bucket.alias("b"))
+    z = right.groupBy(F.col(key).alias("k"), bucket.alias("b")).agg(F.min(t).alias("first"), F.max(t).alias("last"))
+    own = z.select("k", "b", F.col("last"))
+    after = z.select("k", (F.col("b") - 1).alias("b"), F.col("first"))
+    both = a.join(own, ["k", "b"], "left").join(after, ["k", "b"], "left")
+    back = (F.col("last") > F.col("t")) | (F.col("first") <= F.col("t") + span)
+    each = both.groupBy("id").agg(F.bool_or(back).alias("back"))
+    return each.agg(F.count(F.lit(1)).alias("stays"), F.count_if(F.col("back")).alias("returned"))
 
 
 def shared_pages(edits: DataFrame, page: str, editor: str, least: int = 1) -> DataFrame:

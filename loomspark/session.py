@@ -45,10 +45,13 @@ def ensure_importable(spark: SparkSession) -> None:
 def workspace(spark: SparkSession) -> str:
     """Folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the cluster names none (tests on local[*]) is a temporary folder set.
+    Only a local session that names none (tests) gets a temporary folder; elsewhere executors
+    would write to disks of their own, so a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="loom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base

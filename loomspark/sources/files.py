@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 import glob
 import gzip
 import hashlib
@@ -50,14 +51,26 @@ def natural_key(path: str) -> tuple[int, int, str]:
 
 
 def discover(pattern: str) -> list[str]:
-    """Files of a comma-separated list of paths or local globs, in natural order."""
+    """Files of a comma-separated list of paths or globs of the last part, in natural order.
+
+    Globs of any file system that Arrow lists match, so ``s3://`` and ``hdfs://`` as well.
+    """
     found = []
     for p in pattern.split(","):
         p = p.strip()
-        found += glob.glob(p.removeprefix("file://")) if re.search(r"[*?\[]", p) else [p]
+        found += _matching(p) if re.search(r"[*?\[]", p) else [p]
     return sorted(set(found), key=natural_key)
 
 
+def _matching(pattern: str) -> list[str]:
+    if "://" not in pattern or pattern.startswith("file://"):
+        return glob.glob(pattern.removeprefix("file://"))
+    folder, _, last = pattern.rpartition("/")
+    system, name = filesystem(folder)
+    inside = system.get_file_info(fs.FileSelector(name, allow_not_found=True))
+    return [f"{folder}/{f.base_name}" for f in inside if f.is_file and fnmatch.fnmatchcase(f.base_name, last)]
+
+
 def sha1_of(path: str, chunk: int = 1 << 20) -> str:
     """SHA-1 of the stored (not decompressed) bytes."""
     system, name = filesystem(path)

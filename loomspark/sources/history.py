@@ -41,7 +41,7 @@ def _int(text: str | None) -> int | None:
 
 def revisions(stream, limit: int | None = None) -> Iterator[dict]:
     """Revision rows of an export stream; ``limit`` counts rows of this file."""
-    root, page, count = None, {}, 0
+    root, holder, page, count = None, None, {}, 0
     depth: list[str] = []
     for event, elem in ET.iterparse(stream, events=("start", "end")):
         name = local(elem.tag)
@@ -49,7 +49,7 @@ def revisions(stream, limit: int | None = None) -> Iterator[dict]:
             root = elem if root is None else root
             depth.append(name)
             if name == "page":
-                page = {}
+                page, holder = {}, elem
             continue
         depth.pop()
         parent = depth[-1] if depth else ""
@@ -58,7 +58,7 @@ def revisions(stream, limit: int | None = None) -> Iterator[dict]:
                 return
             yield _revision(elem, page)
             count += 1
-            elem.clear()
+            holder.remove(elem)
         elif parent == "page" and name in ("title", "ns", "id"):
             page[name] = elem.text
         elif name == "page" and root is not None:

@@ -11,8 +11,9 @@ from loomspark.session import ensure_importable
 
 SCHEMA = "jobs map<string, struct<files: map<string, struct<size: bigint, sha1: string, md5: string, url: string>>>>"
 
-#: Files that each phase adds (fixed names and jobs of a dump run); checksums come with any.
+#: Dumps that the first phase takes, and the job whose histories the third does (fixed names).
 PHASE_TABLES = ("page", "page_restrictions", "protected_titles", "user_groups", "user_former_groups", "change_tag", "change_tag_def")
+WIKITEXT_JOB = "metahistory7zdump"
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -25,24 +26,32 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def select_files(files: DataFrame, phase: int, explicit: list[str] | None = None) -> DataFrame:
-    """Files of all phases up to ``phase`` (or those named), with the checksum lists."""
+    """Files of all phases up to ``phase``, with the checksum lists there are; or just those named.
+
+    The first phase has the SQL dumps and the logging XML, the second adds the stub
+    histories, the third the wikitext histories of their job.  A file that is named, or
+    that the first phase needs, and is not in the manifest is an error.
+    """
     name = F.col("file")
-    if explicit is not None:
-        missing = files.sparkSession.createDataFrame([(f,) for f in explicit], "file string").join(files, "file", "left_anti")
-        if (row := missing.first()) is not None:
-            raise ValueError(f"not in the manifest: {row.file}")
+    if explicit:
+        lacking = sorted(set(explicit) - {r.file for r in files.where(name.isin(explicit)).select("file").collect()})
         wanted = name.isin(explicit)
     elif phase in (1, 2, 3):
-        wanted = F.lit(False)
-        for t in PHASE_TABLES:
-            wanted = wanted | name.endswith(f"-{t}.sql.gz")
+        endings = [*(f"-{t}.sql.gz" for t in PHASE_TABLES), "-pages-logging.xml.gz"]
+        there = files.agg(*(F.coalesce(F.bool_or(name.endswith(e)), F.lit(False)) for e in endings)).first()
+        lacking = [e for e, found in zip(endings, there, strict=True) if not found]
+        wanted = name.rlike("(md5|sha1)sums.*txt$")
+        for e in endings:
+            wanted = wanted | name.endswith(e)
         if phase >= 2:
-            wanted = wanted | name.endswith("pages-logging.xml.gz")
+            wanted = wanted | (name.contains("-stub-meta-history") & name.endswith(".xml.gz"))
         if phase >= 3:
-            wanted = wanted | name.rlike(r"stub-meta-history\d+\.xml\.gz$") | name.rlike(r"pages-meta-history\d+\.xml-p\d+p\d+\.7z$")
+            wanted = wanted | (name.contains("-pages-meta-history") & name.endswith(".7z") & (F.col("job") == WIKITEXT_JOB))
     else:
         raise ValueError(f"phase {phase}")
-    return files.where(wanted | name.rlike("(md5|sha1)sums.*txt$")).withColumn("kind", file_kind("file"))
+    if lacking:
+        raise ValueError(f"not in the manifest: {', '.join(lacking)}")
+    return files.where(wanted).withColumn("kind", file_kind("file"))
 
 
 def hashed_files(spark: SparkSession, paths: DataFrame) -> DataFrame:

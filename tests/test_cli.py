@@ -27,8 +27,13 @@ def test_commands(spark, tmp_path, capsys):
     assert main(["freeze", "--base", base, "--out", str(tmp_path / "f")]) == 0
     assert main(["freeze", "--base", base, "--out", str(tmp_path / "f")]) == 1
     (tmp_path / "s.json").write_text('{"jobs": {"j": {"files": {"w-page.sql.gz": {"size": 1, "sha1": "x"}}}}}')
-    assert main(["files", "--status", str(tmp_path / "s.json"), "--phase", "1"]) == 0
-    assert main(["files", "--status", str(tmp_path / "s.json"), "--folder", str(dumps)]) == 1
+    assert main(["files", "--status", str(tmp_path / "s.json"), "--phase", "1"]) == 2  # most of the phase is not in the manifest
+    assert main(["files", "--status", str(tmp_path / "s.json"), "--files", "w-page.sql.gz"]) == 0
+    assert main(["files", "--status", str(tmp_path / "s.json"), "--files", "w-page.sql.gz", "--folder", str(dumps)]) == 1
+    both = ["--base", str(tmp_path / "u"), "--folder", str(dumps)]
+    assert main(["run", "through_phase2", *both]) == 2 and main(["run", "phase3", *both[:2], "--folder", str(tmp_path)]) == 2
+    assert main(["run", "all", *both, "--out", str(tmp_path / "g")]) == 0
+    assert main(["run", "freeze2", *both, "--out", str(tmp_path / "g")]) == 1  # frozen already
     assert "kf12_protected_pages" in capsys.readouterr().out
 
 

@@ -11,6 +11,7 @@ from loomspark.functions import columns as C
 from loomspark.functions import mysql, params, talk
 from loomspark.functions.mysql import DumpError, Literal, value_tuples
 
+#: Blobs as the two log formats write them, and what they stand for.
 PARAMS = [
     ('[["edit=sysop"],{"7d": 0, "1y": 0}]', [["edit=sysop"], {"7d": 0, "1y": 0}]),
     ('{"5::duration": "indefinite", "6::flags": "nocreate"}', {"5::duration": "indefinite", "6::flags": "nocreate"}),

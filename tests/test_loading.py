@@ -76,14 +76,14 @@ def test_revisions(loaded):
     assert rows[2].rev_minor and rows[2].rev_parent_id == 1 and rows[1].rev_parent_id is None and not rows[1].rev_minor
     assert rows[3].rev_actor is None and rows[3].rev_comment is None and rows[6].rev_comment == "hi"
     names = {(r.actor_user, bytes(r.actor_name)) for r in loaded["t"]["actor"].collect()}
-    assert names == {(42, b"Alice"), (None, b"Bob"), (100, b"Alice"), (None, b"127.0.0.1")}
+    assert names == {(87, b"Imke"), (None, b"Tjark"), (310, b"Imke"), (None, b"127.0.0.1")}
 
 
 def test_texts(spark, loaded, tmp_path):
     assert loaded["texts"] == {"seen": 3, "suppressed": 1, "yielded": 2, "unmatched": 0, "written": 2}
-    assert {(r.rev_id, bytes(r.rev_text), r.rev_text_bytes) for r in loaded["t"]["revision_text"].collect()} == {(1, b"hello world", 11), (3, b"goodbye world", 13)}
+    assert {(r.rev_id, bytes(r.rev_text), r.rev_text_bytes) for r in loaded["t"]["revision_text"].collect()} == {(1, b"moss grows slowly", 17), (3, b"rain fell early", 15)}
     odd = tmp_path / "h.xml"
-    odd.write_text(X.history_xml(9990, 9999, 9992).replace("hello world", "").replace("goodbye world", " grüß "))
+    odd.write_text(X.history_xml(9990, 9999, 9992).replace("moss grows slowly", "").replace("rain fell early", " grüß "))
     rows = {r.rev_id: r.text for r in read_history(spark, str(odd)).collect()}
     assert rows == {9990: None, 9999: None, 9992: " grüß "}
     assert [tuple(r)[1:] for r in loading.dry_run(spark, "history", str(odd)).collect()] == [(3, 2, 1)]
@@ -100,7 +100,7 @@ def test_key_figures(spark, loaded):
     assert rows["kf08_revisions_by_year"] == [(2020, 4)]
     assert rows["kf09_actors"] == [(2, 2, 4)]
     assert rows["kf10_groups"] == [("sysop", 2), ("bot", 1)]
-    assert rows["kf11_top_admins"] == [("Alice", 1)]
+    assert rows["kf11_top_admins"] == [("Imke", 1)]
     assert [r[-1] for r in rows["kf12_protected_pages"]] == [None, None]
     assert key_figures.kf12_protected_pages(t, normalized=True).first().last_protect_event is not None
     assert key_figures.connection(spark).count() == 1
@@ -134,7 +134,7 @@ def test_constraints(spark, loaded, tmp_path):
 
 
 def test_actors(spark):
-    keys = spark.createDataFrame([(123, b"Alice"), (123, b"Alice"), (None, b"127.0.0.1"), (None, b"127.0.0.1"), (None, b"Alice"), (5, None)], "actor_user bigint, actor_name binary")
+    keys = spark.createDataFrame([(123, b"Imke"), (123, b"Imke"), (None, b"127.0.0.1"), (None, b"127.0.0.1"), (None, b"Imke"), (5, None)], "actor_user bigint, actor_name binary")
     first = actors.assign_ids(actors.distinct_keys(keys), actors.empty_dimension(spark, keys))
     ids = {(r.actor_user, bytes(r.actor_name)): r.actor_id for r in first.collect()}
     assert len(ids) == 3 and sorted(ids.values()) == [1, 2, 3]
@@ -178,9 +178,11 @@ def test_manifest(spark, tmp_path):
     (tmp_path / "s.json").write_text(status)
     files = manifest.read_manifest(spark, str(tmp_path / "s.json"))
     assert {r.file: (r.job, r.size) for r in files.collect()} == {"w-page.sql.gz": ("j1", 3), "x": ("j2", 9), "w-sha1sums.txt": ("j2", 1)}
-    assert sorted(r.file for r in manifest.select_files(files, 1).collect()) == ["w-page.sql.gz", "w-sha1sums.txt"]
+    assert [r.file for r in manifest.select_files(files, 1, ["x"]).collect()] == ["x"]
     with pytest.raises(ValueError, match="zzz"):
-        manifest.select_files(files, 1, ["zzz"])
+        manifest.select_files(files, 1, ["zzz", "x"])
+    with pytest.raises(ValueError, match="user_groups.sql.gz.*pages-logging"):
+        manifest.select_files(files, 1)
     paths = spark.createDataFrame([(str(tmp_path / "good"),), (str(tmp_path / "gone"),)], "path string")
     seen = manifest.hashed_files(spark, paths).withColumn("file", F.when(F.col("path").endswith("good"), "w-page.sql.gz").otherwise("x"))
     assert {r.file: r.state for r in manifest.verified(files, seen).collect()} == {"w-page.sql.gz": "ok", "x": "missing", "w-sha1sums.txt": "missing"}
@@ -189,6 +191,29 @@ def test_manifest(spark, tmp_path):
     assert [r[0] for r in states.collect()] == ["mismatch", "failed", "partial"]
 
 
+def test_phases(spark):
+    """Each phase adds to the one before."""
+    first = [f"w-{t}.sql.gz" for t in manifest.PHASE_TABLES] + ["w-pages-logging.xml.gz", "w-md5sums.txt"]
+    second, third = ["w-stub-meta-history1.xml.gz"], ["w-pages-meta-history1.xml-p1p9.7z"]
+    rows = [("a", f) for f in first + second + ["w-langlinks.sql.gz", "w-stub-meta-current1.xml.gz"]] + [(manifest.WIKITEXT_JOB, third[0]), ("other", "w-pages-meta-history2.xml-p1p9.7z")]
+    files = spark.createDataFrame([(j, f, 1, "s") for j, f in rows], "job string, file string, size bigint, sha1 string")
+    chosen = [sorted(r.file for r in manifest.select_files(files, k).collect()) for k in (1, 2, 3)]
+    assert chosen == [sorted(first), sorted(first + second), sorted(first + second + third)]
+    with pytest.raises(ValueError, match="phase 4"):
+        manifest.select_files(files, 4)
+
+
+def test_workspace_of_a_cluster():
+    """Without a shared folder a cluster's session is refused, a local one is not."""
+    from types import SimpleNamespace
+
+    from loomspark.session import workspace
+
+    conf = SimpleNamespace(get=lambda key, default: default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077")))
+
+
 def test_legacy(spark):
     from datetime import datetime as dt
 
