@@ -361,3 +361,28 @@ def byte_dedup(docs: DataFrame, window: int = WINDOW_BYTES, **limits) -> DataFra
 
 def op5_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_dedup(read_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+#: The same rows in DuckDB, window by window over the bytes; removed runs are islands of window starts.
+OP5_SQL = """
+WITH d AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS h, octet_length(encode(coalesce(text, ''))) AS size FROM documents
+), w AS (
+  SELECT doc_id, pos, md5(array_slice(h, pos + 1, pos + 400)) AS k FROM (SELECT *, unnest(range(0, size - 399)) AS pos FROM d)
+), hit AS (
+  SELECT doc_id, pos FROM w SEMI JOIN (SELECT k FROM w GROUP BY k HAVING count(*) > 1) USING (k)
+), run AS (
+  SELECT *, sum(CASE WHEN pos <= before + 400 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS island
+  FROM (SELECT *, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM hit)
+), span AS (
+  SELECT doc_id, min(pos) AS a, max(pos) + 400 AS b FROM run GROUP BY doc_id, island
+), piece AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM span
+), cut AS (
+  SELECT doc_id, count(*) AS n, sum(b - a) AS gone, max(b) AS last, string_agg(hex(array_slice(h, z + 1, a)), '' ORDER BY a) AS head
+  FROM piece JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(size AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || hex(array_slice(h, coalesce(last, 0) + 1, size)))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from .bpe import op1_bpe
 from .iblt import op7_fingerprints
-from .induced_sorting import op5_byte_dedup
+from .induced_sorting import OP5_SQL, op5_byte_dedup
 from .langid import op3_langid
 from .mtree import OP9_SQL, op9_topk
 from .packing import op4_packing
 from .secrets import op2_secrets
 from .simhash import op6_simhash
-from .suffix_trees import op8_substring_dedup
+from .suffix_trees import OP8_SQL, op8_substring_dedup
 from .toxicity import op10_toxicity
 
 QUERIES = {
@@ -18,4 +18,4 @@ QUERIES = {
     for f in (op1_bpe, op2_secrets, op3_langid, op4_packing, op5_byte_dedup, op6_simhash, op7_fingerprints, op8_substring_dedup, op9_topk, op10_toxicity)
 }
 
-ORACLES = {"op9_topk": OP9_SQL}
+ORACLES = {"op5_byte_dedup": OP5_SQL, "op8_substring_dedup": OP8_SQL, "op9_topk": OP9_SQL}

@@ -204,3 +204,23 @@ def _cut(data: bytes, gone: np.ndarray) -> bytes:
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+#: The same rows in DuckDB, window by window.
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents
+), w AS (
+  SELECT doc_id, pos, array_to_string(words[pos:pos + 12], ' ') AS k FROM (SELECT *, unnest(range(1, len(words) - 11)) AS pos FROM d)
+), f AS (
+  SELECT k, min(doc_id) AS least FROM w GROUP BY k
+), g AS (
+  SELECT DISTINCT doc_id, pos + j AS pos FROM w JOIN f USING (k), range(0, 13) t(j) WHERE least < doc_id
+), p AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM d
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text FROM p ANTI JOIN g USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
