@@ -13,10 +13,10 @@ two exchanges:
    as well: the others are known to repeat and leave as spans;
 3. a group's distinct segments go to a resolver (suffix tree or induced sorting).
 
-A group heavier than ``group`` symbols does not fit that step.  Its windows go to the
-next level, where the piece that names them is twice as long (in the end the whole
-window), as often as needed.  Every group that is resolved fits in memory, whatever the
-size of the corpus, and at the last level a group is one window.
+A group heavier than ``group`` symbols does not fit that step.  Its segments go to the
+next level, where they are cut anew by a piece twice as long (in the end the whole
+window), as often as needed; only they move again.  Every group that is resolved fits in
+memory, whatever the size of the corpus, and at the last level a group is one window.
 """
 
 from __future__ import annotations
@@ -87,7 +87,7 @@ class Unit:
 class Words(Unit):
     """Words between the six ASCII white-space bytes."""
 
-    def __init__(self, window: int = 13, gram: int = 4, group: int = 400_000):
+    def __init__(self, window: int = 13, gram: int = 4, group: int = 1_000_000):
         super().__init__(window, gram, group)
         self.memo = HashMemo()
 
@@ -120,24 +120,12 @@ class Octets(Unit):
         return parts[start:end]
 
 
-def window_names(unit: Unit, parts, level: int = 0) -> list[np.ndarray]:
-    """The name of each window at every level up to ``level``; none if the document is shorter than one.
-
-    A name stands for the minimisers of all levels so far, so names of one level part those of the level before.
-    """
+def minimisers(unit: Unit, parts, level: int = 0) -> np.ndarray:
+    """The minimiser of each window, by pieces of a level's length; none if the document is shorter than one."""
     if len(parts) < unit.window:
-        return [np.zeros(0, np.uint64)] * (level + 1)
-    symbols, out = unit.symbols(parts), []
-    with np.errstate(over="ignore"):
-        for gram in unit.grams[: level + 1]:
-            least = sliding(gram_hashes(symbols, gram), unit.window - gram + 1, np.minimum)
-            out.append(_mixed(out[-1] * _MULT + least) if out else least)
-    return out
-
-
-def minimisers(unit: Unit, parts) -> np.ndarray:
-    """The minimiser of each window; none if the document is shorter than one."""
-    return window_names(unit, parts)[0]
+        return np.zeros(0, np.uint64)
+    gram = unit.grams[level]
+    return sliding(gram_hashes(unit.symbols(parts), gram), unit.window - gram + 1, np.minimum)
 
 
 def _pieces(unit: Unit, parts) -> np.ndarray:
@@ -148,15 +136,6 @@ def _pieces(unit: Unit, parts) -> np.ndarray:
     return np.unique(grams[sliding(least, width, np.maximum) == grams], return_counts=True)[1]
 
 
-def _open_runs(names: list[np.ndarray], asked) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of windows of equal name, of those only whose name a level before is asked for."""
-    start, end = runs(names[-1])
-    if len(names) > 1 and len(start):
-        inside = np.isin(signed(names[-2][start]), np.array(asked, np.int64))
-        start, end = start[inside], end[inside]
-    return start, end
-
-
 @dataclass
 class Segment:
     """A distinct segment of a group."""
@@ -196,6 +175,9 @@ def _rows(cols, smaller_only: bool) -> Iterator[tuple]:
             yield r, d or 0, k, t, hs
 
 
+_SEGMENTS = "h bigint, deal bigint, text binary, windows int, places bigint, least bigint, at binary"
+
+
 def flagged_windows(docs: DataFrame, unit: Unit, resolve: Callable, smaller_only: bool, group: int | None = None, chunk: int = CHUNK_BYTES) -> DataFrame:
     """``(rid, spans array<binary>)`` of window starts whose content repeats.
 
@@ -206,63 +188,59 @@ def flagged_windows(docs: DataFrame, unit: Unit, resolve: Callable, smaller_only
     weight in symbols up to which a group is resolved at once.
     """
     spark = docs.sparkSession
-    group = unit.group if group is None else group
-    texts, found = dealt_texts(docs), []
-    source = docs.select("rid", "doc_id", "mark", "text")
-    for level in range(len(unit.grams)):
-        last = level == len(unit.grams) - 1
-        schema = "h bigint, deal bigint, at binary, weight bigint"
-        held = map_arrow(source, _gram_rows(unit, level, smaller_only), schema).repartition(_parts(docs), F.coalesce("deal", "h")).sortWithinPartitions("h")
-        schema = "rid bigint, h bigint, heavy boolean"
-        shared = written(held.mapInArrow(_sharing(None if last else group, arrow_schema(spark, schema)), schema), "shared")
-        heavy = shared.where("heavy").select("h").distinct()
-        going = not last and not heavy.isEmpty()
-        wanted = shared.join(heavy, "h", "left_anti") if going else shared
-        given = texts.join(_asked(wanted), "rid")
-        schema = "h bigint, deal bigint, text binary, windows int, places bigint, least bigint, at binary"
-        kept = map_arrow(given, _segment_rows(unit, level, smaller_only), schema)
-        keyed = kept.repartition(_parts(docs), F.coalesce("deal", "h")).sortWithinPartitions("h", "text")
+    group, last = unit.group if group is None else group, len(unit.grams) - 1
+    schema = "h bigint, deal bigint, at binary, weight bigint"
+    held = map_arrow(docs.select("rid", "doc_id", "mark", "text"), _gram_rows(unit, smaller_only), schema)
+    held = held.repartition(_parts(docs), F.coalesce("deal", "h")).sortWithinPartitions("h")
+    schema = "rid bigint, h bigint, heavy boolean"
+    shared = written(held.mapInArrow(_sharing(group if last else None, arrow_schema(spark, schema)), schema), "shared")
+    given = dealt_texts(docs).join(shared.groupBy("rid").agg(F.collect_set("h").alias("hs")), "rid")
+    rows = map_arrow(given, _segment_rows(unit, not last, smaller_only), _SEGMENTS)
+    heavy, level, spans = shared.where("heavy").select("h").distinct(), 0, None
+
+    def resolved(some: DataFrame) -> DataFrame:
+        keyed = some.repartition(_parts(docs), F.coalesce("deal", "h")).sortWithinPartitions("h", "text")
         schema = "rid bigint, at binary"
-        found.append(keyed.mapInArrow(_solver(unit, None if last else resolve, smaller_only, chunk, arrow_schema(spark, schema)), schema))
-        if not going:
-            break
-        source = texts.join(_asked(shared.join(heavy, "h", "left_semi")), "rid").select("rid", "doc_id", "mark", "text", "hs")
-    spans = found[0]
-    for more in found[1:]:
-        spans = spans.unionByName(more)
-    return spans.groupBy("rid").agg(F.collect_set("at").alias("spans"))
-
+        found = keyed.mapInArrow(_solver(unit, resolve if level < last else None, smaller_only, chunk, arrow_schema(spark, schema)), schema)
+        return found if spans is None else spans.unionByName(found)
 
-def _asked(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("rid").agg(F.collect_set("h").alias("hs"))
+    while level < last and not heavy.isEmpty():
+        rows = rows if level else written(rows, "segments")
+        spans = resolved(rows.join(heavy, "h", "left_anti").select(rows.columns))
+        level += 1
+        heavy_rows = rows.join(heavy, "h", "left_semi").select(rows.columns)
+        rows = written(map_arrow(heavy_rows, _split_rows(unit, level), _SEGMENTS), "segments")
+        heavy = rows.groupBy("h").agg(F.sum(F.col("windows") + F.lit(unit.window - 1)).alias("n")).where(F.col("n") > group).select("h")
+    return resolved(rows).groupBy("rid").agg(F.collect_set("at").alias("spans"))
 
 
-def _gram_rows(unit: Unit, level: int, smaller_only: bool):
-    """Rows (h, deal, at, weight): a name of the batch, packed row ids, symbols.
+def _gram_rows(unit: Unit, smaller_only: bool):
+    """Rows (h, deal, at, weight): a minimiser of the batch, packed row ids, symbols of its distinct segments.
 
-    One row for each name goes to its group (deal null) with the first row's id, twice if
-    the name stands twice in the batch; then a second row has the ids of all others.
+    One row for each minimiser goes to its group (deal null) with the first row's id, twice if
+    it stands twice in the batch; then a second row has the ids of all others.
     """
 
     def run(cols):
-        hs, ids, times, weights = [], [], [], []
-        for rid, _, _, t, asked in _rows(cols, smaller_only):
+        hs, ids, times = [], [], []
+        run_h, run_text, run_size = [], [], []
+        for rid, _, _, t, _ in _rows(cols, smaller_only):
             parts = unit.split(t)
-            names = window_names(unit, parts, level)
-            start, end = _open_runs(names, asked)
+            least = minimisers(unit, parts)
+            start, end = runs(least)
             if not len(start):
                 continue
-            own, at = np.unique(names[-1][start], return_inverse=True)
-            hs.append(own)
-            ids.append(np.full(len(own), rid, np.int64))
-            weights.append(np.bincount(at, end - start).astype(np.int64) + unit.window - 1)
-            if smaller_only:
-                times.append(np.ones(len(own), np.int64))
-            else:  # a window can repeat inside one document
-                times.append(_pieces(unit, parts) if level == 0 else np.full(len(own), 2))
+            run_h.append(least[start])
+            with np.errstate(over="ignore"):
+                run_text.append(np.add.reduceat(gram_hashes(unit.symbols(parts), unit.window), start))
+            run_size.append(end - start + unit.window - 1)
+            hs.append(np.unique(run_h[-1]))
+            ids.append(np.full(len(hs[-1]), rid, np.int64))
+            # a window can repeat inside one document
+            times.append(np.ones(len(hs[-1]), np.int64) if smaller_only else _pieces(unit, parts))
         if not hs:
             return None
-        h, rid, times, weight = map(np.concatenate, (hs, ids, times, weights))
+        h, rid, times = map(np.concatenate, (hs, ids, times))
         order = np.argsort(h, kind="stable")
         h, rid = h[order], rid[order]
         start, end = runs(h)
@@ -280,9 +258,17 @@ def _gram_rows(unit: Unit, level: int, smaller_only: bool):
             "h": pa.array(signed(np.concatenate([h[start], h[start[several]]]))),
             "deal": pa.array(deal, mask=np.arange(len(deal)) < none),
             "at": pa.Array.from_buffers(pa.binary(), len(sizes), [None, offsets.buffers()[1], data]),
-            "weight": pa.array(np.concatenate([np.add.reduceat(weight[order], start), np.zeros(len(several), np.int64)])),
+            "weight": pa.array(np.concatenate([weights(*map(np.concatenate, (run_h, run_text, run_size))), np.zeros(len(several), np.int64)])),
         }
 
+    def weights(h, text, size):
+        """Symbols of the distinct segments of each minimiser, ascending."""
+        order = np.lexsort((text, h))
+        h, text, size = h[order], text[order], size[order]
+        start, _ = runs(h)
+        once = np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))
+        return np.add.reduceat(np.where(once, size, 0), start)
+
     return run
 
 
@@ -333,20 +319,19 @@ def _sharing(group: int | None, schema: pa.Schema):
     return run
 
 
-def _segment_rows(unit: Unit, level: int, smaller_only: bool):
+def _segment_rows(unit: Unit, last: bool, smaller_only: bool):
     """Rows (h, deal, text, windows, places, least, at): the distinct segments of the batch under asked names.
 
     ``at`` packs the places that still need the group's answer.  The others are known to
     repeat: they leave as packed spans of their row, in one row with the row's id as ``deal``.
     At the last level a run of windows of one name is one window, ``n`` times.
     """
-    last = level == len(unit.grams) - 1
 
     def run(cols):
         found: dict[tuple[int, bytes], list] = {}
         for rid, d, k, t, asked in _rows(cols, smaller_only):
             parts = unit.split(t)
-            names = signed(window_names(unit, parts, level)[-1])
+            names = signed(minimisers(unit, parts))
             start, end = runs(names)
             if not len(start):
                 continue
@@ -388,6 +373,29 @@ def _segment_rows(unit: Unit, level: int, smaller_only: bool):
     return run
 
 
+def _split_rows(unit: Unit, level: int):
+    """The segments of heavy groups cut by the minimisers of a level; groups of the new ones part the old."""
+    last = level == len(unit.grams) - 1
+
+    def run(cols):
+        out: dict[str, list] = {c: [] for c in ("h", "text", "windows", "places", "least", "at")}
+        for h, text, places, least, at in zip(*(cols[c].to_pylist() for c in ("h", "text", "places", "least", "at")), strict=True):
+            parts = unit.split(text)
+            own = list(struct.iter_unpack(_PLACE, at))
+            with np.errstate(over="ignore"):
+                names = signed(_mixed(np.array(h, np.int64).view(np.uint64) * _MULT + minimisers(unit, parts, level)))
+            for s, e in zip(*(x.tolist() for x in runs(names)), strict=True):
+                out["h"].append(int(names[s]))
+                out["text"].append(unit.segment(parts, s, s + unit.window if last else e + unit.window - 1))
+                out["windows"].append(1 if last else e - s)
+                out["places"].append(places * (e - s) if last else places)
+                out["least"].append(least)
+                out["at"].append(b"".join(struct.pack(_PLACE, rid, mark, start + s, e - s) for rid, mark, start, _ in own))
+        return out | {"deal": [None] * len(out["h"])}
+
+    return run
+
+
 class _Spans:
     """Spans gathered by row id."""
 
@@ -436,8 +444,13 @@ def _solver(unit: Unit, resolve: Callable | None, smaller_only: bool, chunk: int
                     if weight >= chunk and (now is None or now.group != h):
                         yield from settle()
                         weight = 0
-                    held.append(Segment(h, text, windows, places, least, own))
+                    held.append(Segment(h, text, windows, places, least, []))
                     weight += len(text)
+                    if smaller_only or places == 1:
+                        held[-1].places = own
+                    else:
+                        for p in own:
+                            spans.add(*p)
                 else:
                     _add(now, places, least, own, smaller_only, spans)
         yield from settle()
