@@ -15,16 +15,16 @@ from pyspark.sql.window import Window
 from .common import read_table, written
 
 #: Cells of a subtable: the fingerprint's own, then those of the retries.
-SIZES = (8, 32, 128, 512)
+SIZES = (8, 32, 64, 128, 512)
 ROUNDS = 24
-#: A paragraph ends at a line end or a sentence end: a break that content alone decides,
-#: so that long lines have several paragraphs.
-PARAGRAPH_BREAK = r"\\n+|(?<=[.!?])\\s+"
+#: A paragraph ends at a line end, or at the first sentence end from its 24th character on: breaks
+#: that content alone decides, so that long lines have several, and a short sentence goes with the next.
+PARAGRAPH = r"[^\\s][^\\n]{22,}?[.!?](?=\\s)|[^\\s][^\\n]*"
 
 
 def digests(text: str) -> Column:
-    """The distinct digests of the non-empty paragraphs of a text column."""
-    return F.expr(f"array_distinct(transform(filter(split({text}, '{PARAGRAPH_BREAK}'), x -> x <> ''), x -> xxhash64(x)))")
+    """The distinct digests of the paragraphs of a text column; white space before one is no part of it."""
+    return F.expr(f"array_distinct(transform(regexp_extract_all({text}, '{PARAGRAPH}', 0), x -> xxhash64(x)))")
 
 
 def _slot(key: str, table: str, size: int) -> str:
@@ -60,6 +60,11 @@ def cells(keys: str, size: int) -> str:
     return _cells(f"transform({keys}, d -> named_struct('n', 1, 'k', d))", size)
 
 
+def _holds(size: int) -> int:
+    """Digests that three subtables of a size peel in nearly all cases."""
+    return size * 9 // 4
+
+
 _MINUS = "(x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'c', x.c ^ y.c)"
 
 
@@ -81,16 +86,16 @@ def likeness(left: str, right: str, left_cells: str, right_cells: str) -> Column
 
     The base sketches are subtracted first, then larger ones are made until one peels;
     sets that differ in more than the largest holds are compared directly.  A sketch is
-    not tried if the sizes rule it out, as the difference is at least theirs, or if a
-    stratum of the digests, a quarter of them by hash, alone differs by half its cells.
-    Two empty sets are alike.
+    not tried if the sizes rule it out, as the difference is at least theirs, or if by a
+    stratum of the digests, a quarter of them by hash, it would not peel: an estimate that is
+    too high costs a larger sketch, one that is too low another try.  Two empty sets are alike.
     """
     stratum = "filter({}, d -> (d & 3L) = 0L)"
     a, b = stratum.format(left), stratum.format(right)
     apart = f"(size({a}) + size({b}) - 2 * size(array_intersect({a}, {b})))"
-    least = f"greatest(abs(size({left}) - size({right})), 2 * {apart})"
-    tries = [f"IF(w > {3 * SIZES[0]}, NULL, {_difference(left_cells, right_cells, SIZES[0])})"]
-    tries += [f"IF(w > {3 * size}, NULL, {_difference(cells(left, size), cells(right, size), size)})" for size in SIZES[1:]]
+    least = f"greatest(abs(size({left}) - size({right})), 4 * {apart})"
+    tries = [f"IF(w > {_holds(SIZES[0])}, NULL, {_difference(left_cells, right_cells, SIZES[0])})"]
+    tries += [f"IF(w > {_holds(size)}, NULL, {_difference(cells(left, size), cells(right, size), size)})" for size in SIZES[1:]]
     direct = f"size(array_except({left}, {right})) + size(array_except({right}, {left}))"
     d = f"transform(array({least}), w -> coalesce({', '.join(tries)}, {direct}))[0]"
     both = f"(size({left}) + size({right}))"

@@ -267,7 +267,7 @@ def test_fingerprints(spark, docs):
     rows = {}
     for r in iblt.edited_fingerprints(docs).collect():
         rows.setdefault(r.doc_id, []).append(r)
-    split = lambda t: {x for x in re.split(r"\n+|(?<=[.!?])\s+(?=[A-D])", t) if x}
+    split = lambda t: set(re.findall(r"\S[^\n]{22,}?[.!?](?=\s)|\S[^\n]*", t, re.ASCII))
     like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
     texts = defaultdict(list)
     for d, t in ROWS:
