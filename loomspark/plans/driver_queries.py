@@ -17,7 +17,7 @@ from loomspark.functions.keywords import keyword_hits
 from loomspark.operators import actors, latest, quality, referential
 from loomspark.operators.counts import count_by, row_counts, top_k, yearly
 
-from . import research
+from . import format_queries, research  # noqa: F401 (the first registers its own queries)
 from .registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
