@@ -11,7 +11,7 @@ from loomspark.operators import quality, writing
 from loomspark.plans import freeze, key_figures, loading
 from loomspark.schemas import TABLES
 from loomspark.session import build_session
-from loomspark.sources import manifest
+from loomspark.sources import download, manifest
 from loomspark.sources.files import discover
 
 DUMP_TABLES = [n for n, t in TABLES.items() if t.loader == "mysqldump"]
@@ -33,6 +33,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--folder")
     p.add_argument("--phase", type=int, choices=(1, 2, 3), default=3)
     p.add_argument("--files", nargs="*")
+    p.add_argument("--status-url", help="fetch the status file from here if the one there is older than a day")
+    p.add_argument("--refresh", action="store_true", help="fetch it in any case")
+    p.add_argument("--download", metavar="URL", help="fetch the files from below this address into the folder")
     p = step("dump", "load SQL dumps")
     p.add_argument("--folder", required=True)
     p.add_argument("--tables", nargs="*", default=DUMP_TABLES)
@@ -105,12 +108,21 @@ def _run(a) -> int:
 
 
 def _files(spark, a) -> int:
+    if a.download and not a.folder:
+        raise ValueError("--download needs --folder")
+    if a.status_url:
+        download.fetch_manifest(a.status_url, a.status, a.refresh)
     chosen = manifest.select_files(manifest.read_manifest(spark, a.status), a.phase, a.files)
     print(manifest.to_markdown(chosen))
     total = chosen.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
     print(f"{total.n} files, {total.bytes} bytes")
     if not a.folder:
         return 0
+    if a.download:
+        fetched = download.download(chosen, a.download, a.folder).collect()  # some hundred files
+        for r in sorted(fetched):
+            print(r.file, r.state, r.message)
+        return int(any(r.state in ("mismatch", "failed") for r in fetched))
     paths = chosen.select(F.concat(F.lit(f"{a.folder}/"), "file").alias("path"))
     seen = manifest.hashed_files(spark, paths).withColumn("file", F.substring_index("path", "/", -1))
     states = {r.state: r.n for r in manifest.verified(chosen, seen).groupBy("state").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -97,6 +97,17 @@ def to_markdown(rows: DataFrame) -> str:
     return "\n".join(["| " + " | ".join(names) + " |", "|" + " --- |" * len(names), *body]) + "\n"
 
 
+def read_markdown(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of such a report as strings, empty cells as nulls; cells hold no bar."""
+    head = spark.read.text(path).first()
+    if head is None:
+        raise ValueError(f"no table in {path}")
+    line = F.col("value")
+    cells = F.split(F.regexp_replace(line, r"^\| | \|$", ""), r" \| ")
+    rows = spark.read.text(path).where(line.startswith("| ") & (line != F.lit(head.value)) & ~line.rlike(r"^\|( --- \|)+$")).select(cells.alias("c"))
+    return rows.select(*(F.nullif(F.col("c")[k], F.lit("")).alias(n) for k, n in enumerate(head.value[2:-2].split(" | "))))
+
+
 def stored_tables(spark: SparkSession, url: str, tables: list[str], properties: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Tables of an older load in a database, by JDBC."""
     return {t: spark.read.jdbc(url, t, properties=properties or {}) for t in tables}

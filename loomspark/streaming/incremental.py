@@ -25,14 +25,16 @@ def load_stream(items: DataFrame, base: str, spaces: Column, checkpoint: str) ->
     """Append each batch's new items to the tables.
 
     A batch that is run again finds its ids loaded and adds nothing, so a failure between
-    the two table writes costs no duplicate.
+    the two table writes costs no duplicate.  Of actors only the new ones are written.
     """
 
     def step(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         parsed = not_loaded(transforms.parsed_logitems(batch, spaces), writing.read_or_empty(spark, base, "logging"), "log_id").dropDuplicates(["log_id"])
-        _, actors = transforms.logging_rows(parsed, writing.read_or_empty(spark, base, "actor"))
-        rows, _ = transforms.logging_rows(parsed, writing.write(actors, base, "actor"))
+        known = writing.read_or_empty(spark, base, "actor")
+        _, actors = transforms.logging_rows(parsed, known)
+        new = actors.join(known.select("actor_id"), "actor_id", "left_anti")
+        rows, _ = transforms.logging_rows(parsed, writing.write(new, base, "actor", "append"))
         writing.write(rows, base, "logging", "append")
 
     return items.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
