@@ -9,28 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from loomspark.functions.wikitext import plain_text
 from loomspark.session import ensure_importable
 
+__all__ = ["messages", "plain_text", "register_talk", "talk_messages"]
+
 #: What marks a heading and a signature (fixed patterns).
 SECTION, AUTHOR, STAMP = re.compile(r"^==\s*(.+?)\s*=="), re.compile(r"\[\[User:(.+?)\|"), re.compile(r"(\d{2}:\d{2}, \d{1,2} \w+ \d{4}) \(UTC\)")
 
 MESSAGE = "id int, section string, author string, stamp string, content string, reply_to int, indentation int"
 
 
-def plain_text(wikitext: str) -> str:
-    """Markup stripped by a documented subset of rules: comments, references, templates,
-    links (their labels), tags, bold and italic quotes, heading and list marks."""
-    text = re.sub(r"<!--.*?-->|<ref[^>/]*/>|<ref[^>]*>.*?</ref>", "", wikitext, flags=re.DOTALL)
-    while (less := re.sub(r"\{\{[^{}]*\}\}", "", text)) != text:
-        text = less
-    text = re.sub(r"\[\[(?:[^\[\]|]*\|)?([^\[\]]*)\]\]", r"\1", text)
-    text = re.sub(r"\[https?://\S+\s+([^\]]*)\]", r"\1", text)
-    text = re.sub(r"</?[A-Za-z][^>]*>", "", text)
-    text = re.sub(r"'{2,}", "", text)
-    text = re.sub(r"(?m)^=+\s*(.*?)\s*=+\s*$", r"\1", text)
-    return re.sub(r"(?m)^[:*#;]+\s*", "", text).strip()
-
-
 def messages(text: str | None) -> Iterator[tuple]:
     """Rows of ``MESSAGE`` in page order; an unsigned tail gives none.
 
