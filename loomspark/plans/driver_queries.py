@@ -17,7 +17,7 @@ from loomspark.functions.keywords import keyword_hits
 from loomspark.operators import actors, latest, quality, referential
 from loomspark.operators.counts import count_by, row_counts, top_k, yearly
 
-from . import format_queries, research  # noqa: F401 (the first registers its own queries)
+from . import format_queries, research, study_queries  # noqa: F401 (the first and last register their own queries)
 from .registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -410,9 +410,15 @@ def q_top_types_parsed(spark, d):
     return top_k(count_by(table(spark, d, "events"), "event_type"), 10, F.desc("n"), F.col("event_type"))
 
 
-@query("watermark", "SELECT coalesce(max(event_id), 0) AS watermark FROM events WHERE event_type = 'none such'")
+@query(
+    "watermark",
+    """SELECT loader, coalesce(max(event_id), 0) AS watermark FROM (SELECT unnest(['click', 'none such', 'view']) AS loader)
+       LEFT JOIN events ON event_type = loader GROUP BY 1""",
+)
 def q_watermark(spark, d):
-    return table(spark, d, "events").where("event_type = 'none such'").agg(F.coalesce(F.max("event_id"), F.lit(0).cast("bigint")).alias("watermark"))
+    loaders = spark.createDataFrame([("click",), ("none such",), ("view",)], "loader string")
+    last = table(spark, d, "events").groupBy(F.col("event_type").alias("loader")).agg(F.max("event_id").alias("last"))
+    return loaders.join(last, "loader", "left").select("loader", F.coalesce("last", F.lit(0).cast("bigint")).alias("watermark"))
 
 
 @query("natural_part_order", "SELECT DISTINCT 'stub' || CAST(o_orderkey % 12 AS VARCHAR) || '.xml.gz' AS file, o_orderkey % 12 AS part FROM orders")
@@ -421,20 +427,23 @@ def q_natural_part_order(spark, d):
     return table(spark, d, "orders").select(file.alias("file")).distinct().withColumn("part", C.part_number("file")).orderBy("part", "file")
 
 
-@query("content_fidelity", "SELECT count(*) AS compared, count(*) FILTER (WHERE sha1(a.text) = sha1(b.text)) AS equal FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1")
+@query(
+    "content_fidelity",
+    """SELECT count(*) AS compared, count(*) FILTER (WHERE sha1(a.text) = sha1(b.text)) AS equal FROM documents a
+       JOIN documents b ON b.doc_id = (SELECT min(c.doc_id) FROM documents c WHERE c.n_chars = a.n_chars AND c.lang = a.lang) AND a.doc_id <> b.doc_id""",
+)
 def q_content_fidelity(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", F.sha1(F.encode("text", "UTF-8")).alias("sha1"))
-    other = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("sha1").alias("other"))
-    return docs.join(other, "doc_id").agg(F.count(F.lit(1)).alias("compared"), F.count_if(F.col("sha1") == F.col("other")).alias("equal"))
+    """Each document against the first of the same size and language: a size alone does not make a text equal."""
+    docs = table(spark, d, "documents").select("doc_id", "n_chars", "lang", F.sha1(F.encode("text", "UTF-8")).alias("sha1"))
+    first = docs.groupBy("n_chars", "lang").agg(F.min(F.struct("doc_id", "sha1")).alias("first"))
+    both = docs.join(first, ["n_chars", "lang"]).where("doc_id <> first.doc_id")
+    return both.agg(F.count(F.lit(1)).alias("compared"), F.count_if(F.col("sha1") == F.col("first.sha1")).alias("equal"))
 
 
-@query(
-    "relative_difference",
-    """SELECT event_type, count(*) AS n, abs(count(*) - 2000) * 100 <= 2000 AS within_one_percent FROM events GROUP BY 1""",
-)
+@query("relative_difference", "SELECT user_id, count(*) AS n, abs(count(*) - 66) * 100 <= 66 * 10 AS within_share FROM events GROUP BY 1")
 def q_relative_difference(spark, d):
-    counted = count_by(table(spark, d, "events"), "event_type")
-    return counted.withColumn("within_one_percent", quality.within_share(F.col("n"), F.lit(2000), 1))
+    counted = count_by(table(spark, d, "events"), "user_id")
+    return counted.withColumn("within_share", quality.within_share(F.col("n"), F.lit(66), 10))
 
 
 @query("set_difference", "SELECT DISTINCT o_custkey AS id FROM orders EXCEPT SELECT s_suppkey FROM supplier")
@@ -499,10 +508,10 @@ def q_x_text_bytes_stats(spark, d):
 
 @query(
     "x_null_edit_share",
-    """SELECT count(*) AS n, count(*) FILTER (WHERE a.o_totalprice = b.o_totalprice) AS same FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey - 1""",
+    """SELECT count(*) AS n, count(*) FILTER (WHERE a.o_orderpriority = b.o_orderpriority) AS same FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey - 1""",
 )
 def q_x_null_edit_share(spark, d):
-    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("rev_id"), (F.col("o_orderkey") - 1).alias("rev_parent_id"), F.col("o_totalprice").alias("rev_sha1"))
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("rev_id"), (F.col("o_orderkey") - 1).alias("rev_parent_id"), F.col("o_orderpriority").alias("rev_sha1"))
     return research.null_edits(orders)
 
 
