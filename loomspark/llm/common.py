@@ -81,7 +81,7 @@ def bounded_sample(rows: DataFrame, most: int, size: int) -> list:
     """
     hashed = rows.withColumn("at", F.xxhash64("doc_id", "text"))
     taken, bound = 0, None
-    for r in hashed.select("at", F.length("text").alias("n")).orderBy("at").limit(most).collect():
+    for r in hashed.select("at", F.length("text").alias("n")).distinct().orderBy("at").limit(most).collect():
         if taken >= size:
             break
         taken, bound = taken + (r.n or 0), r.at
