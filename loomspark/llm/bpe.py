@@ -26,7 +26,7 @@ from .common import map_arrow, read_table, spread
 
 #: Transitions a machine may hold before it forgets them and starts afresh.
 STATE_LIMIT = 400_000
-#: Bytes of a piece that wait at most before settled tokens leave.
+#: Bytes of a piece after which, each time, its settled tokens leave.
 WINDOW = 1024
 #: Verdicts on token pairs that a machine remembers.
 PAIR_LIMIT = 600_000
@@ -138,6 +138,7 @@ class Transducer:
         if len(self.steps) > STATE_LIMIT:
             self._reset()
         at, steps, lasts, out = 0, self.steps, [], []
+        wait = WINDOW
         for byte in data:
             key = (at << 8) | byte
             step = steps.get(key)
@@ -145,10 +146,11 @@ class Transducer:
                 step = steps[key] = self._step(at, byte)
             at, last = step
             lasts.append(last)
-            if len(lasts) == WINDOW:
+            if len(lasts) == wait:
                 sure = self._settled(lasts, at)
                 out += self._back(lasts, sure)
                 del lasts[:sure]
+                wait = len(lasts) + WINDOW  # where nothing is settled yet, the next window may settle it
         return out + self._back(lasts, len(lasts)) if out else self._back(lasts, len(lasts))
 
 
@@ -204,6 +206,26 @@ def _narrowed(pattern: str) -> str:
     return pattern
 
 
+class PieceMemo(dict):
+    """Pieces of text to their ids as little-endian unsigned 32-bit numbers, found when first asked for."""
+
+    def __init__(self, machine: Transducer):
+        super().__init__()
+        self.machine = machine
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = np.array(self.machine.feed(piece.encode()), "<u4").tobytes()
+        if len(piece) <= PIECE_BYTES:
+            if len(self) >= PIECE_LIMIT:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Codec:
     """Encoder and decoder over a tiktoken rank file; loaded once in each worker."""
 
@@ -220,8 +242,7 @@ class Codec:
         # \s of the rank files is Unicode's White_Space, which the regex module spells so
         self.pieces = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
         self.ascii_pieces = re.compile(_narrowed(pattern)).findall
-        self.memo: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.memo = PieceMemo(self.machine)
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Codec:
@@ -230,21 +251,12 @@ class Codec:
             cls._loaded[key] = cls(path, pattern)
         return cls._loaded[key]
 
+    def packed(self, text: str) -> bytes:
+        """Ids of ``text`` as little-endian unsigned 32-bit numbers."""
+        return b"".join(map(self.memo.__getitem__, (self.ascii_pieces if text.isascii() else self.pieces)(text)))
+
     def encode(self, text: str) -> list[int]:
-        memo, out = self.memo, []
-        for piece in (self.ascii_pieces if text.isascii() else self.pieces)(text):
-            ids = memo.get(piece)
-            if ids is None:
-                ids = self.older.get(piece)
-                if ids is None:
-                    ids = self.machine.feed(piece.encode())
-                if len(piece) <= PIECE_BYTES:
-                    if len(memo) >= PIECE_LIMIT:
-                        self.older, self.memo = memo, {}
-                        memo = self.memo
-                    memo[piece] = ids
-            out += ids
-        return out
+        return np.frombuffer(self.packed(text), "<u4").tolist()
 
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.vocabulary.__getitem__, ids))
@@ -268,7 +280,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
     ids_sha256 is over ids as little-endian unsigned 32-bit numbers, decoded_sha256 over
     the bytes that the streaming decoder gives back for them.  Null texts are empty: no
-    ids, the digests of nothing.  Text is never normalised; special tokens' strings are
+    ids, the digests of nothing.  Texts of any length are read whole, their longest piece
+    window by window.  Text is never normalised; special tokens' strings are
     ordinary text; further columns are ignored; an empty table gives no rows.
     """
     extra = ", ids array<int>, decoded string" if keep_ids else ""
@@ -277,9 +290,10 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
         codec = Codec.load(path, pattern)
         out: dict[str, list] = {k: [] for k in ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")}
         for text in cols["text"].to_pylist():
-            ids = codec.encode(text or "")
+            packed = codec.packed(text or "")
+            ids = np.frombuffer(packed, "<u4").tolist()
             out["n_tokens"].append(len(ids))
-            out["ids_sha256"].append(hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+            out["ids_sha256"].append(hashlib.sha256(packed).hexdigest())
             digest, decoded = hashlib.sha256(), []
             for part in codec.decode_stream(ids[i : i + CHUNK_IDS] for i in range(0, len(ids), CHUNK_IDS)):
                 digest.update(part.encode())
