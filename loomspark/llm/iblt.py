@@ -17,9 +17,8 @@ from .common import read_table, written
 #: Cells of a subtable: the fingerprint's own, then those of the retries.
 SIZES = (8, 32, 64, 128, 512)
 ROUNDS = 24
-#: A paragraph ends at a line end, or at the first sentence end from its 24th character on: breaks
-#: that content alone decides, so that long lines have several, and a short sentence goes with the next.
-PARAGRAPH = r"[^\\s][^\\n]{22,}?[.!?](?=\\s)|[^\\s][^\\n]*"
+#: A paragraph ends at a line end or at a sentence end: breaks that content alone decides, so that long lines have several.
+PARAGRAPH = r"[^\\s][^\\n]*?[.!?](?=\\s)|[^\\s][^\\n]*"
 
 
 def digests(text: str) -> Column:
@@ -129,7 +128,8 @@ def successors(docs: DataFrame) -> DataFrame:
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)``, a row for each input row.
 
-    The edited text ends in the start of the next document's.  Null texts are empty.
+    The edited text ends in the start of the next document's.  Null texts are empty; texts
+    of any length are read whole.
     Rows of one id share their successor: the next larger id, of whose rows the one with
     the smallest text counts.  A null id has no next document, so its text is cut
     in half and its likeness to the next is that to an empty text.  One id alone is its
