@@ -188,8 +188,9 @@ def pack(rows: DataFrame, capacity: int = SEQUENCE_TOKENS, shelf_pieces: int = S
     """``rows`` (doc_id, piece, length, ..) with ``sequence_id`` and ``offset``.
 
     Rows are dealt evenly into shelves of about ``shelf_pieces`` by a hash of their
-    place, each shelf packs best fit and then searches.  A shelf wastes at most part of
-    a few bins, so more shelves hardly cost sequences.  ``rows`` is read twice.
+    place and their number in the table, so that many equal rows are not one shelf's.  Each
+    shelf packs best fit and then searches.  It wastes at most part of a few bins, so more
+    shelves hardly cost sequences.  ``rows`` is read twice and must be a written table.
     """
     total = rows.count()
     shelves = max(1, round(total / shelf_pieces))
@@ -197,7 +198,7 @@ def pack(rows: DataFrame, capacity: int = SEQUENCE_TOKENS, shelf_pieces: int = S
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
     arrow = arrow_schema(spark, schema)
     names = [f for f in arrow.names if f not in ("sequence_id", "offset")]
-    dealt = rows.select(*names, F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(shelves)).alias("shelf"))
+    dealt = rows.select(*names, F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(shelves)).alias("shelf"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, number = [], None
@@ -236,8 +237,9 @@ def pack(rows: DataFrame, capacity: int = SEQUENCE_TOKENS, shelf_pieces: int = S
 def packed_documents(docs: DataFrame, path: str | None = None, capacity: int = SEQUENCE_TOKENS, **options) -> DataFrame:
     """Every document's pieces with the sequence and offset they are packed at.
 
-    Null and empty texts are the end id alone; null ids and repeated rows are packed
-    like any others; further columns are ignored; an empty table gives no rows.
+    Null and empty texts are the end id alone; texts of any length are read whole and cut into
+    pieces; null ids and repeated rows, however many, are packed like any others; further
+    columns are ignored; an empty table gives no rows.
     """
     import public_tokenizers
 
