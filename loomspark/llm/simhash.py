@@ -16,7 +16,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import map_arrow, read_table, signed, spread, text_bytes, written
 from .components import connected_components
@@ -77,20 +76,41 @@ def _spanning(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
 
 
 def _linker(n_keys: int, bits: int, cap: int | None):
-    """Arrow function over rows ``(keys.., fp)`` sorted by keys and fp."""
+    """Arrow function over rows ``(keys.., fp)`` sorted by keys and fp.
+
+    Of a group that goes on beyond a batch at most ``cap`` rows are held; a larger one
+    leaves row by row as it streams through.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held, hot = None, None
         for batch in batches:
             rows = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            if held:
-                rows = np.concatenate([*held, rows], axis=1)
+            if hot is not None and rows.shape[1]:
+                other = np.flatnonzero(rows[0] != hot)
+                cut = int(other[0]) if len(other) else rows.shape[1]
+                yield _hot(rows[:, :cut])
+                if cut == rows.shape[1]:
+                    continue
+                rows, hot = rows[:, cut:], None
+            if held is not None:
+                rows = np.concatenate([held, rows], axis=1)
+            if not rows.shape[1]:
+                continue
             cut = _last_run(rows, n_keys)
-            held = [rows[:, cut:]]
             if cut:
                 yield from _emit(rows[:, :cut])
-        if held:
-            yield from _emit(held[0])
+            held = rows[:, cut:]
+            if cap is not None and held.shape[1] > cap:
+                hot = held[0, 0]
+                yield _hot(held)
+                held = None
+        if held is not None:
+            yield from _emit(held)
+
+    def _hot(rows: np.ndarray) -> pa.RecordBatch:
+        none = pa.nulls(rows.shape[1], pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[n_keys]), none], names=["key", "a", "b"])
 
     def _last_run(rows: np.ndarray, n: int) -> int:
         same = np.ones(rows.shape[1], dtype=bool)
@@ -189,19 +209,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marks.join(component, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stand for their group: the smallest id of each component.
-
-    Rows without an id stay.  Repeated rows of one id and text leave a single row.
-    """
-    stay = near_duplicates(docs, **options).where("component_id = doc_id").select("doc_id").distinct()
-    # the rows travel as one struct, so that no column of theirs can clash
-    rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.struct(*docs.columns).alias("row"))
-    first = Window.partitionBy("doc_id", "mark").orderBy(F.lit(0))
-    kept = rows.join(stay, "doc_id", "left_semi").withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
-
-
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(spread(read_table(spark, sf_dir, "documents")))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
