@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 from loomspark.session import ensure_importable
 
 from .common import arrow_schema, map_arrow, read_table, spread, written
-from .mtree import SCALE
+from .mtree import SCALE, farthest_first
 
 ANCHOR_DIVISOR, SHIFT_DIVISOR, LABELS = 50, 7, 10
 POSITIVES, NEGATIVES = 5, 3
@@ -50,22 +50,6 @@ def labelled_vectors(table: DataFrame, scale: int = SCALE, shift: int = SHIFT_DI
     return fine.select("vec_id", label.alias("label"), F.transform("v", lambda x: F.floor(x * scale).cast("double")).alias("v"))
 
 
-def farthest_first(points: np.ndarray, n: int) -> np.ndarray:
-    """``n`` of the points, each the farthest from those before, in an order that keeps near ones together."""
-    chosen, nearest = [0], ((points - points[0]) ** 2).sum(axis=1)
-    while len(chosen) < n and nearest.max() > 0:
-        chosen.append(int(nearest.argmax()))
-        nearest = np.minimum(nearest, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
-    left = points[chosen]
-    order = [0]
-    rest = set(range(1, len(left)))
-    while rest:  # a chain of nearest neighbours: groups are stretches of it
-        near = min(rest, key=lambda i: (((left[i] - left[order[-1]]) ** 2).sum(), i))
-        order.append(near)
-        rest.remove(near)
-    return left[order]
-
-
 def _celled(rows: DataFrame, pivots: np.ndarray, top: float, is_anchor: str) -> DataFrame:
     """Rows with the cell and pivot distance of their candidate point, and of their anchor point where they are one."""
 
