@@ -246,14 +246,6 @@ def test_dense_links(spark):
                     assert find(a) == find(b)
 
 
-def test_keep_one(docs):
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    stay = {c for d, _, c in brute_components(ROWS) if d is not None}
-    assert {r.doc_id for r in kept.collect()} == stay | {None}
-    assert kept.where("doc_id IS NULL").count() == 3
-
-
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 200), (200, 300), (7, 7), (100, 200)]
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
@@ -267,7 +259,7 @@ def test_fingerprints(spark, docs):
     rows = {}
     for r in iblt.edited_fingerprints(docs).collect():
         rows.setdefault(r.doc_id, []).append(r)
-    split = lambda t: set(re.findall(r"\S[^\n]{22,}?[.!?](?=\s)|\S[^\n]*", t, re.ASCII))
+    split = lambda t: set(re.findall(r"\S[^\n]*?[.!?](?=\s)|\S[^\n]*", t, re.ASCII))
     like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
     texts = defaultdict(list)
     for d, t in ROWS:
@@ -329,9 +321,36 @@ def test_tree_skips_pages():
     centers = rng.normal(0, 100, (40, 6))
     points = np.floor(np.repeat(centers, 200, axis=0) + rng.normal(0, 1, (8000, 6)))
     tree = mtree.MTree(np.arange(8000), points, 6)
+    leaves = sum(len(page[3]) for page in tree.pages)
     for q in points[::900]:
         exact = sorted(((-int(q @ x), i) for i, x in enumerate(points)))[:5]
+        tree.leaves_read = 0
         assert [(-s, i) for s, i in exact] == tree.search(q, 5, None)
+        assert 0 < tree.leaves_read <= leaves / 4
+        tree.leaves_read = 0
+        assert [(-s, i) for s, i in exact] == tree.search(q, 5, None, floor=float(-exact[4][0]))
+        assert tree.leaves_read <= leaves / 4
+
+
+def test_blocks_visit_few_shards(spark):
+    """Between far clusters the roots' bounds leave most shards unvisited; the rows are those of all shards."""
+    rng = np.random.default_rng(4)
+    centers = rng.normal(0, 1, (12, 6))
+    centers *= 200 / np.linalg.norm(centers, axis=1)[:, None]
+    points = np.floor(np.repeat(centers, 100, axis=0) + rng.normal(0, 2, (1200, 6)))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id bigint, v array<double>")
+    asked = df.where("vec_id % 50 = 0")
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in mtree.top_products(df, asked, shard_vectors=100, block=8).collect()}
+    for q in range(0, 1200, 50):
+        exact = sorted((-int(points[q] @ x), i) for i, x in enumerate(points) if i != q)[:5]
+        assert [got[q, k + 1] for k in range(5)] == [(i, -s) for s, i in exact]
+    placed = mtree._celled(df.withColumn("copies", F.lit(1).cast("bigint")), mtree._pivots(df, 12))
+    shards = mtree._parts(placed, 100)
+    n_shards = sum(n for _, n in shards.values())
+    trees = mtree._packed(placed, shards, 7, lambda ids, values, *_: mtree.MTree(ids, values, 6))
+    floors = placed.where("vec_id % 50 = 0").withColumn("floor", F.lit(38_000.0))
+    blocks = mtree._packed(floors, mtree._parts(floors, 8), 13, lambda *rows: rows)
+    assert n_shards >= 10 and mtree._routed(trees, blocks, shards).count() < 0.3 * blocks.count() * n_shards
 
 
 def test_sentences_of_one_line_are_paragraphs(spark):

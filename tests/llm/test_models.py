@@ -200,3 +200,14 @@ def test_stretches_give_the_tags_of_whole_texts():
 
 def test_secrets_of_empty_tables(spark, docs):
     assert secrets.scan(docs.limit(0)).count() == 0 and secrets.redact(docs.limit(0)).columns == docs.columns
+
+
+def test_repeated_rows_leave_the_sample_whole(spark):
+    """Rows that stand there hundreds of times count once, before the bound is drawn."""
+    from loomspark.llm.common import bounded_sample
+
+    rows = [(i, f"text {i}") for i in range(50)] + [(i, f"text {i}") for i in range(5) for _ in range(400)] + [(None, None)] * 30
+    found = bounded_sample(spark.createDataFrame(rows, "doc_id bigint, text string"), 40, 10**9)
+    assert len(found) == 40 and len({(r.doc_id, r.text) for r in found}) == 40
+    assert len(bounded_sample(spark.createDataFrame(rows, "doc_id bigint, text string"), 100, 10**9)) == 51
+    assert 2 <= len(bounded_sample(spark.createDataFrame(rows[:50] * 2, "doc_id bigint, text string"), 40, 20)) <= 4
