@@ -32,15 +32,15 @@ def _slot(key: str, table: str, size: int) -> str:
 
 
 def _cells(entries: str, size: int) -> str:
-    """Cells (n, k, c) of three subtables from entries (n, k): count, digests XORed, check hashes XORed.
+    """Cells (n, k, c) of three subtables from entries (n, k, c): count, digests XORed, check hashes XORed.
 
     A subtable's entries are parted by the high bits of their cell first, so that a cell
     looks at its part only: about ``size`` * 3 + entries * parts steps, not cells * entries.
     """
     zero = "named_struct('n', 0, 'k', 0L, 'c', 0L)"
-    add = "named_struct('n', a.n + e.n, 'k', a.k ^ e.k, 'c', a.c ^ xxhash64(e.k))"
-    slotted = f"transform({entries}, e -> named_struct('s', {_slot('e.k', 'j', size)}, 'n', e.n, 'k', e.k))"
-    parts = max(1, 1 << ((size.bit_length() - 1) // 2 - 1))
+    add = "named_struct('n', a.n + e.n, 'k', a.k ^ e.k, 'c', a.c ^ e.c)"
+    slotted = f"transform({entries}, e -> named_struct('s', {_slot('e.k', 'j', size)}, 'n', e.n, 'k', e.k, 'c', e.c))"
+    parts = 1 << ((size.bit_length() - 1) // 2)
     width = size // parts
 
     def fill(own: str, first: str) -> str:
@@ -56,7 +56,7 @@ def _cells(entries: str, size: int) -> str:
 
 def cells(keys: str, size: int) -> str:
     """The sketch of a digest array."""
-    return _cells(f"transform({keys}, d -> named_struct('n', 1, 'k', d))", size)
+    return _cells(f"transform({keys}, d -> named_struct('n', 1, 'k', d, 'c', xxhash64(d)))", size)
 
 
 def _holds(size: int) -> int:
@@ -72,7 +72,7 @@ def _difference(left: str, right: str, size: int) -> str:
     start = f"named_struct('cells', zip_with({left}, {right}, {_MINUS}), 'found', 0, 'over', false)"
     bits = size.bit_length() - 1
     pure = f"abs(x.n) = 1 AND {_slot('x.k', f'shiftright(p, {bits})', size)} = (p & {size - 1}) AND x.c = xxhash64(x.k)"
-    keys = f"array_distinct(transform(filter(s.cells, (x, p) -> {pure}), x -> named_struct('n', x.n, 'k', x.k)))"
+    keys = f"array_distinct(transform(filter(s.cells, (x, p) -> {pure}), x -> named_struct('n', x.n, 'k', x.k, 'c', x.c)))"
     left_over = f"zip_with(s.cells, {_cells('q', size)}, {_MINUS})"
     # a one-element array binds the peeled digests once for all cells
     peel = f"transform(array({keys}), q -> IF(size(q) = 0, named_struct('cells', s.cells, 'found', s.found, 'over', true), named_struct('cells', {left_over}, 'found', s.found + size(q), 'over', false)))[0]"
