@@ -20,6 +20,7 @@ DUMP_TABLES = [n for n, t in TABLES.items() if t.loader == "mysqldump"]
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="loomspark", description=__doc__)
     top.add_argument("--master", help="Spark master, where spark-submit sets none")
+    top.add_argument("--workers", type=int, help="cores of a local master (default: all), and tasks that parse a dump")
     steps = top.add_subparsers(dest="step", required=True)
 
     def step(name: str, text: str, base: bool = True) -> argparse.ArgumentParser:
@@ -40,11 +41,13 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--folder", required=True)
     p.add_argument("--tables", nargs="*", default=DUMP_TABLES)
     p.add_argument("--dry-run", action="store_true")
+    p.add_argument("--publish", action="store_true", help="register the loaded tables in the catalog and analyse them")
     for name, text in (("logging", "load the logging XML"), ("stub", "load stub histories"), ("history", "load wikitext histories")):
         p = step(name, text)
         p.add_argument("--files", required=True, help="comma-separated files or globs")
         p.add_argument("--limit", type=int)
         p.add_argument("--dry-run", action="store_true")
+        p.add_argument("--publish", action="store_true", help="register the loaded tables in the catalog and analyse them")
         if name == "logging":
             p.add_argument("--resume", action="store_true")
         else:
@@ -81,7 +84,8 @@ def main(argv: list[str] | None = None) -> int:
     if a.step in ("logging", "stub", "history") and not discover(a.files):
         print(f"no files match {a.files}")
         return 0 if a.dry_run else 2
-    spark = build_session("*") if a.master is None else build_session("*", spark__master=a.master)
+    cpus = a.workers or "*"
+    spark = build_session(cpus) if a.master is None else build_session(cpus, spark__master=a.master)
     try:
         return STEPS[a.step](spark, a)
     except (quality.ConstraintError, FileExistsError) as e:
@@ -102,7 +106,7 @@ def _run(a) -> int:
         for command in LOADS[part]:
             argv = [w.format(folder=a.folder, out=a.out) for w in command] + ["--base", a.base]
             print(f"{part}: {' '.join(argv)}")
-            if code := main([*(["--master", a.master] if a.master else []), *argv]):
+            if code := main([*(["--master", a.master] if a.master else []), *(["--workers", str(a.workers)] if a.workers else []), *argv]):
                 return code
     return 0
 
@@ -137,7 +141,9 @@ def _dump(spark, a) -> int:
     if missing := [t for t, path in plan.items() if not path]:
         raise FileNotFoundError(f"no dump of {', '.join(missing)}")
     for t, path in plan.items():
-        print(t, path if a.dry_run else loading.load_dump(spark, t, path, a.base).count())
+        print(t, path if a.dry_run else loading.load_dump(spark, t, path, a.base, a.workers).count())
+    if a.publish and not a.dry_run:
+        loading.publish(spark, a.base, list(plan))
     return 0
 
 
@@ -150,6 +156,8 @@ def _load(spark, a) -> int:
         print(loading.load_revisions(spark, a.files, a.base, a.limit, a.no_truncate))
     else:
         print(loading.load_texts(spark, a.files, a.base, a.limit, a.no_truncate, not a.skip_revision_check))
+    if a.publish and not a.dry_run:
+        loading.publish(spark, a.base, {"logging": ["logging", "actor"], "stub": ["revision", "actor"], "history": ["revision_text"]}[a.step])
     return 0
 
 

@@ -45,3 +45,9 @@ def not_loaded(rows: DataFrame, loaded: DataFrame, key: str) -> DataFrame:
 def pending(files: DataFrame, finished: DataFrame, name: str) -> DataFrame:
     """Distinct files without the finished ones."""
     return files.select(name).distinct().join(finished.select(name), name, "left_anti")
+
+
+def listed_files(spark, path: str) -> DataFrame:
+    """``(file)``: the first column of a CSV list without a header, blank lines left out."""
+    rows = spark.read.csv(path, schema="file string", enforceSchema=True, mode="PERMISSIVE", ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+    return rows.where("file IS NOT NULL AND file <> ''")

@@ -11,9 +11,15 @@ from loomspark.sources.logging_xml import namespace_map, read_logitems, read_nam
 from loomspark.sources.mysqldump import read_dump
 
 
-def load_dump(spark: SparkSession, table: str, path: str, base: str) -> DataFrame:
-    """A SQL dump's table.  A gzip file is one task, so the write spreads its rows at once."""
-    return writing.write(read_dump(spark, table, path), base, table)
+def load_dump(spark: SparkSession, table: str, path: str, base: str, spread: int | None = None) -> DataFrame:
+    """A SQL dump's table.  A gzip file is unpacked by one task; ``spread`` has its statements parsed by so many."""
+    return writing.write(read_dump(spark, table, path, spread=spread), base, table)
+
+
+def publish(spark: SparkSession, base: str, names: list[str]) -> None:
+    """Loaded tables as tables of the catalog, with the column statistics that the optimiser uses."""
+    for name in names:
+        writing.publish(spark, base, name)
 
 
 def load_logging(spark: SparkSession, path: str, base: str, limit: int | None = None, resume: bool = False) -> dict[str, int]:

@@ -31,16 +31,56 @@ def open_bytes(path: str) -> BinaryIO:
     return gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else io.BufferedReader(raw) if isinstance(raw, io.RawIOBase) else raw
 
 
-def lines(path: str) -> Iterator[str]:
-    """Lines as latin-1 text without their line feed; a last one without it counts."""
-    rest = b""
-    with open_bytes(path) as f:
-        while chunk := f.read(CHUNK):
-            *whole, rest = (rest + chunk).split(b"\n")
-            for line in whole:
-                yield line.decode("latin-1")
-    if rest:
-        yield rest.decode("latin-1")
+def lines(path: str, start: int = 0, stop: int | None = None) -> Iterator[str]:
+    """Lines as latin-1 text without their line feed; a last one without it counts.
+
+    With ``start`` and ``stop`` those that begin in that range of a plain file's bytes: neighbouring
+    ranges share no line and lose none, wherever their border falls.
+    """
+    if start == 0 and stop is None:
+        with open_bytes(path) as f:
+            yield from (line for _, line in _lines(f, 0))
+        return
+    system, name = filesystem(path)
+    with system.open_input_file(name) as f:
+        # the byte before tells whether a line begins here
+        f.seek(max(0, start - 1))
+        found = _lines(f, max(0, start - 1))
+        if start:
+            next(found, None)
+        for at, line in found:
+            if stop is not None and at >= stop:
+                return
+            yield line
+
+
+def _lines(f: BinaryIO, at: int) -> Iterator[tuple[int, str]]:
+    """Lines with the place where they begin, from an open file at place ``at``."""
+    rest: list[bytes] = []  # pieces of a line that has not ended
+    held = 0
+    while chunk := f.read(CHUNK):
+        first, *more = chunk.split(b"\n")
+        rest.append(first)
+        held += len(first)
+        if not more:
+            continue
+        yield at, b"".join(rest).decode("latin-1")
+        at += held + 1
+        for line in more[:-1]:
+            yield at, line.decode("latin-1")
+            at += len(line) + 1
+        rest, held = [more[-1]], len(more[-1])
+    if held:
+        yield at, b"".join(rest).decode("latin-1")
+
+
+def ranges(path: str, size: int) -> list[tuple[int, int | None]]:
+    """Byte ranges of about ``size`` of a plain file; a packed one is a single range."""
+    system, name = filesystem(path)
+    if name.endswith((".gz", ".7z")):
+        return [(0, None)]
+    whole = system.get_file_info(name).size
+    return [(a, min(a + size, whole)) for a in range(0, whole, size)]
 
 
 def natural_key(path: str) -> tuple[int, int, str]:

@@ -237,3 +237,43 @@ def test_stream(spark, tmp_path):
         (folder / "b.xml").write_text(X.logging_xml().replace("<id>14</id>", "<id>15</id>"))
     assert sorted(r.log_id for r in writing.read(spark, base, "logging").collect()) == [7, 8, 12, 13, 14, 15]
     assert writing.read(spark, base, "actor").count() == 2
+
+
+def test_spread_dump(spark, tmp_path):
+    """The same rows from one task and from many, packed or plain, wherever a range's border falls."""
+    statements = [f"INSERT INTO `user_groups` VALUES {','.join(f'({i * 7 + k},{chr(39)}g{k}é{chr(39)},NULL)' for k in range(1 + i % 4))};" for i in range(60)]
+    body = ("-- head\n" + "\n".join(statements) + "\nINSERT INTO `other` VALUES (1);").encode()
+    packed, plain = X.write_gz(tmp_path / "x.sql.gz", body), tmp_path / "x.sql"
+    plain.write_bytes(body)
+    want = sorted(map(repr, read_dump(spark, "user_groups", packed).collect()))
+    assert len(want) == 60 + 15 * 6
+    for parts in (1, 16):
+        assert sorted(map(repr, read_dump(spark, "user_groups", packed, spread=parts).collect())) == want
+    for size in (1, 17, 100, 10_000):
+        from loomspark.sources.mysqldump import spread_dump
+
+        assert sorted(map(repr, spread_dump(spark, "user_groups", str(plain), 3, range_bytes=size if size > 1 else 33).collect())) == want
+    for size in (1, 2, 5, 7, 64):
+        (tmp_path / "l.txt").write_bytes(b"ab\n\ncde\nf\n\n\ng")
+        from loomspark.sources.files import ranges
+
+        assert [x for a, b in ranges(str(tmp_path / "l.txt"), size) for x in lines(str(tmp_path / "l.txt"), a, b)] == ["ab", "", "cde", "f", "", "", "g"]
+
+
+def test_publish(spark, loaded):
+    loading.publish(spark, loaded["base"], ["page", "actor"])
+    assert spark.sql("SELECT count(*) FROM page").first()[0] == loaded["t"]["page"].count()
+    described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED page").collect()}
+    assert "rows" in described["Statistics"]
+    assert spark.sql("DESCRIBE EXTENDED page page_id").where("info_name = 'distinct_count'").first().info_value != "NULL"
+    loading.publish(spark, loaded["base"], ["page"])
+    spark.sql("DROP TABLE page")
+    spark.sql("DROP TABLE actor")
+    assert loaded["t"]["page"].count() > 0
+
+
+def test_listed_files(spark, tmp_path):
+    (tmp_path / "done.csv").write_text("a.7z\n\n b.7z ,x\n")
+    done = referential.listed_files(spark, str(tmp_path / "done.csv"))
+    files = spark.createDataFrame([("a.7z",), ("c.7z",), ("b.7z",)], "file string")
+    assert [r.file for r in referential.pending(files, done, "file").collect()] == ["c.7z"]
