@@ -17,7 +17,7 @@ from loomspark.functions.keywords import keyword_hits
 from loomspark.operators import actors, latest, quality, referential
 from loomspark.operators.counts import count_by, row_counts, top_k, yearly
 
-from . import format_queries, research, study_queries  # noqa: F401 (the first and last register their own queries)
+from . import format_queries, load_queries, research, study_queries  # noqa: F401 (all but research register their own queries)
 from .registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -27,8 +27,8 @@ def _folder(lines: DataFrame, name: str) -> str:
     return path
 
 
-def _export(lines: DataFrame) -> DataFrame:
-    """The lines of every partition, and so of every file, inside one root element."""
+def _export(lines: DataFrame, head: str = "") -> DataFrame:
+    """The lines of every partition, and so of every file, inside one root element and after ``head``."""
 
     def whole(batches):
         import pyarrow as pa
@@ -36,7 +36,7 @@ def _export(lines: DataFrame) -> DataFrame:
         def line(text: str) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([text])], names=["value"])
 
-        yield line('<mediawiki xmlns="http://www.mediawiki.org/xml/export-0.11/">')
+        yield line('<mediawiki xmlns="http://www.mediawiki.org/xml/export-0.11/">' + head)
         yield from batches
         yield line("</mediawiki>")
 
@@ -120,7 +120,7 @@ def q_logging_load(spark, d):
     return parsed.select(*same, *texts, F.unix_seconds("log_timestamp").alias("at"))
 
 
-def _history(spark, d) -> DataFrame:
+def _history_folder(spark, d) -> str:
     """Conversations as page histories: a turn is a revision, every fourth one suppressed."""
     turn, text = F.col("turn"), F.coalesce("text", F.lit(""))
     body = F.when(turn % 4 == 3, '<text bytes="5" deleted="deleted" />').otherwise(F.concat(F.lit('<text bytes="'), F.octet_length(text), F.lit('" xml:space="preserve">'), _xml(text), F.lit("</text>")))
@@ -130,8 +130,11 @@ def _history(spark, d) -> DataFrame:
     page = F.concat(page, F.lit("<timestamp>2024-01-02T03:04:05Z</timestamp>"), who, F.when(turn % 2 == 0, "<minor />").otherwise(""))
     page = F.concat(page, F.lit("<comment>c</comment>"), body, F.lit("<sha1>s</sha1></revision></page>"))
 
-    folder = _folder(_export(table(spark, d, "conversations").select(page.alias("value"))), "history")
-    return read_history(spark, f"{folder}/part-*")
+    return _folder(_export(table(spark, d, "conversations").select(page.alias("value"))), "history")
+
+
+def _history(spark, d) -> DataFrame:
+    return read_history(spark, f"{_history_folder(spark, d)}/part-*")
 
 
 @query(

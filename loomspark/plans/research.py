@@ -7,8 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .lookback import history_measures
+
 
 def inertia(events: DataFrame, keys: list[str], t: str, name: str = "inertia", width: int | None = None) -> DataFrame:
     """Earlier events with the same keys; those at the same time do not count.  ``t`` is a whole number.
@@ -28,20 +31,25 @@ def inertia(events: DataFrame, keys: list[str], t: str, name: str = "inertia", w
     return inside.join(sums, same).select(*events.columns, (F.col("_n") + F.col("_before")).alias(name))
 
 
-def subset_repetition(events: DataFrame, id_col: str, t: str, members: str) -> DataFrame:
+def subset_repetition(events: DataFrame, id_col: str, t: str, members: str, width: int | None = None) -> DataFrame:
     """``(id, repetition)``: earlier events whose members include all of this event's.
 
-    Both sides meet on the event's rarest member only, which every superset must hold.
+    Teams meet again, so the distinct sets are compared, not the events: a set and its
+    supersets meet on the set's rarest member, which every superset must hold.  The events of
+    all supersets then are one history of the set, in which each of its events counts what lies
+    before it, with ``width`` in stretches of that time.  An event without members has none.
     """
-    base = events.select(F.col(id_col).alias("id"), F.col(t).alias("t"), F.array_distinct(members).alias("s"))
-    each = base.select("id", "t", "s", F.explode("s").alias("m"))
+    at = F.col(t) if isinstance(events.schema[t].dataType, (T.IntegerType, T.LongType)) else F.unix_micros(F.col(t).cast("timestamp"))
+    base = events.select(F.col(id_col).alias("id"), at.cast("bigint").alias("t"), F.array_sort(F.array_distinct(members)).alias("s"))
+    sets = base.select("s").distinct()
+    each = sets.select("s", F.explode("s").alias("m"))
     often = each.groupBy("m").agg(F.count(F.lit(1)).alias("n"))
-    rare = each.join(often, "m").groupBy("id").agg(F.min_by("m", F.struct("n", "m")).alias("m"))
-    asks = base.join(rare, "id")
-    holds = each.select(F.col("id").alias("id2"), F.col("t").alias("t2"), F.col("s").alias("s2"), "m")
-    hit = asks.join(holds, "m").where((F.col("t2") < F.col("t")) & (F.size(F.array_except("s", "s2")) == 0))
-    found = hit.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    return base.join(found, "id", "left").select(F.col("id").alias(id_col), F.coalesce("n", F.lit(0).cast("bigint")).alias("repetition"))
+    rare = each.join(often, "m").groupBy("s").agg(F.min_by("m", F.struct("n", "m")).alias("m"))
+    holds = each.select(F.col("s").alias("s2"), "m")
+    wider = rare.join(holds, "m").where((F.size("s2") >= F.size("s")) & (F.size(F.array_except("s", "s2")) == 0)).select("s", "s2")
+    history = wider.join(base.select(F.col("s").alias("s2"), F.col("t").alias("t2")), "s2").select("s", "t2")
+    found = history_measures(base, history, "s", "t", "t2", width or 1 << 62, sums={"repetition": F.lit(1)})
+    return found.select(F.col("id").alias(id_col), F.col("repetition").cast("bigint").alias("repetition"))
 
 
 def hyperevents(edits: DataFrame, page: str, editor: str, at: str, gap: str) -> DataFrame:
@@ -155,3 +163,56 @@ def difference_in_differences(rows: DataFrame, page: str, treated: str, after: s
     cell = rows.groupBy(page, treated).agg(F.avg(F.when(F.col(after), F.col(outcome))).alias("a"), F.avg(F.when(~F.col(after), F.col(outcome))).alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
     change = cell.select(treated, (F.col("a") - F.col("b")).alias("d"))
     return change.agg(F.round(F.avg(F.when(F.col(treated), F.col("d"))) - F.avg(F.when(~F.col(treated), F.col("d"))), 6).alias("effect"))
+
+
+def composition_shift(edits: DataFrame, page: str, editor: str, day: str, cut: Column, span: int, newcomer: int) -> DataFrame:
+    """``(page, after, editors, median_edits, median_tenure, newcomer_share)`` for the days before and after ``cut``.
+
+    The editors of a side are those who edited the page at most ``span`` days before the cut, or from
+    it on for as long.  An editor's edits, on any page, and days since the first one count up to
+    the cut; one whose first edit is later has none and no tenure.  ``newcomer_share`` is the share
+    with fewer than ``newcomer`` edits.  ``day`` is a date.
+    """
+    away = F.date_diff(day, cut)
+    active = edits.select(page, editor, away.alias("_away")).where((F.col("_away") >= -span) & (F.col("_away") < span))
+    sides = active.select(page, editor, (F.col("_away") >= 0).alias("after")).distinct()
+    before = edits.where(away < 0).groupBy(editor).agg(F.count(F.lit(1)).alias("_edits"), F.max(-away).alias("_tenure"))
+    both = sides.join(before, editor, "left").select(page, "after", F.coalesce("_edits", F.lit(0)).alias("_edits"), F.coalesce("_tenure", F.lit(0)).alias("_tenure"))
+    share = F.avg((F.col("_edits") < newcomer).cast("double"))
+    return both.groupBy(page, "after").agg(F.count(F.lit(1)).alias("editors"), F.median("_edits").alias("median_edits"), F.median("_tenure").alias("median_tenure"), F.round(share, 9).alias("newcomer_share"))
+
+
+def diversity(edits: DataFrame, editor: str, page: str) -> DataFrame:
+    """``(editor, diversity)``: entropy of an editor's edits over pages, in nats; 0 for a single page."""
+    each = edits.groupBy(editor, page).agg(F.count(F.lit(1)).alias("_n"))
+    sums = each.groupBy(editor).agg(F.sum("_n").alias("_all"), F.sum(F.col("_n") * F.log(F.col("_n").cast("double"))).alias("_log"))
+    return sums.select(editor, F.round(F.log(F.col("_all").cast("double")) - F.col("_log") / F.col("_all"), 9).alias("diversity"))
+
+
+def editor_standing(edits: DataFrame, editor: str, page: str, at: str, levels: DataFrame, weights: tuple[float, float, float, float] = (0.25, 0.25, 0.25, 0.25)) -> DataFrame:
+    """``(editor, edits, tenure_days, level, diversity, standing)``: coreness from all four indicators, weights ours.
+
+    ``levels`` is (editor, level), a number for the highest formal right; an editor without one has 0.
+    """
+    base = editor_coreness(edits, editor, at).drop("coreness")
+    both = base.join(diversity(edits, editor, page), editor).join(levels.select(editor, "level"), editor, "left").withColumn("level", F.coalesce("level", F.lit(0)))
+    parts = (F.log1p("edits"), F.log1p("tenure_days"), F.col("level").cast("double"), F.col("diversity"))
+    return both.withColumn("standing", F.round(sum((w * p for w, p in zip(weights, parts, strict=True)), F.lit(0.0)), 6))
+
+
+def team_standing(teams: DataFrame, id_col: str, members: str, standing: DataFrame, editor: str, value: str) -> DataFrame:
+    """``(id, members, mean)``: the mean of the members' values; unknown members do not count, a team of none has null."""
+    each = teams.select(id_col, F.explode(F.array_distinct(members)).alias(editor)).join(standing.select(editor, value), editor)
+    means = each.groupBy(id_col).agg(F.count(F.lit(1)).alias("members"), F.round(F.avg(value), 6).alias("mean"))
+    return teams.select(id_col).join(means, id_col, "left").select(id_col, F.coalesce("members", F.lit(0)).alias("members"), "mean")
+
+
+def page_standing(edits: DataFrame, cited: DataFrame, page: str, editor: str, weights: tuple[float, float] = (0.5, 0.5)) -> DataFrame:
+    """``(page, editors, sources, standing)``: ln(1 + distinct editors) and ln(1 + distinct cited sources), weights ours.
+
+    ``cited`` is (page, source); views and quality are not in the dumps.
+    """
+    own = edits.groupBy(page).agg(F.count_distinct(editor).alias("editors"))
+    theirs = cited.groupBy(page).agg(F.count_distinct("source").alias("sources"))
+    both = own.join(theirs, page, "left").withColumn("sources", F.coalesce("sources", F.lit(0)))
+    return both.withColumn("standing", F.round(weights[0] * F.log1p("editors") + weights[1] * F.log1p("sources"), 9))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomspark.functions.keywords import phrase_hits
 
-from . import choice, exploration, lookback, matching, network, rights
+from . import choice, exploration, lookback, matching, network, research, rights
 from .registry import query, table
 
 #: Coefficients at which the likelihood's terms are shown.
@@ -212,6 +212,45 @@ def q_x_groups_at(spark, d):
     return found.select("request", F.array_join("groups", ",").alias("groups"))
 
 
+@query(
+    "x_editor_standing",
+    """WITH p AS (SELECT user_id, event_id % 11 AS page, count(*) AS n FROM events GROUP BY 1, 2),
+       d AS (SELECT user_id, round(ln(sum(n)) - sum(n * ln(n)) / sum(n), 9) AS diversity FROM p GROUP BY 1),
+       e AS (SELECT user_id, count(*) AS edits, CAST(date_diff('day', min(ts)::DATE, max(ts)::DATE) AS INTEGER) AS tenure_days, CASE WHEN user_id % 4 < 3 THEN user_id % 4 ELSE 0 END AS level FROM events GROUP BY 1)
+       SELECT user_id, edits, tenure_days, CAST(level AS BIGINT) AS level, diversity, round(0.25 * ln(1 + edits) + 0.25 * ln(1 + tenure_days) + 0.25 * level + 0.25 * diversity, 6) AS standing FROM e JOIN d USING (user_id)""",
+)
+def q_x_editor_standing(spark, d):
+    events = table(spark, d, "events").withColumn("page", F.col("event_id") % 11)
+    levels = events.select("user_id", (F.col("user_id") % 4).alias("level")).where("level < 3").distinct()
+    return research.editor_standing(events, "user_id", "page", "ts", levels)
+
+
+@query(
+    "x_team_standing",
+    """WITH s AS (SELECT user_id, ln(1 + count(*)) AS v FROM events GROUP BY 1), r AS (SELECT user_id, round(v, 9) AS v FROM s),
+       t AS (SELECT DISTINCT event_type || strftime(ts, '%Y%m%d%H') AS id, user_id FROM events)
+       SELECT id, count(*) AS members, round(avg(v), 6) AS mean FROM t JOIN r USING (user_id) GROUP BY 1""",
+)
+def q_x_team_standing(spark, d):
+    """Mean standing of the editors of an hour of one event type."""
+    events = table(spark, d, "events")
+    standing = events.groupBy("user_id").agg(F.round(F.log1p(F.count(F.lit(1))), 9).alias("v"))
+    teams = events.groupBy(F.concat("event_type", F.date_format("ts", "yyyyMMddHH")).alias("id")).agg(F.collect_set("user_id").alias("members"))
+    return research.team_standing(teams, "id", "members", standing, "user_id", "v")
+
+
+@query(
+    "x_page_standing",
+    """WITH p AS (SELECT l_orderkey % 300 AS page, count(DISTINCT l_suppkey) AS editors FROM lineitem GROUP BY 1),
+       c AS (SELECT o_custkey % 300 AS page, count(DISTINCT o_orderpriority || o_orderstatus) AS sources FROM orders WHERE o_custkey % 3 <> 0 GROUP BY 1)
+       SELECT page, editors, coalesce(sources, 0) AS sources, round(0.5 * ln(1 + editors) + 0.5 * ln(1 + coalesce(sources, 0)), 9) AS standing FROM p LEFT JOIN c USING (page)""",
+)
+def q_x_page_standing(spark, d):
+    edits = table(spark, d, "lineitem").select((F.col("l_orderkey") % 300).alias("page"), F.col("l_suppkey").alias("editor"))
+    cited = table(spark, d, "orders").where("o_custkey % 3 <> 0").select((F.col("o_custkey") % 300).alias("page"), F.concat("o_orderpriority", "o_orderstatus").alias("source"))
+    return research.page_standing(edits, cited, "page", "editor")
+
+
 # -- networks --------------------------------------------------------------------------------
 
 
@@ -257,6 +296,20 @@ def q_x_four_cycles(spark, d):
     return network.four_cycles(rows, "page", "editor")
 
 
+@query(
+    "x_composition_tenure",
+    """WITH e AS (SELECT user_id, event_type, date_diff('day', DATE '2024-01-16', ts::DATE) AS away FROM events),
+       s AS (SELECT DISTINCT event_type, user_id, away >= 0 AS after FROM e WHERE away >= -2 AND away < 2),
+       b AS (SELECT user_id, count(*) AS n, max(-away) AS tenure FROM e WHERE away < 0 GROUP BY 1)
+       SELECT event_type, after, count(*) AS editors, CAST(median(coalesce(n, 0)) AS DOUBLE) AS median_edits, CAST(median(coalesce(tenure, 0)) AS DOUBLE) AS median_tenure,
+         round(avg(CASE WHEN coalesce(n, 0) < 33 THEN 1.0 ELSE 0.0 END), 9) AS newcomer_share FROM s LEFT JOIN b USING (user_id) GROUP BY 1, 2""",
+)
+def q_x_composition_tenure(spark, d):
+    """Who edits in the two days before and after a cut: their edits and tenure until then."""
+    events = table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    return research.composition_shift(events, "event_type", "user_id", "day", F.lit("2024-01-16").cast("date"), 2, 33)
+
+
 # -- texts -----------------------------------------------------------------------------------
 
 PHRASES = ("the", "idiot", "of the", "que", "und die", "you are")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomspark.functions.keywords import PhraseAutomaton, inflections, keyword_hits, phrase_hits
 from loomspark.operators.ranks import ranked
-from loomspark.plans import choice, exploration, lookback, matching, network, rights
+from loomspark.plans import choice, exploration, lookback, matching, network, research, rights
 
 # -- choice models -------------------------------------------------------------------------
 
@@ -325,6 +325,16 @@ def test_four_cycles(spark):
     assert {r.editor: r.cycles for r in network.four_cycles(df, "page", "editor").collect()} == want
 
 
+def test_subset_repetition(spark):
+    """Against all pairs of events: repeated teams, ties of time, stretches, empty and null members."""
+    rng = random.Random(12)
+    rows = [(i, rng.randint(0, 60), [rng.randrange(7) for _ in range(rng.randint(1, 4))]) for i in range(250)] + [(900, 10, []), (901, 11, None)]
+    df = spark.createDataFrame(rows, "id int, t int, s array<int>")
+    want = {i: sum(1 for _, t2, s2 in rows if t2 < t and s2 and set(s) <= set(s2)) if s else 0 for i, t, s in rows}
+    for width in (None, 13):
+        assert {r.id: r.repetition for r in research.subset_repetition(df, "id", "t", "s", width).collect()} == want
+
+
 # -- phrases -------------------------------------------------------------------------------
 
 
