@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loomspark.schemas import TABLES, UNIQUE
 
@@ -59,8 +60,10 @@ def write(df: DataFrame, base: str, name: str, mode: str = "overwrite") -> DataF
         quality.require_table(fresh, name, list(UNIQUE[name]), [])
     target = table_path(base, name)
     if mode == "append" and _exists(spark, target):
-        whole = read(spark, base, name).select(*t.keys).unionByName(fresh.select(*t.keys))
-        quality.require_table(whole, name, list(t.keys), [])
+        # only keys in the new rows' range can meet theirs: the scan skips what lies beyond
+        ends = fresh.agg(F.min(t.keys[0]).alias("low"), F.max(t.keys[0]).alias("high")).first()
+        have = read(spark, base, name).select(*t.keys).where(F.col(t.keys[0]).between(F.lit(ends.low), F.lit(ends.high)))
+        quality.require_table(have.unionByName(fresh.select(*t.keys)), name, list(t.keys), [])
         fresh.write.mode("append").parquet(target)
         _drop(spark, staging)
     else:

@@ -25,17 +25,23 @@ def load_stream(items: DataFrame, base: str, spaces: Column, checkpoint: str) ->
     """Append each batch's new items to the tables.
 
     A batch that is run again finds its ids loaded and adds nothing, so a failure between
-    the two table writes costs no duplicate.  Of actors only the new ones are written.
+    the two table writes costs no duplicate.  Of actors only the new ones are written, and of
+    the log ids there are only those in the batch's range are looked at.
     """
 
     def step(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        parsed = not_loaded(transforms.parsed_logitems(batch, spaces), writing.read_or_empty(spark, base, "logging"), "log_id").dropDuplicates(["log_id"])
+        batch = batch.persist()
+        log_id = F.col("id").try_cast("bigint")
+        ends = batch.agg(F.min(log_id).alias("low"), F.max(log_id).alias("high")).first()
+        near = writing.read_or_empty(spark, base, "logging").where(F.col("log_id").between(F.lit(ends.low), F.lit(ends.high)))
+        parsed = not_loaded(transforms.parsed_logitems(batch, spaces), near, "log_id").dropDuplicates(["log_id"])
         known = writing.read_or_empty(spark, base, "actor")
         _, actors = transforms.logging_rows(parsed, known)
         new = actors.join(known.select("actor_id"), "actor_id", "left_anti")
         rows, _ = transforms.logging_rows(parsed, writing.write(new, base, "actor", "append"))
         writing.write(rows, base, "logging", "append")
+        batch.unpersist()
 
     return items.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
