@@ -67,9 +67,15 @@ def _holds(size: int) -> int:
 _MINUS = "(x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'c', x.c ^ y.c)"
 
 
-def _difference(left: str, right: str, size: int) -> str:
-    """How many digests peeling recovers from two subtracted sketches; null if some cells stay filled."""
-    start = f"named_struct('cells', zip_with({left}, {right}, {_MINUS}), 'found', 0, 'over', false)"
+def _apart(left: str, right: str, size: int) -> str:
+    """The sketch of ``left`` less that of ``right``: cells are sums, so one pass with the right's entries negative makes both and subtracts."""
+    side = lambda keys, n: f"transform({keys}, d -> named_struct('n', {n}, 'k', d, 'c', xxhash64(d)))"
+    return _cells(f"concat({side(left, 1)}, {side(right, -1)})", size)
+
+
+def _peeled(difference: str, size: int) -> str:
+    """How many digests peeling recovers from the difference of two sketches; null if some cells stay filled."""
+    start = f"named_struct('cells', {difference}, 'found', 0, 'over', false)"
     bits = size.bit_length() - 1
     pure = f"abs(x.n) = 1 AND {_slot('x.k', f'shiftright(p, {bits})', size)} = (p & {size - 1}) AND x.c = xxhash64(x.k)"
     keys = f"array_distinct(transform(filter(s.cells, (x, p) -> {pure}), x -> named_struct('n', x.n, 'k', x.k, 'c', x.c)))"
@@ -93,8 +99,8 @@ def likeness(left: str, right: str, left_cells: str, right_cells: str) -> Column
     a, b = stratum.format(left), stratum.format(right)
     apart = f"(size({a}) + size({b}) - 2 * size(array_intersect({a}, {b})))"
     least = f"greatest(abs(size({left}) - size({right})), 4 * {apart})"
-    tries = [f"IF(w > {_holds(SIZES[0])}, NULL, {_difference(left_cells, right_cells, SIZES[0])})"]
-    tries += [f"IF(w > {_holds(size)}, NULL, {_difference(cells(left, size), cells(right, size), size)})" for size in SIZES[1:]]
+    tries = [f"IF(w > {_holds(SIZES[0])}, NULL, {_peeled(f'zip_with({left_cells}, {right_cells}, {_MINUS})', SIZES[0])})"]
+    tries += [f"IF(w > {_holds(size)}, NULL, {_peeled(_apart(left, right, size), size)})" for size in SIZES[1:]]
     direct = f"size(array_except({left}, {right})) + size(array_except({right}, {left}))"
     d = f"transform(array({least}), w -> coalesce({', '.join(tries)}, {direct}))[0]"
     both = f"(size({left}) + size({right}))"
