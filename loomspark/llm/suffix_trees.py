@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,8 @@ from .common import map_arrow, read_table
 from .repeats import Segment, Words, covered, flagged_windows, identified, runs, with_spans
 
 WINDOW_WORDS = 13
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+#: Whether a byte is inside a word: all but the six ASCII white-space bytes.
+_INSIDE = np.array([b not in b"\x20\x09\x0a\x0b\x0c\x0d" for b in range(256)], np.int8)
 
 
 def suffix_tree(strings: list[np.ndarray], least_depth: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
@@ -147,7 +148,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, **limits) -> Da
             n = int(gone.sum())
             out["n_words"].append(len(words))
             out["n_removed"].append(n)
-            kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g] if n else words
+            kept = compress(words, (~gone).tolist()) if n else words
             out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
             out["kept"].append(_cut(data, gone).decode() if n else text)
         return out | {k: cols[k] for k in ("doc_id", "text")}
@@ -192,12 +193,13 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW_WORDS, **limits) -> DataFr
 
 def _cut(data: bytes, gone: np.ndarray) -> bytes:
     out, last = [], 0
-    matches = list(_WORD.finditer(data))
+    # where words begin, and the end of the text
+    at = np.append(np.flatnonzero(np.diff(_INSIDE[np.frombuffer(data, np.uint8)], prepend=0) > 0), len(data)).tolist()
     start, end = runs(gone)
     for a, b in zip(start.tolist(), end.tolist(), strict=True):
         if gone[a]:
-            out.append(data[last : matches[a].start()])
-            last = matches[b].start() if b < len(matches) else len(data)
+            out.append(data[last : at[a]])
+            last = at[b]
     out.append(data[last:])
     return b"".join(out)
 

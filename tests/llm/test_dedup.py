@@ -142,6 +142,30 @@ def test_induced_sort(limit):
             assert lcp[k] == n
 
 
+@pytest.mark.parametrize("unit", [repeats.Words(13), repeats.Octets(40, 16)])
+def test_texts_in_a_row(unit):
+    """Texts that are hashed in a row get the runs and pieces that each gets alone; no window crosses a border."""
+    random = np.random.default_rng(5)
+    words = [b"w%d" % i for i in range(9)]
+    texts = [random.choice([b" ", b"\t\n "]).join(random.choice(words, n).tolist()) for n in (0, 3, 12, 13, 14, 90, 1, 200, 13)]
+    texts[5:5] = [b"\x0b ", b"a b " * 30]
+    named = repeats.named_runs(unit, unit.flat(texts), pieces=True)
+    first = unit.flat(texts).first
+    for i, text in enumerate(texts):
+        parts = unit.split(text)
+        names = repeats.minimisers(unit, parts)
+        start, end = repeats.runs(names)
+        mine = named.owner == i
+        assert np.array_equal(named.name[mine], names[start])
+        assert np.array_equal(named.start[mine] - first[i], start) and np.array_equal(named.end[mine] - first[i], end)
+        held = sorted(set(names.tolist()))
+        assert sorted(set(named.pieces[1][named.pieces[0] == i].tolist())) == held
+        grams = repeats.gram_hashes(unit.symbols(parts), unit.grams[0]) if len(names) else np.zeros(0, np.uint64)
+        width = unit.window - unit.grams[0] + 1
+        least = [p for p in range(len(grams)) if any(names[j] == grams[p] for j in range(max(0, p - width + 1), min(p + 1, len(names))))]
+        assert int((named.pieces[0] == i).sum()) == len(least)
+
+
 def test_minimisers_agree():
     """Equal windows have equal minimisers wherever they stand."""
     unit = repeats.Words(13)
