@@ -21,13 +21,24 @@ from .registry import query, table
 
 #: Tasks that parse a dump's statements.
 SPREAD = 8
+#: Rows of an INSERT.
+INSERT_ROWS = 1000
 NAMESPACES = '<siteinfo><namespaces><namespace key="0" /><namespace key="1">Talk</namespace><namespace key="3">User talk</namespace></namespaces></siteinfo>'
 
 
 def _inserts(rows: DataFrame, name: str, values: list[Column]) -> DataFrame:
-    """Inserts of some rows each, dealt by hash."""
-    tuples = rows.select(F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 30)).alias("h"), F.concat(F.lit("("), F.concat_ws(",", *(v.cast("string") for v in values)), F.lit(")")).alias("row"))
-    return tuples.groupBy(F.floor(F.col("h") / (1 << 24))).agg(F.concat(F.lit(f"INSERT INTO `{name}` VALUES "), F.array_join(F.collect_list("row"), ","), F.lit(";")).alias("value")).select("value")
+    """Inserts of at most ``INSERT_ROWS`` rows each, dealt by hash: more rows make more statements, not longer ones."""
+    tuples = rows.select(F.concat(F.lit("("), F.concat_ws(",", *(v.cast("string") for v in values)), F.lit(")")).alias("row"))
+
+    def statements(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = batch.column(0).to_pylist()
+            lines = [f"INSERT INTO `{name}` VALUES {','.join(found[a : a + INSERT_ROWS])};" for a in range(0, len(found), INSERT_ROWS)]
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+
+    return tuples.repartition(F.xxhash64("row")).mapInArrow(statements, "value string")
 
 
 def _log_items(events: DataFrame) -> DataFrame:

@@ -141,7 +141,8 @@ def spread_dump(spark: SparkSession, table: str, path: str, parts: int, range_by
     known = TABLES[table]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return parsed((v.decode("latin-1") for b in batches for v in b.column(0).to_pylist()), known)
+        # one statement at a time leaves Arrow's memory
+        return parsed((v.as_py().decode("latin-1") for b in batches for v in b.column(0)), known)
 
     return dealt.mapInArrow(run, known.schema)
 

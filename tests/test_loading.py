@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomspark.operators import actors, quality, referential, writing
-from loomspark.plans import freeze, key_figures, loading
+from loomspark.plans import freeze, key_figures, load_queries, loading
 from loomspark.schemas import LEGACY, TABLES
 from loomspark.sources import manifest
 from loomspark.sources.files import discover, lines, sha1_of
@@ -239,6 +239,14 @@ def test_stream(spark, tmp_path):
     assert writing.read(spark, base, "actor").count() == 2
 
 
+def test_inserts_stay_short(spark):
+    """More rows make more statements, not longer ones; every row stands in one."""
+    lines = load_queries._inserts(spark.range(100_000), "page", [F.col("id"), F.lit("NULL")])
+    rows = F.size(F.split("value", r"\),\("))
+    got = lines.agg(F.max(rows).alias("most"), F.sum(rows).alias("all"), F.count_if(F.col("value").rlike(r"^INSERT INTO `page` VALUES \(.*\);$")).alias("whole"), F.count("value").alias("n")).first()
+    assert got.most <= 1000 and got["all"] == 100_000 and got.whole == got.n
+
+
 def test_spread_dump(spark, tmp_path):
     """The same rows from one task and from many, packed or plain, wherever a range's border falls."""
     statements = [f"INSERT INTO `user_groups` VALUES {','.join(f'({i * 7 + k},{chr(39)}g{k}é{chr(39)},NULL)' for k in range(1 + i % 4))};" for i in range(60)]
