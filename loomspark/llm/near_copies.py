@@ -1,17 +1,19 @@
 """Near copies by shingle similarity: texts whose sets of five-word shingles agree to 0.8 or more.
 
-This is the near-duplicate operator's index over wider symbols.  At similarity 0.8 a bit
-of a fingerprint differs with a chance of 0.15, so a 32-bit segment with one wildcard
-meets its like in 3 of 100 pairs only.  The signature here has minimum hashes in place of
-bits, of which 0.2 differ: it is cut into seven segments of six symbols, and where one
-segment differs in at most one symbol, both texts share a variant with a single symbol
-wildcarded.  Equal variants meet, and every link is verified on the two whole sets of
-shingles.  A pair of similarity 0.8 shares no variant with a chance of 0.345**7, six in
-ten thousand, and less the more it agrees.
-
-Texts that share a variant and whose signatures agree to some degree are one family.  Links
-are looked for inside families, by whole shingle sets and among all members, in blocks: a
-task holds one block and gives back links that span its components, never pairs.
+The near-duplicate operator goes first, over five-word shingles: fingerprints by majority
+vote, their 64 one-wildcard variants, equal variants joined, at most three of 64 bits
+different.  At similarity 0.8 a bit of a fingerprint differs with a chance of 0.15, so most
+such pairs are further apart.  For these the same index is laid over wider symbols.  The
+signature has minimum hashes in place of bits, of which 0.2 differ: it is cut into seven
+segments of six symbols, and where one segment differs in at most one symbol, both texts
+share a variant with a single symbol wildcarded.  Every link of either index is verified on
+the two whole sets of shingles.  A pair of similarity 0.8 shares no variant of symbols with a
+chance of 0.345**7, six in ten thousand, and less the more it agrees.
+
+Texts whose fingerprints link, or that share a variant of symbols and whose signatures agree
+to some degree, are one family.  Links are looked for inside families, by whole shingle sets
+and among all members, in blocks: a task holds one block and gives back links that span its
+components, never pairs.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from loomspark.session import ensure_importable
 
 from .common import arrow_schema, map_arrow, signed, spread, text_bytes, written
 from .components import connected_components
+from .simhash import SEED, shingle_hashes, voted
+from .simhash import links as fingerprint_links
 
 SHINGLE_WORDS = 5
 LEAST_SIMILARITY = 0.8
@@ -39,7 +43,6 @@ FIRST_SEGMENTS = 2
 LEAST_AGREEMENT = 0.5
 #: Members and bytes of a block.
 BLOCK_NODES, BLOCK_BYTES = 1024, 32 << 20
-SEED = 42
 #: Shingles whose minimum hashes are taken at once, and columns of a block's incidence.
 BLOCK, COLUMNS = 4096, 4096
 
@@ -50,13 +53,7 @@ _PLACES = np.random.default_rng(SEED + 1).integers(1 << 63, size=_SIZE, dtype=np
 
 def shingles(text: bytes, size: int = SHINGLE_WORDS) -> np.ndarray:
     """The distinct hashes of all shingles, ascending; a shorter text is one shingle, a wordless one has none."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= size:
-        return np.array([digest(b" ".join(words), SEED)], np.uint64)
-    return np.unique(np.array([digest(b" ".join(s), SEED) for s in zip(*(words[i:] for i in range(size)), strict=False)], np.uint64))
+    return np.unique(shingle_hashes(text, size))
 
 
 def symbols(marks: np.ndarray) -> np.ndarray:
@@ -83,26 +80,47 @@ def variants(signatures: np.ndarray) -> np.ndarray:
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """``(doc_id, mark, node, signature, keys)``: equal sets of shingles are one node; one without shingles has no keys."""
+    """``(doc_id, mark, node, fp, signature)``: equal sets of shingles are one node; one without shingles has no signature."""
 
     def run(cols):
-        nodes, rows, empty = [], [], []
+        nodes, fps, rows = [], [], []
         for t in text_bytes(cols["text"]):
-            found = shingles(t)
+            hashes = shingle_hashes(t, SHINGLE_WORDS)
+            found = np.unique(hashes)
             nodes.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
-            rows.append(symbols(found))
-            empty.append(not len(found))
-        matrix = np.array(rows, dtype=">u4").reshape(-1, _SIZE)
-        keys = signed(variants(matrix)).tolist()
+            fps.append(voted(hashes))
+            rows.append(symbols(found).astype(">u4").tobytes() if len(found) else None)
         return {
             "doc_id": cols["doc_id"],
             "mark": cols["mark"],
             "node": signed(np.array(nodes, np.uint64)),
-            "signature": [r.tobytes() for r in matrix],
-            "keys": [[] if e else k for k, e in zip(keys, empty, strict=True)],
+            "fp": signed(np.array(fps, np.uint64)),
+            "signature": rows,
         }
 
-    return map_arrow(docs.select("doc_id", F.xxhash64("text").alias("mark"), "text"), run, "doc_id bigint, mark bigint, node bigint, signature binary, keys array<bigint>")
+    return map_arrow(docs.select("doc_id", F.xxhash64("text").alias("mark"), "text"), run, "doc_id bigint, mark bigint, node bigint, fp bigint, signature binary")
+
+
+def _nodes(marks: DataFrame) -> DataFrame:
+    """``(node, doc_id, mark, fp, signature, keys)``, a row for each node: its smallest id, with that text's fingerprint."""
+
+    def run(cols):
+        bodies = cols["signature"].to_pylist()
+        matrix = np.frombuffer(b"".join(b for b in bodies if b), ">u4").reshape(-1, _SIZE)
+        keys = iter(signed(variants(matrix)).tolist())
+        return cols | {"keys": [next(keys) if b else [] for b in bodies]}
+
+    each = marks.groupBy("node").agg(F.min(F.struct("doc_id", "mark", "fp")).alias("rep"), F.first("signature").alias("signature"))
+    return map_arrow(each.select("node", "rep.doc_id", "rep.mark", "rep.fp", "signature"), run, "node bigint, doc_id bigint, mark bigint, fp bigint, signature binary, keys array<bigint>")
+
+
+def by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """``(a, b)``: links that connect the nodes (node, fp) whose fingerprints are equal or at most three bits apart."""
+    fps = written(nodes.groupBy("fp").agg(F.min("node").alias("least")), "nearfps")
+    same = nodes.join(fps, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    ends = [fps.select(F.col("fp").alias(c), F.col("least").alias(f"{c}_node")) for c in "ab"]
+    near = fingerprint_links(fps.select("fp")).join(ends[0], "a").join(ends[1], "b")
+    return same.unionByName(near.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
 
 
 def agreement(bodies: list[bytes], least: float = LEAST_SIMILARITY) -> np.ndarray:
@@ -253,24 +271,28 @@ def near_copies(docs: DataFrame, least: float = LEAST_SIMILARITY, nodes: int = B
     """``(doc_id, component_id)`` for every row with an id: the smallest id reachable over verified links.
 
     Two texts are linked if their shingle sets are alike enough; every pair of a family is
-    accounted for, so of the links only those can be missing whose signatures share no
-    variant (six in ten thousand at similarity 0.8) or agree in less than half (one in a
-    million).  Rows between tasks are in proportion to the texts: a member travels once
-    for each shared variant with its signature, and at most a few times with its set.  Only a family
-    of more than ``nodes`` members (or ``size`` bytes) whose members do not link costs more: those that
-    are not of its largest component meet the others in blocks.
+    accounted for, so of the links only those can be missing whose fingerprints differ in
+    more than three bits and whose signatures share no variant (six in ten thousand at
+    similarity 0.8) or agree in less than half (one in a million).  Rows between tasks are in
+    proportion to the texts: a node sends its fingerprint with 64 variants and itself with 42,
+    a member travels once for each shared variant with its signature, and at most a few times
+    with its set.  Only a family of more than ``nodes`` members (or ``size`` bytes) whose
+    members do not link costs more: those that are not of its largest component meet the
+    others in blocks.
 
     Null and wordless texts are one node, without links; equal texts are one node; an empty
     table gives no rows; texts of any length are read whole; further columns are ignored.
     """
     rows = docs.where("doc_id IS NOT NULL")
     marks = written(_marked(rows), "nearmarks")
-    each = marks.groupBy("node").agg(F.min(F.struct("doc_id", "mark")).alias("rep"), F.first("signature").alias("signature"), F.first("keys").alias("keys"))
-    each = written(each.select("node", "rep.doc_id", "rep.mark", "signature", "keys"), "nearnodes")
-    exploded = each.select(F.posexplode("keys").alias("place", "grp"), "node", F.col("signature").alias("body"))
-    several = exploded.groupBy("grp").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    keyed = written(exploded.join(several, "grp", "left_semi"), "nearkeys")
+    each = written(_nodes(marks), "nearnodes")
     families, links = Joined(), Joined()
+    families.add(by_fingerprint(each.where("signature IS NOT NULL").select("node", "fp")))
+    # signatures go only to keys that several nodes have
+    exploded = each.select(F.posexplode("keys").alias("place", "grp"), "node")
+    several = exploded.groupBy("grp").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+    shared = exploded.join(several, "grp", "left_semi")
+    keyed = written(shared.join(each.select("node", F.col("signature").alias("body")), "node"), "nearkeys")
     for some in (F.col("place") < FIRST_SEGMENTS * SYMBOLS, F.col("place") >= FIRST_SEGMENTS * SYMBOLS):
         join_groups(keyed.where(some).select("grp", "node", "body"), lambda many: agreement(many, least), families, nodes, size)
     if families.roots is not None:

@@ -30,21 +30,28 @@ _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder=
 _LANES = np.arange(8, dtype=np.int64) * 256
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
-    """Majority vote over the bits of all shingle hashes; no word gives zero."""
+def shingle_hashes(text: bytes, shingle: int = SHINGLE_WORDS) -> np.ndarray:
+    """The hash of every shingle, repeats included; a shorter text is one shingle, a wordless one has none."""
     words = text.lower().split()  # bytes: A-Z only, and the six ASCII white-space bytes
-    if not words:
-        return 0
     digest = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        hashes = [digest(b" ".join(words), SEED)]
-    else:
-        hashes = [digest(b" ".join(s), SEED) for s in zip(*(words[i:] for i in range(shingle)), strict=False)]
-    lanes = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
+        return np.array([digest(b" ".join(words), SEED)] if words else [], dtype="<u8")
+    return np.array([digest(b" ".join(s), SEED) for s in zip(*(words[i:] for i in range(shingle)), strict=False)], dtype="<u8")
+
+
+def voted(hashes: np.ndarray) -> int:
+    """Majority vote over the bits of all hashes; none give zero."""
+    if not len(hashes):
+        return 0
+    lanes = hashes.view(np.uint8).reshape(-1, 8)
     counts = np.bincount((lanes + _LANES).ravel(), minlength=2048).reshape(8, 256) @ _BITS
     return int.from_bytes(np.packbits((counts * 2 > len(hashes)).ravel(), bitorder="little").tobytes(), "little")
 
 
+def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
+    return voted(shingle_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
     """``(doc_id, fp long)``, a row for each input row; null text counts as empty."""
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from loomspark.llm import near_copies
+from loomspark.llm import near_copies, simhash
 
 SCHEMA = "doc_id bigint, text string, lang string, n_chars bigint"
 
@@ -124,3 +124,36 @@ def test_a_link_between_large_components(spark):
     assert len(set(want.values())) == 1
     for nodes in (7, 1024):
         assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs, nodes=nodes).collect()} == want
+
+
+@pytest.mark.parametrize("seed", [23833, 100228522, 200040345, 500012865])
+def test_pairs_that_only_fingerprints_join(spark, seed):
+    """16 of 20 shingles in common, fingerprints at most three bits apart, and no shared variant of minimum hashes."""
+    rng = random.Random(seed)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(24)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:20])), (3, "other words"), (4, None)]
+    marks = [simhash.fingerprint(t.encode(), 5) for _, t in rows[:2]]
+    assert (marks[0] ^ marks[1]).bit_count() <= 3
+    signatures = np.array([near_copies.symbols(near_copies.shingles(t.encode())) for _, t in rows[:2]])
+    assert not set.intersection(*(set(v) for v in near_copies.variants(signatures).tolist()))
+    docs = spark.createDataFrame([(d, t, "en", 1) for d, t in rows], SCHEMA)
+    want = components(rows)
+    assert want[2] == 1
+    assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()} == want
+
+
+def test_links_by_fingerprint(spark):
+    """All that equal fingerprints and at most three different bits connect, and nothing else."""
+    rng = random.Random(4)
+    marks = [rng.getrandbits(64) for _ in range(30)]
+    marks += [m ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(6))) for m in marks for _ in range(3)]
+    nodes = [(i, int(np.uint64(m).view(np.int64))) for i, m in enumerate(marks)]
+    got = near_copies.by_fingerprint(spark.createDataFrame(nodes, "node bigint, fp bigint")).collect()
+    near = np.array([[(a ^ b).bit_count() <= 3 for b in marks] for a in marks])
+    linked = np.eye(len(marks), dtype=bool)
+    for r in got:
+        linked[r.a, r.b] = linked[r.b, r.a] = True
+    for m in (near, linked):
+        for _ in range(7):
+            m |= m @ m
+    assert (near == linked).all()
