@@ -203,18 +203,18 @@ def _links(units: DataFrame, alike: Callable[[list[bytes]], np.ndarray]) -> Data
 
 
 class Joined:
-    """Links found so far and the components that they make."""
+    """The components that the links found so far make."""
 
     def __init__(self):
-        self.links: DataFrame | None = None
         self.roots: DataFrame | None = None
 
     def add(self, new: DataFrame) -> bool:
         new = written(new, "nearlinks")
         if new.isEmpty():
             return False
-        self.links = new if self.links is None else self.links.unionByName(new)
-        self.roots = connected_components(self.links)
+        if self.roots is not None:
+            new = new.unionByName(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        self.roots = connected_components(new)
         return True
 
     def placed(self, rows: DataFrame) -> DataFrame:

@@ -276,6 +276,26 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(1, 51)}, 200: 100, 300: 100}
 
 
+@pytest.mark.parametrize("block", [8, 1 << 18])
+def test_components_of_random_links(spark, block):
+    """By rounds, where the links left are more than a block, and by one step."""
+    rng = random.Random(3)
+    edges = [(rng.randrange(-200, 200), rng.randrange(-200, 200)) for _ in range(170)]
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(5), block=block).collect()}
+    assert got == {x: r for x, r in root.items() if x != r}
+
+
+def test_few_links_take_few_jobs(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)], "a bigint, b bigint")
+    spark.sparkContext.setJobGroup("few-links", "")
+    assert components.connected_components(edges).where("root = 0").count() == 200
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-links")) <= 8
+
+
 # -- sketches ----------------------------------------------------------------------------
 
 
