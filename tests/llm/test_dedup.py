@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loomspark import session
 from loomspark.llm import components, iblt, induced_sorting, mtree, repeats, simhash, suffix_trees
 
 RNG = random.Random(7)
@@ -296,6 +297,26 @@ def test_few_links_take_few_jobs(spark):
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-links")) <= 8
 
 
+def test_shared_minimisers_take_few_files(spark, docs, monkeypatch):
+    """Many partitions, as for a large input: results are the same, the table between the passes has fewer files."""
+    files = []
+
+    def kept(df, name):
+        out = session.written(df, name)
+        files.append((name, len(out.inputFiles())))
+        return out
+
+    want = bag(map(tuple, induced_sorting.byte_dedup(docs, 40).collect()))
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(repeats, "written", kept)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert bag(map(tuple, induced_sorting.byte_dedup(docs, 40).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert dict(files)["shared"] <= 8
+
+
 # -- sketches ----------------------------------------------------------------------------
 
 
