@@ -31,32 +31,34 @@ def _slot(key: str, table: str, size: int) -> str:
     return f"CAST(shiftrightunsigned({key}, 20 * {table}) & {size - 1}L AS INT)"
 
 
-def _cells(entries: str, size: int) -> str:
-    """Cells (n, k, c) of three subtables from entries (n, k, c): count, digests XORed, check hashes XORed.
+def _entries(keys: str, size: int, n: int) -> str:
+    """Entries (s, n, k, c) of a digest array, a list for each subtable: cell, count, digest, check hash."""
+    entry = "transform({}, d -> named_struct('s', {} + {}, 'n', {}, 'k', d, 'c', xxhash64(d)))"
+    return ", ".join(entry.format(keys, j * size, _slot("d", j, size), n) for j in range(3))
 
-    A subtable's entries are parted by the high bits of their cell first, so that a cell
-    looks at its part only: about ``size`` * 3 + entries * parts steps, not cells * entries.
+
+def _summed(entries: str) -> str:
+    """The cells that lists of entries add up to, ascending: counts added, digests and check hashes XORed.
+
+    Cells that no entry is in are not made, so the steps go by the entries and not by
+    the size of the sketch.  Cells are entries too.
     """
-    zero = "named_struct('n', 0, 'k', 0L, 'c', 0L)"
-    add = "named_struct('n', a.n + e.n, 'k', a.k ^ e.k, 'c', a.c ^ e.c)"
-    slotted = f"transform({entries}, e -> named_struct('s', {_slot('e.k', 'j', size)}, 'n', e.n, 'k', e.k, 'c', e.c))"
-    parts = 1 << ((size.bit_length() - 1) // 2)
-    width = size // parts
+    add = "named_struct('s', x.s, 'n', x.n + e.n, 'k', x.k ^ e.k, 'c', x.c ^ e.c)"
+    cell = f"IF(z - a = 1, t[a], aggregate(slice(t, a + 2, z - a - 1), t[a], (x, e) -> {add}))"
+    first = "filter(transform(t, (x, i) -> IF(i > 0 AND t[i - 1].s = x.s, -1, i)), i -> i >= 0)"
+    # one-element arrays bind what is used more than once
+    every = f"transform(slice(b, 1, size(b) - 1), (a, r) -> transform(array(b[r + 1]), z -> {cell})[0])"
+    return f"transform(array(sort_array(concat({entries}))), t -> transform(array(array_append({first}, size(t))), b -> {every})[0])[0]"
 
-    def fill(own: str, first: str) -> str:
-        return f"transform(sequence(0, {width - 1}), i -> aggregate(filter({own}, e -> e.s = i + {first}), {zero}, (a, e) -> {add}))"
 
-    if parts == 1:
-        table = f"transform(array({slotted}), t -> {fill('t', '0')})[0]"
-    else:
-        part = f"transform(array(filter(t, e -> shiftright(e.s, {width.bit_length() - 1}) = h)), u -> {fill('u', f'{width} * h')})[0]"
-        table = f"transform(array({slotted}), t -> flatten(transform(sequence(0, {parts - 1}), h -> {part})))[0]"
-    return f"flatten(transform(sequence(0, 2), j -> {table}))"
+def _filled(cells: str) -> str:
+    """The cells that are not zero."""
+    return f"filter({cells}, x -> x.n <> 0 OR x.k <> 0L OR x.c <> 0L)"
 
 
 def cells(keys: str, size: int) -> str:
     """The sketch of a digest array."""
-    return _cells(f"transform({keys}, d -> named_struct('n', 1, 'k', d, 'c', xxhash64(d)))", size)
+    return _summed(_entries(keys, size, 1))
 
 
 def _holds(size: int) -> int:
@@ -64,26 +66,35 @@ def _holds(size: int) -> int:
     return size * 9 // 4
 
 
-_MINUS = "(x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'c', x.c ^ y.c)"
+def _less(left_cells: str, right_cells: str) -> str:
+    """The difference of two sketches."""
+    return _filled(_summed(f"{left_cells}, transform({right_cells}, x -> named_struct('s', x.s, 'n', -x.n, 'k', x.k, 'c', x.c))"))
 
 
 def _apart(left: str, right: str, size: int) -> str:
     """The sketch of ``left`` less that of ``right``: cells are sums, so one pass with the right's entries negative makes both and subtracts."""
-    side = lambda keys, n: f"transform({keys}, d -> named_struct('n', {n}, 'k', d, 'c', xxhash64(d)))"
-    return _cells(f"concat({side(left, 1)}, {side(right, -1)})", size)
+    return _filled(_summed(f"{_entries(left, size, 1)}, {_entries(right, size, -1)}"))
 
 
 def _peeled(difference: str, size: int) -> str:
-    """How many digests peeling recovers from the difference of two sketches; null if some cells stay filled."""
-    start = f"named_struct('cells', {difference}, 'found', 0, 'over', false)"
+    """How many digests peeling recovers from the difference of two sketches; null if some cells stay filled.
+
+    A round takes the digests that are alone in a cell out of all their cells; only cells
+    that stay filled go to the next.
+    """
     bits = size.bit_length() - 1
-    pure = f"abs(x.n) = 1 AND {_slot('x.k', f'shiftright(p, {bits})', size)} = (p & {size - 1}) AND x.c = xxhash64(x.k)"
-    keys = f"array_distinct(transform(filter(s.cells, (x, p) -> {pure}), x -> named_struct('n', x.n, 'k', x.k, 'c', x.c)))"
-    left_over = f"zip_with(s.cells, {_cells('q', size)}, {_MINUS})"
-    # a one-element array binds the peeled digests once for all cells
-    peel = f"transform(array({keys}), q -> IF(size(q) = 0, named_struct('cells', s.cells, 'found', s.found, 'over', true), named_struct('cells', {left_over}, 'found', s.found + size(q), 'over', false)))[0]"
-    done = "IF(exists(s.cells, x -> x.n <> 0 OR x.k <> 0L OR x.c <> 0L), NULL, s.found)"
-    return f"aggregate(sequence(1, {ROUNDS}), {start}, (s, i) -> IF(s.over, s, {peel}), s -> {done})"
+
+    def alone(n: int) -> str:
+        own = f"shiftrightunsigned(x.k, 20 * shiftright(x.s, {bits})) & {size - 1}L = (x.s & {size - 1})"
+        return f"array_distinct(transform(filter(v.cells, x -> x.n = {n} AND x.c = xxhash64(x.k) AND {own}), x -> x.k))"
+
+    rest = _filled(_summed(f"v.cells, {_entries('q.more', size, -1)}, {_entries('q.less', size, 1)}"))
+    # one-element arrays bind the peeled digests and the cells left once for all their uses
+    over = "named_struct('cells', v.cells, 'found', v.found, 'over', true)"
+    on = f"transform(array({rest}), w -> named_struct('cells', w, 'found', v.found + size(q.more) + size(q.less), 'over', size(w) = 0))[0]"
+    peel = f"transform(array(named_struct('more', {alone(1)}, 'less', {alone(-1)})), q -> IF(size(q.more) + size(q.less) = 0, {over}, {on}))[0]"
+    start = f"named_struct('cells', {difference}, 'found', 0, 'over', false)"
+    return f"aggregate(sequence(1, {ROUNDS}), {start}, (v, i) -> IF(v.over, v, {peel}), v -> IF(size(v.cells) = 0, v.found, NULL))"
 
 
 def likeness(left: str, right: str, left_cells: str, right_cells: str) -> Column:
@@ -99,7 +110,7 @@ def likeness(left: str, right: str, left_cells: str, right_cells: str) -> Column
     a, b = stratum.format(left), stratum.format(right)
     apart = f"(size({a}) + size({b}) - 2 * size(array_intersect({a}, {b})))"
     least = f"greatest(abs(size({left}) - size({right})), 4 * {apart})"
-    tries = [f"IF(w > {_holds(SIZES[0])}, NULL, {_peeled(f'zip_with({left_cells}, {right_cells}, {_MINUS})', SIZES[0])})"]
+    tries = [f"IF(w > {_holds(SIZES[0])}, NULL, {_peeled(_less(left_cells, right_cells), SIZES[0])})"]
     tries += [f"IF(w > {_holds(size)}, NULL, {_peeled(_apart(left, right, size), size)})" for size in SIZES[1:]]
     direct = f"size(array_except({left}, {right})) + size(array_except({right}, {left}))"
     d = f"transform(array({least}), w -> coalesce({', '.join(tries)}, {direct}))[0]"
@@ -109,9 +120,12 @@ def likeness(left: str, right: str, left_cells: str, right_cells: str) -> Column
 
 
 def fingerprint(base_cells: str) -> Column:
-    """The base sketch, cell by cell, in hexadecimal; equal texts have equal ones."""
+    """The base sketch, cell by cell, in hexadecimal, empty cells in zeros; equal texts have equal ones."""
+    gap = lambda after, to: f"repeat('{'0' * 36}', {to} - {after} - 1)"
     cell = "concat(lpad(hex(x.n), 4, '0'), lpad(hex(x.k), 16, '0'), lpad(hex(x.c), 16, '0'))"
-    return F.expr(f"lower(array_join(transform({base_cells}, x -> {cell}), ''))")
+    every = f"transform({base_cells}, (x, i) -> concat({gap(f'IF(i = 0, -1, {base_cells}[i - 1].s)', 'x.s')}, {cell}))"
+    last = f"IF(size({base_cells}) = 0, -1, {base_cells}[size({base_cells}) - 1].s)"
+    return F.expr(f"lower(concat(array_join({every}, ''), {gap(last, 3 * SIZES[0])}))")
 
 
 def successors(docs: DataFrame) -> DataFrame:

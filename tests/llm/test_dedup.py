@@ -424,3 +424,20 @@ def test_sentences_of_one_line_are_paragraphs(spark):
     docs = spark.createDataFrame([(1, text), (2, "Other words. " * 30)], "doc_id bigint, text string")
     near = {r.doc_id: r.near_edited for r in iblt.edited_fingerprints(docs).collect()}
     assert near[1] >= 0.25
+
+
+def test_sketches_hold_filled_cells_only(spark):
+    """A difference has at most three cells a differing digest, whatever the sketch's size; the fingerprint still has all cells."""
+    df = spark.createDataFrame([(list(range(100, 140)), list(range(110, 150)))], "l array<bigint>, r array<bigint>")
+    keys = {n: f"transform({n}, x -> xxhash64(x))" for n in "lr"}
+    df = df.select(*(F.expr(k).alias(n) for n, k in keys.items()))
+    for size in iblt.SIZES[1:]:
+        apart = iblt._apart("l", "r", size)
+        got = df.selectExpr(f"size({apart}) AS cells", f"{iblt._peeled(apart, size)} AS found").first()
+        assert got.cells <= 60 and got.found == 20
+    few = df.select(F.expr("slice(l, 1, 2)").alias("l"))
+    sketch = few.select(F.expr(iblt.cells("l", 8)).alias("c"), iblt.fingerprint(iblt.cells("l", 8)).alias("f")).first()
+    assert len(sketch.c) <= 6 and len(sketch.f) == 24 * 36
+    assert [i for i in range(24) if sketch.f[i * 36 :][:36] != "0" * 36] == [x.s for x in sketch.c]
+    none = spark.sql("SELECT array() :: array<bigint> AS l").select(iblt.fingerprint(iblt.cells("l", 8))).first()[0]
+    assert none == "0" * (24 * 36)
