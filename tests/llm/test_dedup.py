@@ -441,3 +441,16 @@ def test_sketches_hold_filled_cells_only(spark):
     assert [i for i in range(24) if sketch.f[i * 36 :][:36] != "0" * 36] == [x.s for x in sketch.c]
     none = spark.sql("SELECT array() :: array<bigint> AS l").select(iblt.fingerprint(iblt.cells("l", 8))).first()[0]
     assert none == "0" * (24 * 36)
+
+
+def test_byte_dedup_returns_few_files(spark):
+    """Many small partitions leave as a file for eight of them; every row is there."""
+    docs = spark.createDataFrame([(i, f"{i} " + "same words. " * 40) for i in range(300)], "doc_id bigint, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 96)
+    try:
+        got = induced_sorting.byte_dedup(docs)
+        assert got.rdd.getNumPartitions() == 12
+        assert sorted(r.doc_id for r in got.where("n_removed > 0").collect()) == list(range(300))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
