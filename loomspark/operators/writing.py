@@ -52,8 +52,13 @@ def write(df: DataFrame, base: str, name: str, mode: str = "overwrite") -> DataF
     by, inside = LAYOUT.get(name, ([], []))
     out = df.select(t.columns)
     if by:
-        out = out.repartitionByRange(*by).sortWithinPartitions(*by, *inside)
+        # ranges are drawn from a pass of their own, so the rows are made before: a dump is parsed once
+        rows = f"{staging}-rows"
+        out.write.parquet(rows)
+        out = spark.read.schema(t.schema).parquet(rows).repartitionByRange(*by).sortWithinPartitions(*by, *inside)
     out.write.parquet(staging)
+    if by:
+        _drop(spark, rows)
     fresh = spark.read.schema(t.schema).parquet(staging)
     quality.require_table(fresh, name, list(t.keys), list(t.required))
     if name in UNIQUE:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.operators import quality, referential, transforms, writing
+from loomspark.session import written
 from loomspark.sources.history import read_history
 from loomspark.sources.logging_xml import namespace_map, read_logitems, read_namespaces
 from loomspark.sources.mysqldump import read_dump
@@ -25,7 +26,8 @@ def publish(spark: SparkSession, base: str, names: list[str]) -> None:
 def load_logging(spark: SparkSession, path: str, base: str, limit: int | None = None, resume: bool = False) -> dict[str, int]:
     """Logging and actor tables of a logging XML; ``resume`` adds the ids not loaded yet."""
     parsed = transforms.parsed_logitems(read_logitems(spark, path, limit), namespace_map(read_namespaces(spark, path)))
-    parsed = parsed.persist()
+    # not cached: a large load would fill the executors' memory, and a cached block moves as a whole
+    parsed = written(parsed, "logitems")
     counts = {r.reject_reason: r.n for r in transforms.rejects(parsed).collect()}
     if resume:
         parsed = referential.not_loaded(parsed, writing.read_or_empty(spark, base, "logging"), "log_id")
@@ -33,18 +35,16 @@ def load_logging(spark: SparkSession, path: str, base: str, limit: int | None =
     # actors first: a load that stops here leaves ids that the next one finds
     rows, _ = transforms.logging_rows(parsed, writing.write(actors, base, "actor"))
     table = writing.write(rows, base, "logging", "append" if resume else "overwrite")
-    parsed.unpersist()
     return {"written": table.count(), **counts}
 
 
 def load_revisions(spark: SparkSession, path: str, base: str, limit: int | None = None, append: bool = False) -> dict[str, int]:
     """Revision and actor tables of stub history files."""
-    parsed = transforms.parsed_revisions(read_history(spark, path, limit)).persist()
+    parsed = written(transforms.parsed_revisions(read_history(spark, path, limit)), "revisions")
     counts = {r.reject_reason: r.n for r in transforms.rejects(parsed).collect()}
     _, actors = transforms.revision_rows(parsed, writing.read_or_empty(spark, base, "actor"))
     rows, _ = transforms.revision_rows(parsed, writing.write(actors, base, "actor"))
     table = writing.write(rows, base, "revision", "append" if append else "overwrite")
-    parsed.unpersist()
     return {"written": table.count(), **counts}
 
 
@@ -58,8 +58,8 @@ def load_texts(spark: SparkSession, path: str, base: str, limit: int | None = No
     if check:
         quality.require_reference(table, revisions, "rev_id")
     seen = history.agg(F.count(F.lit(1)).alias("seen"), F.count_if("text_deleted").alias("suppressed")).first()
-    written = table.count()
-    return {"seen": seen.seen, "suppressed": seen.suppressed, "yielded": seen.seen - seen.suppressed, "unmatched": seen.seen - seen.suppressed - written, "written": written}
+    stored = table.count()
+    return {"seen": seen.seen, "suppressed": seen.suppressed, "yielded": seen.seen - seen.suppressed, "unmatched": seen.seen - seen.suppressed - stored, "written": stored}
 
 
 def dry_run(spark: SparkSession, kind: str, path: str, limit: int | None = None) -> DataFrame:

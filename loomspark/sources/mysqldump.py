@@ -23,6 +23,9 @@ from .files import discover, lines, ranges
 BATCH_ROWS = 10_000
 #: Bytes of statements in a batch, and of a plain file's range.
 BATCH_BYTES, RANGE_BYTES = 8 << 20, 64 << 20
+#: Row groups of written statements: a reader unpacks 4,096 rows or a whole group at once, and statements are long.  The
+#: size is that of packed pages and counts at every row, so a group unpacks to some ``BATCH_BYTES``.
+SHORT_GROUPS = {"parquet.block.size": str(BATCH_BYTES // 4), "parquet.page.size.row.check.min": "1", "parquet.enable.dictionary": "false"}
 
 
 class DumpFile(InputPartition):
@@ -137,7 +140,7 @@ def spread_dump(spark: SparkSession, table: str, path: str, parts: int, range_by
     ensure_importable(spark)
     spark.dataSource.register(DumpStatements)
     raw = spark.read.format("dumpstatements").option("table", table).option("path", path).option("range_bytes", range_bytes).load()
-    dealt = written(raw.repartition(parts), f"statements-{table}")
+    dealt = written(raw.repartition(parts), f"statements-{table}", **SHORT_GROUPS)
     known = TABLES[table]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
