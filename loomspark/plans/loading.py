@@ -26,7 +26,7 @@ def publish(spark: SparkSession, base: str, names: list[str]) -> None:
 def load_logging(spark: SparkSession, path: str, base: str, limit: int | None = None, resume: bool = False) -> dict[str, int]:
     """Logging and actor tables of a logging XML; ``resume`` adds the ids not loaded yet."""
     parsed = transforms.parsed_logitems(read_logitems(spark, path, limit), namespace_map(read_namespaces(spark, path)))
-    # not cached: a large load would fill the executors' memory, and a cached block moves as a whole
+    # not cached: a cached block moves as a whole, and one holds a whole gzip file
     parsed = written(parsed, "logitems")
     counts = {r.reject_reason: r.n for r in transforms.rejects(parsed).collect()}
     if resume:
